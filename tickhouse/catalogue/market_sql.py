@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickhouse.catalogue.sqltext import Ctes, dbl, dbls
+from tickhouse.catalogue.sqltext import Ctes, dbl, dbls, mean, r6
 
 CTES = Ctes()
 
@@ -69,10 +69,9 @@ FROM {source} GROUP BY ALL
     CTES.add(name, f"""
 SELECT *, bar_start + to_seconds({seconds}) AS bar_end,
        CAST(base_volume AS DOUBLE) / trade_count AS mean_trade_size,
-       round(CAST(taker_buy_base_volume AS DOUBLE) / CAST(base_volume AS DOUBLE), 6)
+       {r6("CAST(taker_buy_base_volume AS DOUBLE) / CAST(base_volume AS DOUBLE)")}
          AS taker_buy_ratio,
-       round(CAST(high_price - low_price AS DOUBLE)
-             / ((CAST(high_price AS DOUBLE) + CAST(low_price AS DOUBLE)) / 2) * 10000, 6)
+       {r6("CAST(high_price - low_price AS DOUBLE) * 20000 / CAST(high_price + low_price AS DOUBLE)")}
          AS range_bps,
        ln(CAST(close_price AS DOUBLE)
           / CAST(lag(close_price) OVER (PARTITION BY {keys} ORDER BY bar_start) AS DOUBLE))
@@ -114,15 +113,16 @@ FROM (SELECT *, CAST((CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_qua
 _bars_cte("c_bars_tape", 86_400, "c_tape")
 
 # Quotes --------------------------------------------------------------------------------
-CTES.add("c_staged_quotes", """
+CTES.add("c_staged_quotes", f"""
 SELECT *,
        (bid_price + ask_price) * 0.5 AS mid_price, ask_price - bid_price AS spread_absolute,
        CASE WHEN bid_price > 0 AND ask_price > bid_price THEN
-         CAST(round(CAST(ask_price - bid_price AS DOUBLE)
-              / ((CAST(bid_price AS DOUBLE) + CAST(ask_price AS DOUBLE)) / 2) * 10000, 6)
+         CAST({r6("CAST(ask_price - bid_price AS DOUBLE) * 20000"
+                  " / CAST(bid_price + ask_price AS DOUBLE)")}
               AS DECIMAL(18,6)) END AS spread_bps,
-       CAST(round(CAST(bid_quantity - ask_quantity AS DOUBLE)
-            / CAST(bid_quantity + ask_quantity AS DOUBLE), 6) AS DECIMAL(18,6)) AS touch_imbalance
+       CAST({r6("CAST(bid_quantity - ask_quantity AS DOUBLE)"
+                " / CAST(bid_quantity + ask_quantity AS DOUBLE)")}
+            AS DECIMAL(18,6)) AS touch_imbalance
 FROM (
   SELECT 'binance' AS exchange_id, event_type AS symbol, event_id * 7 AS update_id,
          CAST(value AS DECIMAL(18,2)) AS bid_price, user_id + 1 AS bid_quantity,
@@ -151,17 +151,17 @@ def _metrics_cte(name: str, width: str, ms: int) -> None:
     CTES.add(name, f"""
 SELECT exchange_id, symbol, time_bucket(INTERVAL {width}, event_time) AS bar_start,
        count(*) AS quote_count, CAST(sum(prevailing_ms) AS BIGINT) AS covered_ms,
-       round(CAST(sum(spread_bps) AS DOUBLE) / count(spread_bps), 6) AS mean_spread_bps,
-       round(CAST(sum(spread_bps * CAST(prevailing_ms AS DECIMAL(18,0))) AS DOUBLE)
-             / nullif(CAST(sum(prevailing_ms) AS DOUBLE), 0), 6) AS time_weighted_spread_bps,
+       {mean("spread_bps")} AS mean_spread_bps,
+       {r6("CAST(sum(spread_bps * CAST(prevailing_ms AS DECIMAL(18,0))) AS DOUBLE)"
+           " / nullif(CAST(sum(prevailing_ms) AS DOUBLE), 0)")} AS time_weighted_spread_bps,
        min(spread_bps) AS min_spread_bps, max(spread_bps) AS max_spread_bps,
        quantile_disc(spread_bps, 0.5) AS median_spread_bps,
-       round(CAST(sum(bid_quantity + ask_quantity) AS DOUBLE) / count(*), 6) AS mean_touch_depth,
-       round(CAST(sum(touch_imbalance) AS DOUBLE) / count(touch_imbalance), 6)
+       {mean("bid_quantity + ask_quantity")} AS mean_touch_depth,
+       {mean("touch_imbalance")}
          AS mean_touch_imbalance,
        last(mid_price ORDER BY event_time, update_id) AS closing_mid_price,
        CAST(sum(book_updates_between) AS BIGINT) AS book_updates_skipped,
-       least(round(CAST(sum(prevailing_ms) AS DOUBLE) / {ms}, 6), 1.0) AS quote_coverage_ratio
+       least({r6(f"CAST(sum(prevailing_ms) AS DOUBLE) / {ms}")}, 1.0) AS quote_coverage_ratio
 FROM c_quotes WHERE prevailing_ms >= 0 GROUP BY ALL
 """)
 
@@ -229,7 +229,7 @@ FACT_NUMBERS = ("open_price", "high_price", "low_price", "close_price", "vwap",
                 "median_spread_bps", "mean_touch_depth", "mean_touch_imbalance",
                 "quote_coverage_ratio", "usdcop_rate", "close_price_cop", "quote_volume_cop")
 
-CTES.add("c_daily_agg", """
+CTES.add("c_daily_agg", f"""
 SELECT exchange_id, symbol, CAST(bar_start AS DATE) AS trading_date,
        first(open_price ORDER BY bar_start) AS open_price, max(high_price) AS high_price,
        min(low_price) AS low_price, last(close_price ORDER BY bar_start) AS close_price,
@@ -237,11 +237,11 @@ SELECT exchange_id, symbol, CAST(bar_start AS DATE) AS trading_date,
        CAST(sum(trade_count) AS BIGINT) AS trade_count,
        round(CAST(sum(CAST(CAST(vwap AS DECIMAL(18,9)) * CAST(base_volume AS DECIMAL(19,2))
              AS DECIMAL(38,11))) AS DOUBLE) / CAST(sum(base_volume) AS DOUBLE), 10) AS daily_vwap,
-       round(avg(time_weighted_spread_bps), 6) AS mean_spread_bps,
+       {mean("time_weighted_spread_bps")} AS mean_spread_bps,
        quantile_disc(time_weighted_spread_bps, 0.5) AS median_spread_bps,
-       round(avg(mean_touch_depth), 6) AS mean_touch_depth,
+       {mean("mean_touch_depth")} AS mean_touch_depth,
        count(time_weighted_spread_bps) AS minutes_with_quotes, count(*) AS minutes_with_trades,
-       round(avg(order_flow_imbalance), 6) AS mean_order_flow_imbalance,
+       {mean("order_flow_imbalance", 10)} AS mean_order_flow_imbalance,
        sum(taker_buy_base_volume) AS taker_buy_base_volume,
        stddev_samp(log_return) * sqrt(525600 // 60) AS realised_volatility_annualised,
        stddev_samp(log_return) AS minute_return_stddev,
@@ -252,8 +252,8 @@ SELECT exchange_id, symbol, CAST(bar_start AS DATE) AS trading_date,
        sum(quote_volume_cop) AS quote_volume_cop_from_minutes
 FROM c_fact_h GROUP BY ALL
 """)
-CTES.add("c_daily", """
-SELECT *, round(CAST(minutes_with_trades AS DOUBLE) / 24, 6) AS minute_coverage_ratio,
+CTES.add("c_daily", f"""
+SELECT *, {r6("CAST(minutes_with_trades AS DOUBLE) / 24")} AS minute_coverage_ratio,
        CAST(close_price - open_price AS DOUBLE) / CAST(open_price AS DOUBLE) AS daily_return,
        CAST(quote_volume AS DECIMAL(20,2)) * CAST(usdcop_rate AS DECIMAL(12,2)) AS quote_volume_cop,
        row_number() OVER (PARTITION BY trading_date
@@ -322,15 +322,15 @@ SELECT exchange_id, symbol, CAST(event_time AS DATE) AS trading_date, count(*) A
        quantile_disc(ingestion_lag_ms, 0.99) AS p99_ingestion_lag_ms
 FROM c_trades GROUP BY ALL
 """)
-CTES.add("c_health_raw", """
+CTES.add("c_health_raw", f"""
 SELECT exchange_id, symbol, trading_date, d.minutes_with_trades, d.minute_coverage_ratio,
        d.quote_gap_minutes, d.book_updates_skipped, d.max_ingestion_lag_ms,
        r.reconciled_minutes, r.matched_minutes, r.volume_divergence_minutes, r.minutes_we_missed,
        r.worst_volume_rel_diff, t.trades, t.replayed_trades, t.mean_ingestion_lag_ms,
        t.p99_ingestion_lag_ms,
-       round(CAST(r.matched_minutes AS DOUBLE) / nullif(r.reconciled_minutes, 0), 6)
+       {r6("CAST(r.matched_minutes AS DOUBLE) / nullif(r.reconciled_minutes, 0)")}
          AS reconciliation_pass_ratio,
-       round(CAST(t.replayed_trades AS DOUBLE) / nullif(t.trades, 0), 6) AS duplicate_ratio
+       {r6("CAST(t.replayed_trades AS DOUBLE) / nullif(t.trades, 0)")} AS duplicate_ratio
 FROM c_daily d
 LEFT JOIN c_recon_daily r USING (exchange_id, symbol, trading_date)
 LEFT JOIN c_delivery t USING (exchange_id, symbol, trading_date)
@@ -346,20 +346,20 @@ FROM c_health_raw
 """)
 HEALTH_NUMBERS = ("minute_coverage_ratio", "worst_volume_rel_diff", "mean_ingestion_lag_ms",
                   "reconciliation_pass_ratio", "duplicate_ratio")
-CTES.add("c_ranking", """
+CTES.add("c_ranking", f"""
 SELECT *,
        rank() OVER (PARTITION BY window_days ORDER BY quote_volume DESC NULLS LAST) AS turnover_rank,
        rank() OVER (PARTITION BY window_days ORDER BY mean_spread_bps NULLS LAST) AS tightness_rank,
        rank() OVER (PARTITION BY window_days ORDER BY liquidity_score DESC NULLS LAST)
          AS liquidity_rank
 FROM (
-  SELECT *, round(CAST(quote_volume AS DOUBLE) / mean_spread_bps, 6) AS liquidity_score
+  SELECT *, {r6("CAST(quote_volume AS DOUBLE) / mean_spread_bps")} AS liquidity_score
   FROM (
     SELECT CAST(w.days AS BIGINT) AS window_days, d.exchange_id, d.symbol,
            sum(d.quote_volume) AS quote_volume,
-           round(avg(d.mean_spread_bps), 6) AS mean_spread_bps,
-           round(avg(d.mean_touch_depth), 6) AS mean_touch_depth,
-           round(avg(d.realised_volatility_annualised), 6) AS realised_volatility,
+           {mean("d.mean_spread_bps")} AS mean_spread_bps,
+           {mean("d.mean_touch_depth")} AS mean_touch_depth,
+           {r6("avg(d.realised_volatility_annualised)")} AS realised_volatility,
            CAST(sum(d.trade_count) AS BIGINT) AS trade_count, count(*) AS days_observed
     FROM c_daily d
     JOIN c_health h USING (exchange_id, symbol, trading_date)
@@ -513,7 +513,7 @@ ORACLES = {
                {dbl("CAST(sum(spread_bps * CAST(ms AS DECIMAL(18,0))) AS DOUBLE)"
                     " / nullif(CAST(sum(ms) AS DOUBLE), 0)", "time_weighted_spread_bps")},
                CAST(sum(churn) AS BIGINT) AS book_updates_skipped,
-               {dbl("least(round(sum(ms) / 3600000.0, 6), 1.0)", "quote_coverage_ratio")}
+               {dbl("least(sum(ms) / 3600000.0, 1.0)", "quote_coverage_ratio")}
         FROM (
           SELECT exchange_id, symbol, spread_bps, bar AS bar_start,
                  epoch_us(least(next_event_time, bar + INTERVAL 1 HOUR)) // 1000

@@ -11,7 +11,8 @@ def _portable(field: T.StructField, digits: int) -> Column:
     c = F.col(f"`{field.name}`")
     dt = field.dataType
     if isinstance(dt, T.DecimalType | T.DoubleType | T.FloatType):
-        c = F.round(c.cast("double"), digits)
+        # Through a decimal, so a tie rounds half up on the printed digits.
+        c = F.round(c.cast("decimal(38,12)"), digits).cast("double")
     elif isinstance(dt, T.TimestampType):
         c = c.cast("timestamp_ntz")
     elif isinstance(dt, T.IntegralType):

@@ -31,10 +31,23 @@ class Ctes:
         return prefix + body.strip()
 
 
-def dbl(expr: str, alias: str | None = None, digits: int = 6) -> str:
+def r6(expr: str) -> str:
+    """Half-up at six digits. DuckDB rounds doubles in binary, so go through a decimal."""
+    return f"CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
+
+def dbl(expr: str, alias: str) -> str:
     """A rounded double, as the registered queries present numbers."""
-    return f"round(CAST({expr} AS DOUBLE), {digits})" + (f" AS {alias}" if alias else "")
+    return f"{r6(expr)} AS {alias}"
+
+
+def dbls(*columns: str) -> str:
+    return ", ".join(dbl(c, c) for c in columns)
 
 
-def dbls(*columns: str, digits: int = 6) -> str:
-    return ", ".join(dbl(c, c, digits) for c in columns)
+def mean(expr: str, scale: int = 6) -> str:
+    """Average at ``scale`` digits, half up, in integer arithmetic."""
+    unit = 10**scale
+    units = f"CAST(CAST({expr} AS DECIMAL(26,{scale})) * {unit} AS HUGEINT)"
+    total, n = f"sum({units})", f"count({expr})"
+    return f"CAST(sign({total}) * ((2 * abs({total}) + {n}) // (2 * {n})) AS DOUBLE) / {unit}"

@@ -40,9 +40,14 @@ def divide(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.when(bottom != 0, bottom)
 
 
-def ratio(numerator: Column, denominator: Column, scale: int = 6) -> Column:
-    """A proportion rounded to ``scale`` digits; null on a zero denominator."""
-    return F.round(divide(numerator, denominator), scale)
+def quantize(value: Column) -> Column:
+    """A double as ``decimal(18,6)``, rounded half up on its decimal digits."""
+    return F.round(value.cast("decimal(38,12)"), 6).cast(BPS)
+
+
+def ratio(numerator: Column, denominator: Column) -> Column:
+    """A proportion as ``decimal(18,6)``; null on a zero denominator."""
+    return quantize(divide(numerator, denominator))
 
 
 def mid_price(bid: Column, ask: Column) -> Column:
@@ -57,14 +62,14 @@ def spread_bps(bid: Column, ask: Column) -> Column:
     its digits; only the final quotient is double.
     """
     mid = (bid.cast("double") + ask.cast("double")) / 2
-    quoted = F.round((ask - bid).cast("double") / mid * 10_000, 6).cast(BPS)
+    quoted = quantize((ask - bid).cast("double") / mid * 10_000)
     return F.when((bid > 0) & (ask > bid), quoted)
 
 
 def touch_imbalance(bid_size: Column, ask_size: Column) -> Column:
     depth = bid_size.cast("double") + ask_size.cast("double")
     skew = (bid_size - ask_size).cast("double")
-    return F.when(depth > 0, F.round(skew / depth, 6).cast(BPS))
+    return F.when(depth > 0, quantize(skew / depth))
 
 
 def vwap(price: Column, quantity: Column) -> Column:
@@ -85,6 +90,27 @@ def order_flow_imbalance(quantity: Column, buyer_is_maker: Column) -> Column:
     return F.when(total > 0, F.round(signed.cast("double") / total.cast("double"), 10))
 
 
+def mean(value: Column, scale: int = 6) -> Column:
+    """Aggregate: average at ``scale`` digits through an exact decimal sum.
+
+    A double sum depends on the order in which partial sums meet; this does not,
+    so a rerun with another partitioning gives the same digits. Dividing
+    ``decimal(38,s)`` by ``decimal(20,0)`` keeps scale ``s``, rounded half up.
+    """
+    exact = value.cast(DecimalType(28, scale))
+    total = F.sum(exact).cast(DecimalType(38, scale))
+    return total / F.nullif(F.count(exact), F.lit(0)).cast("decimal(20,0)")
+
+
+def weighted_mean(value: Column, weight: Column) -> Column:
+    """Aggregate: sum(value * weight) / sum(weight) for ``decimal(18,6)`` values.
+
+    A null value drops out of the numerator only.
+    """
+    total = F.sum(value * weight.cast("decimal(18,0)")).cast("decimal(38,6)")
+    return total / F.nullif(F.sum(weight), F.lit(0)).cast("decimal(20,0)")
+
+
 def annualised_volatility(log_return: Column, bar_minutes: int = 1) -> Column:
     """Aggregate: realised volatility on a 365-day year."""
     return F.stddev_samp(log_return) * F.sqrt(F.lit(MINUTES_PER_YEAR // bar_minutes))

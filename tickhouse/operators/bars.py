@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock, money
-from tickhouse.functions.money import BPS
 from tickhouse.operators.ordered import neighbours
 
 BAR_KEYS = ("exchange_id", "symbol")
@@ -60,16 +59,11 @@ def aggregate_bars(
                 ),
                 "taker_buy_ratio": money.ratio(
                     F.col("taker_buy_base_volume"), F.col("base_volume")
-                ).cast(BPS),
-                "range_bps": F.round(
-                    money.divide(
-                        F.col("high_price") - F.col("low_price"),
-                        (F.col("high_price").cast("double") + F.col("low_price").cast("double"))
-                        / 2,
-                    )
-                    * 10_000,
-                    6,
-                ).cast(BPS),
+                ),
+                "range_bps": money.ratio(
+                    (F.col("high_price") - F.col("low_price")).cast("double") * 20_000,
+                    F.col("high_price").cast("double") + F.col("low_price").cast("double"),
+                ),
             }
         )
     )

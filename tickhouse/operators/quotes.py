@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock, money
+from tickhouse.functions.money import BPS
 from tickhouse.operators.ordered import neighbours
 
 QUOTE_KEYS = ("exchange_id", "symbol")
@@ -97,9 +98,6 @@ def quote_metrics(
         held = split_over_bars(held, seconds, t)
     ms = F.col("prevailing_ms")
     spread = F.col("spread_bps")
-    # decimal(18,6) x decimal(18,0): the weighted sum stays exact, so it does not
-    # depend on the order in which partial sums meet.
-    weighted = F.sum(spread * ms.cast("decimal(18,0)"))
     median = (
         F.percentile(spread, 0.5) if exact_quantiles else F.percentile_approx(spread, 0.5, 10_000)
     )
@@ -112,20 +110,20 @@ def quote_metrics(
         .agg(
             count.alias("quote_count"),
             F.sum(ms).alias("covered_ms"),
-            F.round(money.divide(F.sum(spread), F.count(spread)), 6).alias("mean_spread_bps"),
-            F.round(money.divide(weighted, F.sum(ms)), 6).alias("time_weighted_spread_bps"),
+            money.mean(spread).alias("mean_spread_bps"),
+            money.weighted_mean(spread, ms).alias("time_weighted_spread_bps"),
             F.min(spread).alias("min_spread_bps"),
             F.max(spread).alias("max_spread_bps"),
-            median.cast("double").alias("median_spread_bps"),
-            F.round(money.divide(F.sum(depth), count), 6).alias("mean_touch_depth"),
-            F.round(
-                money.divide(F.sum("touch_imbalance"), F.count("touch_imbalance")), 6
-            ).alias("mean_touch_imbalance"),
+            median.cast(BPS).alias("median_spread_bps"),
+            money.mean(depth).alias("mean_touch_depth"),
+            money.mean(F.col("touch_imbalance")).alias("mean_touch_imbalance"),
             F.max_by("mid_price", F.struct(t, "update_id")).alias("closing_mid_price"),
             F.sum("book_updates_between").alias("book_updates_skipped"),
         )
         .withColumn(
             "quote_coverage_ratio",
-            F.least(money.ratio(F.col("covered_ms"), F.lit(seconds * 1_000)), F.lit(1.0)),
+            F.least(
+                money.ratio(F.col("covered_ms"), F.lit(seconds * 1_000)), F.lit(1).cast(BPS)
+            ),
         )
     )

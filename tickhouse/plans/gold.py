@@ -73,7 +73,7 @@ def market_fact(
         money.convert(F.col("quote_volume"), rate).alias("quote_volume_cop"),
         "max_ingestion_lag_ms", "duplicated_trade_count",
         F.col("quote_count").isNull().alias("is_quote_gap"),
-        (F.coalesce("quote_coverage_ratio", F.lit(0.0)) < LOW_QUOTE_COVERAGE).alias(
+        (F.coalesce("quote_coverage_ratio", F.lit(0)) < LOW_QUOTE_COVERAGE).alias(
             "is_low_quote_coverage"
         ),
     )
@@ -101,12 +101,12 @@ def symbol_daily(
             F.sum("quote_volume").alias("quote_volume"),
             F.sum("trade_count").alias("trade_count"),
             money.vwap(F.col("vwap"), base).alias("daily_vwap"),
-            F.round(F.avg(spread), 6).alias("mean_spread_bps"),
+            money.mean(spread).alias("mean_spread_bps"),
             F.percentile_approx(spread, 0.5, 10_000).alias("median_spread_bps"),
-            F.round(F.avg("mean_touch_depth"), 6).alias("mean_touch_depth"),
+            money.mean(F.col("mean_touch_depth")).alias("mean_touch_depth"),
             F.count(spread).alias("minutes_with_quotes"),
             F.count(F.lit(1)).alias("minutes_with_trades"),
-            F.round(F.avg("order_flow_imbalance"), 6).alias("mean_order_flow_imbalance"),
+            money.mean(F.col("order_flow_imbalance"), 10).alias("mean_order_flow_imbalance"),
             F.sum("taker_buy_base_volume").alias("taker_buy_base_volume"),
             money.annualised_volatility(F.col("log_return"), bar_minutes).alias(
                 "realised_volatility_annualised"
@@ -220,7 +220,7 @@ def instrument_day_health(
     verdict = (
         F.when(F.col("minute_coverage_ratio") < MIN_COVERAGE, "incomplete")
         .when(F.coalesce("minutes_we_missed", F.lit(0)) > MAX_MISSED_MINUTES, "incomplete")
-        .when(F.coalesce("reconciliation_pass_ratio", F.lit(1.0)) < MIN_PASS_RATIO, "divergent")
+        .when(F.coalesce("reconciliation_pass_ratio", F.lit(1)) < MIN_PASS_RATIO, "divergent")
         .when(F.coalesce("p99_ingestion_lag_ms", F.lit(0)) > MAX_P99_LAG_MS, "delayed")
         .when(F.col("quote_gap_minutes") > MAX_QUOTE_GAPS, "degraded_liquidity_view")
         .otherwise("good")
@@ -255,14 +255,14 @@ def liquidity_ranking(
     ).filter(F.col("trading_date") >= F.date_sub(today, F.col("window_days")))
     trailing = exploded.groupBy("window_days", *keys).agg(
         F.sum("quote_volume").alias("quote_volume"),
-        F.round(F.avg("mean_spread_bps"), 6).alias("mean_spread_bps"),
-        F.round(F.avg("mean_touch_depth"), 6).alias("mean_touch_depth"),
-        F.round(F.avg("realised_volatility_annualised"), 6).alias("realised_volatility"),
+        money.mean(F.col("mean_spread_bps")).alias("mean_spread_bps"),
+        money.mean(F.col("mean_touch_depth")).alias("mean_touch_depth"),
+        money.quantize(F.avg("realised_volatility_annualised")).alias("realised_volatility"),
         F.sum("trade_count").alias("trade_count"),
         F.count(F.lit(1)).alias("days_observed"),
     )
     scored = trailing.withColumn(
-        "liquidity_score", F.round(divide(F.col("quote_volume"), F.col("mean_spread_bps")), 6)
+        "liquidity_score", money.quantize(divide(F.col("quote_volume"), F.col("mean_spread_bps")))
     )
     in_window = Window.partitionBy("window_days")
 
