@@ -17,6 +17,7 @@ from tickhouse.operators.sequence import observe_sequence
 from tickhouse.plans import gold, serving, silver
 from tickhouse.session import configure
 from tickhouse.sources.sample_tables import SampleTables
+from tickhouse.sources.staged import stage
 
 HOUR = 3_600
 AS_OF = date(2024, 1, 31)
@@ -101,7 +102,7 @@ def stage_fx(spark, path) -> DataFrame:
 
 
 def _bars(spark, path, seconds) -> DataFrame:
-    return silver.ohlcv(silver.trades(tables(spark, path).landed_trades()), seconds)
+    return silver.ohlcv(silver.trades(tables(spark, path).landed_trades()), seconds, stage=stage)
 
 
 def bars_1m(spark, path) -> DataFrame:
@@ -121,7 +122,7 @@ def bars_1w(spark, path) -> DataFrame:
 
 
 def bars_lineitem_daily(spark, path) -> DataFrame:
-    daily = bar_ops.bars(tables(spark, path).tape(), 86_400)
+    daily = bar_ops.bars(tables(spark, path).tape(), 86_400, stage=stage)
     # (order, line) repeats on this tape, so the first and last print of a bar are not unique.
     return present(daily.drop("open_price", "close_price", "log_return"))
 
@@ -130,7 +131,7 @@ def bars_lineitem_daily(spark, path) -> DataFrame:
 
 
 def quote_durations(spark, path) -> DataFrame:
-    out = silver.quotes(tables(spark, path).landed_quotes())
+    out = silver.quotes(tables(spark, path).landed_quotes(), stage)
     return present(
         out, "exchange_id", "symbol", "update_id", "spread_bps", "mid_price", "event_time",
         "next_event_time", "prevailing_ms", "book_updates_between", "bar_start_1m",
@@ -138,12 +139,12 @@ def quote_durations(spark, path) -> DataFrame:
 
 
 def quote_metrics_1h(spark, path) -> DataFrame:
-    return present(silver.quote_metrics(silver.quotes(tables(spark, path).landed_quotes()), HOUR))
+    return present(silver.quote_metrics(silver.quotes(tables(spark, path).landed_quotes(), stage), HOUR))
 
 
 def quote_metrics_1h_clipped(spark, path) -> DataFrame:
     metrics = quote_ops.quote_metrics(
-        silver.quotes(tables(spark, path).landed_quotes()), HOUR, split_at_bar_end=True
+        silver.quotes(tables(spark, path).landed_quotes(), stage), HOUR, split_at_bar_end=True
     )
     return present(
         metrics, "exchange_id", "symbol", "bar_start", "quote_count", "covered_ms",
@@ -156,7 +157,8 @@ def quote_metrics_1h_clipped(spark, path) -> DataFrame:
 
 def _order_rates(spark, path) -> DataFrame:
     return intervals.rebound_intervals(
-        tables(spark, path).publications(), ["currency_pair"], order=("publication_id",)
+        tables(spark, path).publications(), ["currency_pair"], order=("publication_id",),
+        stage=stage,
     )
 
 
@@ -166,7 +168,7 @@ def fx_intervals(spark, path) -> DataFrame:
 
 def fx_intervals_events(spark, path) -> DataFrame:
     return present(
-        silver.fx_rates(tables(spark, path).landed_fx()), "rate_source", "currency_pair", "rate",
+        silver.fx_rates(tables(spark, path).landed_fx(), stage), "rate_source", "currency_pair", "rate",
         "valid_from", "valid_to", "source_valid_to", "validity_days", "was_rebounded",
     )
 
@@ -198,9 +200,9 @@ def fx_range_join_bucketed(spark, path) -> DataFrame:
 def _fact(spark, path, seconds=HOUR) -> DataFrame:
     t = tables(spark, path)
     return gold.market_fact(
-        silver.ohlcv(silver.trades(t.landed_trades()), seconds),
-        silver.quote_metrics(silver.quotes(t.landed_quotes()), seconds),
-        silver.fx_rates(t.landed_fx()),
+        silver.ohlcv(silver.trades(t.landed_trades()), seconds, stage=stage),
+        silver.quote_metrics(silver.quotes(t.landed_quotes(), stage), seconds),
+        silver.fx_rates(t.landed_fx(), stage),
     )
 
 
@@ -214,12 +216,16 @@ def _reconciled(spark, path) -> DataFrame:
     )
 
 
-def _health(spark, path) -> DataFrame:
-    return gold.instrument_day_health(
-        _daily(spark, path),
-        _reconciled(spark, path),
-        silver.trades(tables(spark, path).landed_trades()),
-    )
+def _daily_and_health(spark, path) -> tuple[DataFrame, DataFrame]:
+    """The gold chain, each table written once and read by what follows it."""
+    t = tables(spark, path)
+    trades = stage(silver.trades(t.landed_trades()))
+    bars = stage(silver.ohlcv(trades, HOUR, stage=stage))
+    metrics = silver.quote_metrics(silver.quotes(t.landed_quotes(), stage), HOUR)
+    fact = gold.market_fact(bars, metrics, silver.fx_rates(t.landed_fx(), stage))
+    daily = stage(gold.symbol_daily(fact, bar_minutes=60))
+    reconciled = gold.reconcile(bars, silver.venue_klines(t.landed_klines()))
+    return daily, gold.instrument_day_health(daily, reconciled, trades)
 
 
 def market_fact(spark, path) -> DataFrame:
@@ -273,11 +279,11 @@ def delivery_daily(spark, path) -> DataFrame:
 
 
 def instrument_day_health(spark, path) -> DataFrame:
-    return present(_health(spark, path))
+    return present(_daily_and_health(spark, path)[1])
 
 
 def liquidity_ranking(spark, path) -> DataFrame:
-    return present(gold.liquidity_ranking(_daily(spark, path), _health(spark, path), AS_OF))
+    return present(gold.liquidity_ranking(*_daily_and_health(spark, path), AS_OF))
 
 
 def dim_instrument(spark, path) -> DataFrame:
@@ -291,22 +297,26 @@ def dim_instrument(spark, path) -> DataFrame:
 def instrument_scd2(spark, path) -> DataFrame:
     return present(
         scd.scd2(
-            tables(spark, path).observations(), tie_break=("observation_id",), close_deletes=False
+            tables(spark, path).observations(), tie_break=("observation_id",),
+            close_deletes=False, stage=stage,
         )
     )
 
 
 def instrument_scd2_deletes(spark, path) -> DataFrame:
     return present(
-        scd.scd2(tables(spark, path).quarterly_observations(), tie_break=("observation_id",))
+        scd.scd2(tables(spark, path).quarterly_observations(), tie_break=("observation_id",),
+                 stage=stage)
     )
 
 
 def tick_asof(spark, path) -> DataFrame:
     """The tick size in force when each trade printed, and whether the price is on that grid."""
     t = tables(spark, path)
-    history = scd.scd2(t.observations(), tie_break=("observation_id",), close_deletes=False)
-    filters = history.select("symbol", "tick_size", "valid_from", "valid_to")
+    history = scd.scd2(
+        t.observations(), tie_break=("observation_id",), close_deletes=False, stage=stage
+    )
+    filters = stage(history.select("symbol", "tick_size", "valid_from", "valid_to"))
     joined = intervals.asof_join(
         t.tape(), filters, "event_time", "valid_from", "valid_to", on=("symbol",)
     )
@@ -346,12 +356,12 @@ def serve_candles(spark, path) -> DataFrame:
 
 
 def serve_liquidity(spark, path) -> DataFrame:
-    ranking = gold.liquidity_ranking(_daily(spark, path), _health(spark, path), AS_OF)
+    ranking = gold.liquidity_ranking(*_daily_and_health(spark, path), AS_OF)
     return present(serving.liquidity(ranking, window_days=30, limit=50))
 
 
 def serve_quality(spark, path) -> DataFrame:
-    return present(serving.quality(_health(spark, path), AS_OF, symbol="view", days=30))
+    return present(serving.quality(_daily_and_health(spark, path)[1], AS_OF, symbol="view", days=30))
 
 
 QUERIES = {

@@ -72,15 +72,18 @@ def touch_imbalance(bid_size: Column, ask_size: Column) -> Column:
     return F.when(depth > 0, quantize(skew / depth))
 
 
-def vwap(price: Column, quantity: Column) -> Column:
-    """Aggregate: volume-weighted average price, null for a zero-volume group.
+def quotient(amount: Column, quantity: Column) -> Column:
+    """Average price ``amount / quantity`` as ``decimal(28,10)``; null unless quantity > 0.
 
-    Ten decimals absorb the last-bit error of the division, so a one-price bar
-    has a VWAP equal to that price.
+    Ten decimals absorb the last-bit error of the division, so a one-price group
+    has an average equal to that price.
     """
-    total = F.sum(quantity)
-    mean = F.sum(multiply(price, quantity)).cast("double") / total.cast("double")
-    return F.when(total > 0, F.round(mean, 10).cast("decimal(28,10)"))
+    return F.when(quantity > 0, F.round(divide(amount, quantity), 10).cast("decimal(28,10)"))
+
+
+def vwap(price: Column, quantity: Column) -> Column:
+    """Aggregate: volume-weighted average price, null for a zero-volume group."""
+    return quotient(F.sum(multiply(price, quantity)), F.sum(quantity))
 
 
 def order_flow_imbalance(quantity: Column, buyer_is_maker: Column) -> Column:

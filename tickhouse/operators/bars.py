@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock, money
+from tickhouse.operators import Stage, keep_lazy
 from tickhouse.operators.ordered import neighbours
 
 BAR_KEYS = ("exchange_id", "symbol")
@@ -16,7 +17,8 @@ BAR_KEYS = ("exchange_id", "symbol")
 def aggregate_bars(
     trades: DataFrame, seconds: int = 60, keys: Sequence[str] = BAR_KEYS, t: str = "event_time"
 ) -> DataFrame:
-    """One row per (keys, bar). Every measure combines on the map side.
+    """One row per (keys, bar). Every measure combines on the map side; wide decimal
+    sums are the cost here, so each quantity is summed once.
 
     Open and close order by (time, trade id), so two trades in one millisecond
     resolve the same way on every run.
@@ -25,6 +27,7 @@ def aggregate_bars(
     taker_buy = F.col("is_buyer_aggressor")
     zero = F.lit(0)
     q, n = F.col("quantity"), F.col("notional")
+    base = F.col("base_volume")
     return (
         trades.groupBy(*keys, clock.bar_floor(F.col(t), seconds).alias("bar_start"))
         .agg(
@@ -35,10 +38,8 @@ def aggregate_bars(
             F.sum(q).alias("base_volume"),
             F.sum(n).alias("quote_volume"),
             F.count(F.lit(1)).alias("trade_count"),
-            money.vwap(F.col("price"), q).alias("vwap"),
             F.sum(F.when(taker_buy, q).otherwise(zero)).alias("taker_buy_base_volume"),
             F.sum(F.when(taker_buy, n).otherwise(zero)).alias("taker_buy_quote_volume"),
-            money.order_flow_imbalance(q, F.col("buyer_is_maker")).alias("order_flow_imbalance"),
             F.max(q).alias("largest_trade_size"),
             F.min(t).alias("first_trade_time"),
             F.max(t).alias("last_trade_time"),
@@ -54,11 +55,17 @@ def aggregate_bars(
         .withColumns(
             {
                 "bar_end": clock.plus_seconds(F.col("bar_start"), seconds),
+                # Notional is price x quantity, and every trade has one of two takers,
+                # so VWAP and flow imbalance follow from sums already taken.
+                "vwap": money.quotient(F.col("quote_volume"), base),
+                "order_flow_imbalance": F.round(
+                    money.divide(2 * F.col("taker_buy_base_volume") - base, base), 10
+                ),
                 "mean_trade_size": F.round(
-                    money.divide(F.col("base_volume"), F.col("trade_count")), 10
+                    money.divide(base, F.col("trade_count")), 10
                 ),
                 "taker_buy_ratio": money.ratio(
-                    F.col("taker_buy_base_volume"), F.col("base_volume")
+                    F.col("taker_buy_base_volume"), base
                 ),
                 "range_bps": money.ratio(
                     (F.col("high_price") - F.col("low_price")).cast("double") * 20_000,
@@ -106,8 +113,8 @@ def bars(
     keys: Sequence[str] = BAR_KEYS,
     t: str = "event_time",
     previous: DataFrame | None = None,
+    stage: Stage = keep_lazy,
 ) -> DataFrame:
     """Candles with log returns. Chunks hold about ten thousand bars per key."""
-    return with_log_returns(
-        aggregate_bars(trades, seconds, keys, t), keys, seconds * 10_080, previous
-    )
+    aggregated = stage(aggregate_bars(trades, seconds, keys, t))
+    return with_log_returns(aggregated, keys, seconds * 10_080, previous)

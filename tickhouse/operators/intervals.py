@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock
+from tickhouse.operators import Stage, keep_lazy
 from tickhouse.operators.dedup import dedup
 from tickhouse.operators.ordered import carry_forward, neighbours
 
@@ -22,6 +23,7 @@ def rebound_intervals(
     order: Sequence[str] = ("lake_ingested_at",),
     keep: str = "last",
     chunk_seconds: int = 30 * DAY,
+    stage: Stage = keep_lazy,
 ) -> DataFrame:
     """Publications -> a series in which no interval overlaps its successor.
 
@@ -29,7 +31,7 @@ def rebound_intervals(
     the next publication; the source's own bound is used only for the last one
     and kept as ``source_<end>``.
     """
-    latest = dedup(published, [*keys, start], order, keep=keep, count_col=None)
+    latest = stage(dedup(published, [*keys, start], order, keep=keep, count_col=None))
     followed = neighbours(
         latest, keys, [start], clock.bucket_id(F.col(start), chunk_seconds), lead={"__next": start}
     )

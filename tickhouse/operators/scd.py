@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock
+from tickhouse.operators import Stage, keep_lazy
 from tickhouse.operators.dedup import dedup
 from tickhouse.operators.ordered import neighbours
 
@@ -22,6 +23,7 @@ def scd2(
     tie_break: Sequence[str] = (),
     close_deletes: bool = True,
     chunk_seconds: int = 30 * 86_400,
+    stage: Stage = keep_lazy,
 ) -> DataFrame:
     """Versions ``[valid_from, valid_to)`` of each key; an open version has a null end.
 
@@ -32,7 +34,7 @@ def scd2(
     reappearance starts a new version even with unchanged values.
     """
     order = [observed_at, *tie_break]
-    latest = dedup(observations, [*key, observed_at], order, keep="last", count_col=None)
+    latest = stage(dedup(observations, [*key, observed_at], order, keep="last", count_col=None))
     chunk = clock.bucket_id(F.col(observed_at), chunk_seconds)
     work = latest.withColumn("__state", F.struct(*check_cols))
     if close_deletes:
@@ -51,7 +53,8 @@ def scd2(
     begins = F.col("__prev").isNull() | ~F.col("__was").eqNullSafe(F.col("__state"))
     if close_deletes:
         begins = begins | (F.col("__due") != F.col(observed_at))
-    starts = previous.filter(begins)
+    # Read twice below (rows and chunk edges), behind one window pass.
+    starts = stage(previous.filter(begins))
 
     # The end of a version is known at the start of the next one: the batch after
     # its last observation if deletes close it, else the next start itself.

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tickhouse.operators import Stage, keep_lazy, staging
 from tickhouse.operators import bars as bar_ops
 from tickhouse.operators import quotes as quote_ops
-from tickhouse.operators import staging
 from tickhouse.operators.dedup import dedup
 from tickhouse.operators.intervals import rebound_intervals
 
@@ -22,11 +22,10 @@ def trades(landed: DataFrame) -> DataFrame:
     return staging.assign_bars(dedup(staging.stage_trades(landed), TRADE_KEYS, ARRIVAL))
 
 
-def quotes(landed: DataFrame) -> DataFrame:
+def quotes(landed: DataFrame, stage: Stage = keep_lazy) -> DataFrame:
     """One row per quote with the time it prevailed."""
-    # Dedup carries the source columns; the spread arithmetic runs on what is left.
-    staged = dedup(staging.stage_quotes(landed), QUOTE_KEYS, ARRIVAL, count_col=None)
-    return quote_ops.with_durations(staged)
+    deduplicated = dedup(staging.stage_quotes(landed), QUOTE_KEYS, ARRIVAL, count_col=None)
+    return quote_ops.with_durations(stage(deduplicated))
 
 
 def venue_klines(landed: DataFrame) -> DataFrame:
@@ -36,13 +35,18 @@ def venue_klines(landed: DataFrame) -> DataFrame:
     )
 
 
-def fx_rates(landed: DataFrame) -> DataFrame:
+def fx_rates(landed: DataFrame, stage: Stage = keep_lazy) -> DataFrame:
     """Reference rates as a non-overlapping interval series per source and pair."""
-    return rebound_intervals(staging.stage_fx(landed), FX_KEYS)
+    return rebound_intervals(staging.stage_fx(landed), FX_KEYS, stage=stage)
 
 
-def ohlcv(silver_trades: DataFrame, seconds: int = 60, previous: DataFrame | None = None):
-    return bar_ops.bars(silver_trades, seconds, previous=previous)
+def ohlcv(
+    silver_trades: DataFrame,
+    seconds: int = 60,
+    previous: DataFrame | None = None,
+    stage: Stage = keep_lazy,
+) -> DataFrame:
+    return bar_ops.bars(silver_trades, seconds, previous=previous, stage=stage)
 
 
 def quote_metrics(silver_quotes: DataFrame, seconds: int = 60, **options) -> DataFrame:

@@ -17,6 +17,8 @@ BATCH_CONF = {
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Capturing a Python call site per column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tickhouse.session import scratch_dir
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and return it as a table.
 
     For a frame that several branches read: the work above it runs once, the
