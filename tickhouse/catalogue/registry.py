@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tickhouse.catalogue import market, market_sql
+from tickhouse.catalogue import delivery, delivery_sql, market, market_sql
 
 
 def queries() -> dict:
-    return dict(market.QUERIES)
+    return {**market.QUERIES, **delivery.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(market_sql.ORACLES)
+    return {**market_sql.ORACLES, **delivery_sql.ORACLES}

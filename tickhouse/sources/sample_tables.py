@@ -135,6 +135,128 @@ class SampleTables:
             )
         )
 
+    # -- raw messages ---------------------------------------------------------------
+
+    def raw_trades(self) -> DataFrame:
+        """Events as combined trade frames. Some ids are damaged, each kind in its own way."""
+        eid = F.col("event_id")
+        ms = F.unix_millis("ts").cast("string")
+        price = (
+            F.when(eid % 107 == 0, "n/a").when(eid % 103 == 0, "0.00")
+            .otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+        )
+        # The venue omits the envelope time on some paths.
+        sent = F.when(eid % 7 == 0, "").otherwise(F.concat(F.lit('"E":'), ms, F.lit(",")))
+        frame = F.concat(
+            F.lit('{"stream":"'), "event_type", F.lit('@trade","data":{"e":"trade",'), sent,
+            F.lit('"s":"'), "event_type", F.lit('","t":'), eid.cast("string"),
+            F.lit(',"p":"'), price, F.lit('","q":"'), (F.col("k") + 1).cast("string"),
+            F.lit('","T":'), ms, F.lit(',"m":'), (F.col("user_id") % 2 == 0).cast("string"),
+            F.lit("}}"),
+        )
+        payload = (
+            F.when(eid % 101 == 0, F.substring(frame, 1, 30))
+            .when(eid % 109 == 0, F.concat(F.lit('{"result":null,"id":'), eid.cast("string"),
+                                           F.lit("}")))
+            .when(eid % 113 == 0, F.lit("[1,2]"))
+            .otherwise(frame)
+        )
+        return self.events().select(
+            "event_id", payload.alias("payload"), F.col("ingested_at").alias("received_at")
+        )
+
+    def raw_quotes(self) -> DataFrame:
+        """Events as bare top-of-book frames: no stream name, no event type, no time."""
+        eid = F.col("event_id")
+        bid = F.col("value").cast("decimal(18,2)")
+        edge = (F.col("k") + 1).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")
+        ask = F.when(eid % 103 == 0, bid).otherwise((bid + edge).cast("decimal(18,2)"))
+        payload = F.concat(
+            F.lit('{"u":'), (eid * 7).cast("string"), F.lit(',"s":"'), "event_type",
+            F.lit('","b":"'), bid.cast("string"), F.lit('","B":"'),
+            (F.col("user_id") + 1).cast("string"), F.lit('","a":"'), ask.cast("string"),
+            F.lit('"'),
+            F.when(eid % 107 == 0, "").otherwise(
+                F.concat(F.lit(',"A":"'), (F.col("k") + 1).cast("string"), F.lit('"'))
+            ),
+            F.lit("}"),
+        )
+        return self.events().select(
+            "event_id", payload.alias("payload"), F.col("ingested_at").alias("received_at")
+        )
+
+    def raw_klines(self) -> DataFrame:
+        """Venue candles as positional arrays; some are short or have high and low swapped."""
+        n = F.col("trade_count")
+        swap = n % 5 == 0
+
+        def text(c: str) -> Column:
+            return F.concat(F.lit('"'), F.col(c).cast("decimal(28,8)").cast("string"), F.lit('"'))
+
+        tail = F.concat_ws(
+            ",", text("quote_volume"), n.cast("string"), text("taker_buy_base_volume"),
+            text("taker_buy_quote_volume"), F.lit('"0"'),
+        )
+        payload = F.concat(
+            F.lit("["),
+            F.concat_ws(
+                ",", F.unix_millis("open_time").cast("string"), text("open"),
+                F.when(swap, text("low")).otherwise(text("high")),
+                F.when(swap, text("high")).otherwise(text("low")),
+                text("close"), text("volume"), F.unix_millis("close_time").cast("string"),
+                F.when(n % 7 != 0, tail),
+            ),
+            F.lit("]"),
+        )
+        return self.landed_klines().select(
+            payload.alias("payload"), "symbol", "interval", F.col("ingested_at").alias("received_at")
+        )
+
+    def raw_fx(self) -> DataFrame:
+        """Orders as published rate rows in local civil time."""
+        key = F.col("o_orderkey")
+        day = F.date_format(F.col("o_orderdate"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+        last = F.date_format(
+            F.when(key % 103 == 0, F.date_sub("o_orderdate", 2))
+            .otherwise(F.date_add("o_orderdate", 1)), "yyyy-MM-dd'T'00:00:00.000",
+        )
+        rate = F.when(key % 101 == 0, "x").otherwise(
+            F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+        )
+        unit = F.when(key % 107 == 0, "co1").when(key % 3 == 0, " cop ").otherwise("COP")
+        payload = F.concat(
+            F.lit('{"valor":"'), rate, F.lit('","unidad":"'), unit,
+            F.lit('","vigenciadesde":"'), day, F.lit('","vigenciahasta":"'), last, F.lit('"}'),
+        )
+        return self.read("orders").select(
+            "o_orderkey", payload.alias("payload"),
+            F.col("o_orderdate").cast("timestamp").alias("received_at"),
+        )
+
+    def raw_instruments(self) -> DataFrame:
+        """Parts as exchange-information payloads with heterogeneous filter arrays."""
+        key = F.col("p_partkey")
+        size = F.col("p_size").cast("string")
+        tick = F.concat(F.lit('{"filterType":"PRICE_FILTER","tickSize":"0.'), size, F.lit('"}'))
+        lot = F.concat(
+            F.lit('{"filterType":"LOT_SIZE","stepSize":"'),
+            F.when(key % 11 == 0, "bad").otherwise(size), F.lit('"}'),
+        )
+        kind = F.when(key % 2 == 0, "NOTIONAL").otherwise("MIN_NOTIONAL")
+        least = F.concat(
+            F.lit('{"filterType":"'), kind, F.lit('","minNotional":"'), size, F.lit('"}')
+        )
+        filters = F.concat_ws(",", F.when(key % 13 != 0, tick), lot, least)
+        payload = F.concat(
+            F.lit('{"symbols":[{"symbol":"p'), key.cast("string"), F.lit('","status":"'),
+            F.when(key % 5 == 0, "halt").otherwise("trading"), F.lit('","baseAsset":"'),
+            "p_brand", F.lit('","quoteAsset":"usdt","filters":['), filters, F.lit("]}]}"),
+        )
+        return self.read("part").select(
+            payload.alias("payload"),
+            F.lit("2024-01-31 00:00:00").cast("timestamp").alias("received_at"),
+        )
+
     # -- lineitem as a large tape --------------------------------------------------
 
     def tape(self) -> DataFrame:
