@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tickhouse.catalogue import delivery, delivery_sql, market, market_sql
+from tickhouse.catalogue import delivery, delivery_sql, jobs, jobs_sql, market, market_sql
 
 
 def queries() -> dict:
-    return {**market.QUERIES, **delivery.QUERIES}
+    return {**market.QUERIES, **delivery.QUERIES, **jobs.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**market_sql.ORACLES, **delivery_sql.ORACLES}
+    return {**market_sql.ORACLES, **delivery_sql.ORACLES, **jobs_sql.ORACLES}
