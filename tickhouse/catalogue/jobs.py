@@ -21,7 +21,7 @@ from tickhouse.sources.staged import stage
 from tickhouse.streaming import landing, stateful
 
 _SPLIT = datetime(2024, 1, 15)
-_DAILY = writers.Layout("event_time", buckets=4, sort=("symbol", "event_time", "trade_id"))
+_DAILY = writers.Layout("event_time", buckets=2, sort=("symbol", "event_time", "trade_id"))
 _BAR_LAYOUT = writers.Layout("bar_start", sort=("symbol", "bar_start"))
 _FLUSH = "__flush__"
 
