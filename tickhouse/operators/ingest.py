@@ -105,6 +105,20 @@ def _whole(source: str, key: str) -> Column:
     return _field(source, key).try_cast("bigint")
 
 
+def _computed(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    A filter on a projected column is pushed below the projection with the
+    column's expression inlined, so a filter on a verdict would parse the payload
+    again for every rule. A generator over one struct keeps filters above it,
+    and expressions above it see finished values: text first becomes typed
+    fields, the rules then read those.
+    """
+    keep = [c for c in df.columns if c not in columns]
+    fields = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(fields)))
+
+
 def _prepared(raw: DataFrame, producer_id: str) -> DataFrame:
     return raw if "producer_id" in raw.columns else raw.withColumn("producer_id", F.lit(producer_id))
 
@@ -119,14 +133,15 @@ def route_frames(raw: DataFrame) -> DataFrame:
     (subscription replies), or the message kind. The stream name decides the
     kind, then the event type, then the presence of the three quote fields.
     """
-    parsed = raw.withColumn("__o", F.from_json("payload", _OBJECT))
+    parsed = _computed(raw, {"__o": F.from_json("payload", _OBJECT)})
     data = _field("__o", "data")
     wrapped = F.map_contains_key("__o", F.lit("stream")) & data.startswith("{")
-    parsed = parsed.withColumns(
+    parsed = _computed(
+        parsed,
         {
             "stream": F.when(wrapped, _field("__o", "stream")),
             "body": F.when(wrapped, F.from_json(data, _OBJECT)).otherwise(F.col("__o")),
-        }
+        },
     )
     suffix = F.when(
         F.col("stream").contains("@"), F.regexp_extract("stream", r"@(.*)$", 1)
@@ -139,12 +154,12 @@ def route_frames(raw: DataFrame) -> DataFrame:
     )
     control = F.map_contains_key("__o", F.lit("result")) | F.map_contains_key("__o", F.lit("error"))
     readable = F.try_parse_json("payload").isNotNull()
-    return parsed.withColumn(
-        "route",
+    route = (
         F.when(F.col("__o").isNull(), F.when(readable, "ignored").otherwise("malformed"))
         .when(control, "control")
-        .otherwise(kind),
-    ).drop("__o")
+        .otherwise(kind)
+    )
+    return _computed(parsed, {"route": route}).drop("__o")
 
 
 def malformed_frames(routed: DataFrame, producer_id: str = "feed") -> DataFrame:
@@ -166,30 +181,41 @@ def normalise_trades(
 ) -> Normalised:
     """Trade frames -> trade records. A missing envelope time falls back to the trade time."""
     rows = _prepared(routed, producer_id).filter("route = 'trade'")
-    price, size = _number("body", "p"), _number("body", "q")
-    printed, sent = _whole("body", "T"), F.coalesce(_whole("body", "E"), _whole("body", "T"))
-    bad_sent = _field("body", "E").isNotNull() & _whole("body", "E").isNull()
-    flag = F.coalesce(F.lower(_field("body", "m")), F.lit("false"))
+    rows = _computed(
+        rows,
+        {
+            "__symbol": _field("body", "s"), "__id": _whole("body", "t"),
+            "__price": _number("body", "p"), "__size": _number("body", "q"),
+            "__printed": _whole("body", "T"), "__sent_text": _field("body", "E"),
+            "__flag": _field("body", "m"),
+        },
+    )
+    name, number = F.col("__symbol"), F.col("__id")
+    price, size, printed = F.col("__price"), F.col("__size"), F.col("__printed")
+    own_time = F.col("__sent_text").try_cast("bigint")
+    sent = F.coalesce(own_time, printed)
+    bad_sent = F.col("__sent_text").isNotNull() & own_time.isNull()
+    flag = F.coalesce(F.lower("__flag"), F.lit("false"))
     rules = [
-        (BAD_SHAPE, _field("body", "s").isNull() | _whole("body", "t").isNull(),
-         "missing identity fields"),
+        (BAD_SHAPE, name.isNull() | number.isNull(), "missing identity fields"),
         (BAD_SHAPE, printed.isNull(), "trade time is missing or not epoch milliseconds"),
         (BAD_SHAPE, bad_sent, "event time is not epoch milliseconds"),
         (BAD_SHAPE, price.isNull(), "price is missing or not a decimal"),
         (BAD_SHAPE, size.isNull(), "quantity is missing or not a decimal"),
         (BAD_EPOCH, (printed < 0) | (sent < 0), "epoch milliseconds must not be negative"),
-        (BAD_VALUE, _whole("body", "t") < 0, "trade id must not be negative"),
+        (BAD_VALUE, number < 0, "trade id must not be negative"),
         (BAD_VALUE, price <= 0, "price must be positive"),
         (BAD_VALUE, size <= 0, "quantity must be positive"),
     ]
     good_size = F.when((price > 0) & (size > 0), size)
-    checked = rows.withColumns(
+    checked = _computed(
+        rows,
         {
             **_first_error(rules),
             "schema_version": F.lit(SCHEMA_VERSION),
             "exchange": F.lower(F.lit(exchange)),
-            "symbol": F.upper(F.trim(_field("body", "s"))),
-            "trade_id": _whole("body", "t"),
+            "symbol": F.upper(F.trim(name)),
+            "trade_id": number,
             "price": price,
             "quantity": size,
             "quote_quantity": money.multiply(price, good_size).cast(MONEY),
@@ -198,7 +224,7 @@ def normalise_trades(
             "event_time": clock.epoch_millis(sent),
             "ingested_at": F.col("received_at"),
             "raw_payload": F.to_json("body") if keep_raw else F.lit(None).cast("string"),
-        }
+        },
     )
     return Normalised(checked, TRADE, TRADE_TOPIC)
 
@@ -212,37 +238,45 @@ def normalise_quotes(
     """Top-of-book frames -> quote records. Without a venue time the receipt time is used."""
     rows = _prepared(routed, producer_id).filter("route = 'bookTicker'")
     numbers = {"bid_price": "b", "bid_quantity": "B", "ask_price": "a", "ask_quantity": "A"}
-    values = {name: _number("body", key) for name, key in numbers.items()}
     # A zero or absent time means "not given".
-    given = F.coalesce(
+    stated = F.coalesce(
         *[F.when(~_field("body", k).isin("0", "", "false"), _field("body", k)) for k in ("E", "T")]
     )
+    rows = _computed(
+        rows,
+        {
+            **{f"__{n}": _number("body", key) for n, key in numbers.items()},
+            "__symbol": _field("body", "s"), "__id": _whole("body", "u"), "__stated": stated,
+        },
+    )
+    values = {n: F.col(f"__{n}") for n in numbers}
+    name, number, given = F.col("__symbol"), F.col("__id"), F.col("__stated")
     moment = given.try_cast("bigint")
     rules = [
-        (BAD_SHAPE, _field("body", "s").isNull() | _whole("body", "u").isNull(),
-         "missing identity fields"),
+        (BAD_SHAPE, name.isNull() | number.isNull(), "missing identity fields"),
         (BAD_EPOCH, given.isNotNull() & moment.isNull(), "event time is not epoch milliseconds"),
         (BAD_EPOCH, moment < 0, "epoch milliseconds must not be negative"),
         *[(BAD_SHAPE, v.isNull(), f"{n} is missing or not a decimal") for n, v in values.items()],
-        (BAD_VALUE, _whole("body", "u") < 0, "update id must not be negative"),
+        (BAD_VALUE, number < 0, "update id must not be negative"),
         (BAD_VALUE, (values["bid_price"] <= 0) | (values["ask_price"] <= 0),
          "prices must be positive"),
         (BAD_VALUE, (values["bid_quantity"] < 0) | (values["ask_quantity"] < 0),
          "sizes must not be negative"),
         (BAD_VALUE, values["bid_price"] >= values["ask_price"], "crossed or locked book"),
     ]
-    checked = rows.withColumns(
+    checked = _computed(
+        rows,
         {
             **_first_error(rules),
             **values,
             "schema_version": F.lit(SCHEMA_VERSION),
             "exchange": F.lower(F.lit(exchange)),
-            "symbol": F.upper(F.trim(_field("body", "s"))),
-            "update_id": _whole("body", "u"),
+            "symbol": F.upper(F.trim(name)),
+            "update_id": number,
             "event_time": F.coalesce(clock.epoch_millis(moment), F.col("received_at")),
             "ingested_at": F.col("received_at"),
             "raw_payload": F.to_json("body") if keep_raw else F.lit(None).cast("string"),
-        }
+        },
     )
     return Normalised(checked, QUOTE, QUOTE_TOPIC)
 
@@ -264,14 +298,22 @@ def normalise_klines(
     A row with fewer than eleven entries is rejected whole: a missing entry
     would shift every later column.
     """
-    rows = _prepared(raw, producer_id).withColumn("__a", F.from_json("payload", "array<string>"))
+    rows = _computed(
+        _prepared(raw, producer_id), {"__a": F.from_json("payload", "array<string>")}
+    )
 
     def at(name: str) -> Column:
         return F.get("__a", F.lit(KLINE_POSITIONS[name]))
 
     ids = ("open_time", "close_time", "trade_count")
-    whole = {n: at(n).try_cast("bigint") for n in ids}
-    dec = {n: at(n).try_cast(MONEY) for n in KLINE_POSITIONS if n not in ids}
+    rows = _computed(
+        rows,
+        {
+            f"__{n}": at(n).try_cast("bigint" if n in ids else MONEY) for n in KLINE_POSITIONS
+        },
+    )
+    whole = {n: F.col(f"__{n}") for n in ids}
+    dec = {n: F.col(f"__{n}") for n in KLINE_POSITIONS if n not in ids}
     unread = F.lit(False)
     for c in dec.values():
         unread = unread | c.isNull()
@@ -298,7 +340,8 @@ def normalise_klines(
         (BAD_VALUE, dec["taker_buy_base_volume"] > dec["volume"],
          "taker volume exceeds total volume"),
     ]
-    checked = rows.withColumns(
+    checked = _computed(
+        rows,
         {
             **_first_error(rules),
             **dec,
@@ -311,7 +354,7 @@ def normalise_klines(
             "is_closed": F.lit(True),
             "ingested_at": F.col("received_at"),
             "raw_payload": F.col("payload") if keep_raw else F.lit(None).cast("string"),
-        }
+        },
     )
     return Normalised(checked, KLINE, KLINE_TOPIC)
 
@@ -327,17 +370,24 @@ def normalise_fx(raw: DataFrame, producer_id: str = "fx", keep_raw: bool = True)
     The source's end date is inclusive, so a day is added. A bad row becomes a
     dead letter and the rest of the batch goes on.
     """
-    rows = _prepared(raw, producer_id).withColumn("body", F.from_json("payload", _OBJECT))
+    rows = _computed(_prepared(raw, producer_id), {"body": F.from_json("payload", _OBJECT)})
 
     def moment(key: str) -> Column:
         local = F.regexp_replace(_field("body", key), "Z", "").try_cast("timestamp_ntz")
         return F.to_utc_timestamp(local.cast("timestamp"), _LOCAL_OFFSET)
 
-    rate = _number("body", "valor")
-    begins = moment("vigenciadesde")
-    ends = clock.plus_seconds(moment("vigenciahasta"), 86_400)
     unit = F.upper(F.trim(F.coalesce(_field("body", "unidad"), F.lit("COP"))))
-    quote = F.when(unit == "", F.lit("COP")).otherwise(unit)
+    rows = _computed(
+        rows,
+        {
+            "__rate": _number("body", "valor"),
+            "__begins": moment("vigenciadesde"),
+            "__ends": clock.plus_seconds(moment("vigenciahasta"), 86_400),
+            "__quote": F.when(unit == "", F.lit("COP")).otherwise(unit),
+        },
+    )
+    rate, begins, ends = F.col("__rate"), F.col("__begins"), F.col("__ends")
+    quote = F.col("__quote")
     rules = [
         (UNREADABLE, F.col("body").isNull(), "payload is not a JSON object"),
         (BAD_SHAPE, rate.isNull(), "no usable rate"),
@@ -346,7 +396,8 @@ def normalise_fx(raw: DataFrame, producer_id: str = "fx", keep_raw: bool = True)
         (BAD_VALUE, rate <= 0, "rate must be positive"),
         (BAD_VALUE, ends <= begins, "validity must end after it begins"),
     ]
-    checked = rows.withColumns(
+    checked = _computed(
+        rows,
         {
             **_first_error(rules),
             "schema_version": F.lit(SCHEMA_VERSION),
@@ -358,7 +409,7 @@ def normalise_fx(raw: DataFrame, producer_id: str = "fx", keep_raw: bool = True)
             "valid_to": ends,
             "ingested_at": F.col("received_at"),
             "raw_payload": F.to_json("body") if keep_raw else F.lit(None).cast("string"),
-        }
+        },
     )
     return Normalised(checked, FX_RATE, FX_TOPIC)
 
