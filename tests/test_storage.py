@@ -107,13 +107,30 @@ def test_compaction_keeps_the_rows_and_isolates_failures(spark):
     assert again.partitions == 0 and again.files_after == done.files_after
 
 
-def test_month_grain_and_spread(spark):
+def test_month_grain(spark):
     path = scratch_dir(spark, "t")
-    layout = writers.Layout("t", grain="month", bucket_col="k", spread=3)
+    layout = writers.Layout("t", grain="month")
     writers.append(frame(spark, [(f"k{i}", i * 48, i) for i in range(20)]), path, layout)
     assert {str(r["dt"]) for r in rows(readers.table(spark, path))} == {"2024-01-01", "2024-02-01"}
 
 
+def test_one_busy_partition_is_written_by_several_tasks(spark):
+    path = scratch_dir(spark, "t")
+    hot = spark.range(200_000).select(
+        F.lit("hot").alias("k"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 3600).alias("t"),
+        F.md5(F.col("id").cast("string")).alias("v"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1MB")
+    try:
+        writers.append(hot, path, LAYOUT)
+    finally:
+        spark.conf.set(size, before)
+    report = rows(writers.file_report(spark, path, LAYOUT.partition_cols))
+    assert len(report) == 1 and report[0]["files"] > 1
+    assert readers.table(spark, path).count() == 200_000
+
+
 def test_stored_failures_replace_the_same_check_only(spark):
     path = scratch_dir(spark, "t")
     writers.store_failures(frame(spark, [("a", 0, 1)]), path, "one")

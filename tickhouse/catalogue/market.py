@@ -21,6 +21,8 @@ from tickhouse.sources.staged import stage
 
 HOUR = 3_600
 AS_OF = date(2024, 1, 31)
+# A customer's symbol is observed a few times a year, so chunks are long.
+_SPARSE = 1_000 * 86_400
 
 
 def tables(spark: SparkSession, path: str) -> SampleTables:
@@ -298,7 +300,7 @@ def instrument_scd2(spark, path) -> DataFrame:
     return present(
         scd.scd2(
             tables(spark, path).observations(), tie_break=("observation_id",),
-            close_deletes=False, stage=stage,
+            close_deletes=False, chunk_seconds=_SPARSE, stage=stage,
         )
     )
 
@@ -314,11 +316,13 @@ def tick_asof(spark, path) -> DataFrame:
     """The tick size in force when each trade printed, and whether the price is on that grid."""
     t = tables(spark, path)
     history = scd.scd2(
-        t.observations(), tie_break=("observation_id",), close_deletes=False, stage=stage
+        t.observations(), tie_break=("observation_id",), close_deletes=False,
+        chunk_seconds=_SPARSE, stage=stage,
     )
     filters = stage(history.select("symbol", "tick_size", "valid_from", "valid_to"))
     joined = intervals.asof_join(
-        t.tape(), filters, "event_time", "valid_from", "valid_to", on=("symbol",)
+        t.tape(), filters, "event_time", "valid_from", "valid_to", on=("symbol",),
+        chunk_seconds=180 * 86_400,
     )
     off = F.pmod(F.col("price").cast("decimal(18,8)"), F.col("tick_size").cast("decimal(18,8)"))
     return present(

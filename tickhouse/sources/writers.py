@@ -25,8 +25,8 @@ class Layout:
 
     ``grain`` is ``day`` or ``month`` of ``time_col``; ``buckets`` splits a
     partition by symbol hash, so a filter on symbol reads one bucket.
-    ``spread`` further divides the write of each (date, bucket) over that many
-    tasks, for instruments too busy for one.
+    Rows are rebalanced by these columns before a write: AQE merges small
+    partitions into one task and splits one that a busy instrument has filled.
     """
 
     time_col: str
@@ -34,7 +34,6 @@ class Layout:
     buckets: int = 0
     bucket_col: str = "symbol"
     sort: tuple[str, ...] = ()
-    spread: int = 1
 
     @property
     def partition_cols(self) -> list[str]:
@@ -50,10 +49,8 @@ class Layout:
             out = out.withColumn(
                 "sym_bucket", F.pmod(F.xxhash64(self.bucket_col), F.lit(self.buckets)).cast("int")
             )
-        salt = [F.pmod(F.xxhash64(self.time_col), F.lit(self.spread))] if self.spread > 1 else []
-        out = out.repartition(*[F.col(c) for c in self.partition_cols], *salt)
-        order = [*self.partition_cols, *self.sort]
-        return out.sortWithinPartitions(*order)
+        out = out.hint("rebalance", *self.partition_cols)
+        return out.sortWithinPartitions(*self.partition_cols, *self.sort)
 
     def drop_derived(self, df: DataFrame) -> DataFrame:
         return df.drop(*self.partition_cols)
