@@ -69,6 +69,16 @@ def test_new_columns_are_appended(spark):
     assert got == {"a": (1, None), "b": (2, 1)}
 
 
+def test_a_declared_schema_needs_no_footer_merge(spark):
+    path = scratch_dir(spark, "t")
+    declared = frame(spark, [("a", 1, 1)], "flag").schema
+    writers.upsert(stage(frame(spark, [("a", 1, 1), ("b", 2, 1)])), path, ["k"], LAYOUT)
+    writers.upsert(stage(frame(spark, [("b", 2, 2)], "flag")), path, ["k"], LAYOUT, schema=declared)
+    writers.upsert(stage(frame(spark, [("a", 3, 5)])), path, ["k"], LAYOUT, schema=declared)
+    got = {r["k"]: (r["v"], r["flag"]) for r in rows(readers.table(spark, path))}
+    assert got == {"a": (5, None), "b": (2, 1)}
+
+
 def test_incremental_window(spark):
     df = frame(spark, [("a", 0, 1), ("b", 30, 1), ("c", 50, 1)])
     assert writers.incremental(df, "t", None, timedelta(hours=1)).count() == 3

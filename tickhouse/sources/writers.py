@@ -13,6 +13,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_RECORDS_PER_FILE = 5_000_000
 SMALL_FILE_BYTES = 96 * 1024 * 1024
@@ -39,6 +40,12 @@ class Layout:
     def partition_cols(self) -> list[str]:
         return ["dt", *(["sym_bucket"] if self.buckets else [])]
 
+    def partition_types(self) -> dict[str, T.StructField]:
+        return {
+            "dt": T.StructField("dt", T.DateType()),
+            "sym_bucket": T.StructField("sym_bucket", T.IntegerType()),
+        }
+
     def date_of(self, value: Column) -> Column:
         return F.to_date(F.date_trunc(self.grain, value))
 
@@ -120,13 +127,15 @@ def upsert(
     keys: Sequence[str],
     layout: Layout,
     lookback: timedelta | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
     """Insert or replace rows by key, rewriting only the partitions involved.
 
     A key may move between partitions, so old copies are looked up in every
     partition of the lookback (counted back from the oldest new row; ``None``
     searches the whole table), not only in those the new rows fall in. New
-    columns are added and are null in old rows.
+    columns are added and are null in old rows. Declare the table's ``schema``
+    on a large table; without it the footers of all files are merged to find it.
 
     ``new`` is read more than once, and so must not change between reads: pass
     a stored frame.
@@ -136,7 +145,11 @@ def upsert(
         append(new, path, layout)
         return
     parts = layout.partition_cols
-    old = spark.read.option("mergeSchema", "true").parquet(path)
+    if schema is None:
+        old = spark.read.option("mergeSchema", "true").parquet(path)
+    else:
+        full = T.StructType([*schema, *[layout.partition_types()[c] for c in parts]])
+        old = spark.read.schema(full).parquet(path)
     if lookback is not None:
         oldest = new.agg(F.min(layout.time_col)).head()[0]
         if oldest is not None:
