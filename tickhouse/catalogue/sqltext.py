@@ -33,7 +33,7 @@ class Ctes:
 
 def r6(expr: str) -> str:
     """Half-up at six digits. DuckDB rounds doubles in binary, so go through a decimal."""
-    return f"CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38,12)), 6) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), 6) AS DOUBLE)"
 
 
 def dbl(expr: str, alias: str) -> str:
