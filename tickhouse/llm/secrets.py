@@ -96,7 +96,18 @@ def labelled_samples(docs: DataFrame, n_docs: int = SAMPLE_DOCS) -> DataFrame:
         .when(i % 2 == 0, F.initcap(F.coalesce(F.get(F.col("w"), i + 2), F.lit(""))))
         .otherwise(F.upper(x))))
     ordinary = listed.select(F.explode(joined).alias("token"), F.lit(0).alias("label"))
-    return random.unionByName(ordinary)
+    # Rules drawn with one character, dates, versions and plain numbers.
+    number = F.abs(F.coalesce(F.col("doc_id"), F.lit(0)))
+    two = F.lpad((number % 28 + 1).cast("string"), 2, "0")
+    year = (number % 40 + 1990).cast("string")
+    plain = chosen.select(F.explode(F.array(
+        F.repeat(F.substring(F.lit(ALPHABET), (number % len(ALPHABET) + 1).cast("int"), F.lit(1)),
+                 F.lit(600)),
+        F.concat_ws("-", year, two, two), F.concat_ws("/", year, two, two),
+        F.concat_ws(".", (number % 9).cast("string"), two, (number % 13).cast("string")),
+        F.concat((number * 7919 % 1000003).cast("string"), two, year),
+    )).alias("token"), F.lit(0).alias("label"))
+    return random.unionByName(ordinary).unionByName(plain)
 
 
 def train(samples: DataFrame, alphabet: str = ALPHABET) -> list[float]:
@@ -160,10 +171,12 @@ def _text(spans_: Column) -> Column:
 def digest(docs: DataFrame) -> DataFrame:
     """Per document: matches of each kind, the digest of base spans, all spans."""
     found = scan(docs, train(labelled_samples(docs)))
-    counted = {
-        f"n_{KINDS[k]}": F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long")
-        for k in range(3)}
+
+    def counted(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(
+            f"n_{KINDS[kind]}")
+
     return found.select(
-        "doc_id", *[c.alias(n) for n, c in counted.items()],
+        "doc_id", counted(0), counted(1), counted(2),
         F.sha2(_text(F.col("base")), 256).alias("base_sha256"),
         _text(F.sort_array(F.concat("base", "extra"))).alias("spans"))
