@@ -16,6 +16,8 @@ from tickhouse.llm.shared import SPACE_CHARS, lower_ascii, store, texts
 
 MIN_CHARS = 40
 MIN_DOCS = 5
+#: Repeated lines are few, their places many: each line meets its places in so many parts.
+PARTS = 16
 
 
 def _lines(text: Column) -> Column:
@@ -62,8 +64,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     doc_id is null count as no document and keep their lines.
     """
     hashes = store(line_hashes(docs, min_chars).where("doc_id is not null"), label)
+    part = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
     dropped = (
-        hashes.join(repeated(hashes, min_docs), ["h1", "h2"])
+        hashes.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+        .join(repeated(hashes, min_docs).withColumn("part", part), ["h1", "h2", "part"])
         .where(F.col("doc_id") != F.col("last_doc"))
         .groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     )

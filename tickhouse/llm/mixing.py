@@ -105,7 +105,7 @@ def _last_finish(readings: DataFrame, budget: int, first_slices: int = 4096) ->
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, readings: int = MAX_READINGS,
-         per_slice: int = 65536, label: str = "mix") -> DataFrame:
+         per_slice: int = 4096, label: str = "mix") -> DataFrame:
     """One row per (doc_id, source, size): copies, source_size, target, and the
     finish time and number of the readings that the mix takes.
 
