@@ -137,43 +137,43 @@ def features(found: list[tuple[str, int, int, bool, bool]]) -> np.ndarray:
         [b[3] for b in found], [b[4] for b in found]])
 
 
-# The labelled blocks: words, link density, words and link density of the block
-# before, of the block after, apart, main, and whether the block is the article's.
-LABELLED = (
-    # Menus, crumbs and other links, inside and outside marked elements.
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0),
-    (2, 1.0, 1, 1.0, 8, 0.0, 1, 0, 0), (1, 1.0, 1, 1.0, 40, 0.0, 0, 0, 0),
-    (3, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0), (4, 1.0, 60, 0.0, 5, 1.0, 0, 0, 0),
-    (12, 0.9, 3, 1.0, 9, 1.0, 0, 0, 0), (25, 0.8, 3, 1.0, 30, 0.9, 0, 0, 0),
-    (6, 0.7, 4, 1.0, 2, 0.5, 0, 0, 0), (5, 1.0, 80, 0.0, 4, 1.0, 1, 1, 0),
-    # Adverts, notices, forms, side columns and comments, long ones too.
-    (8, 0.0, 1, 1.0, 12, 0.0, 1, 0, 0), (30, 0.1, 2, 1.0, 45, 0.0, 1, 0, 0),
-    (60, 0.0, 70, 0.0, 55, 0.0, 1, 0, 0), (14, 0.0, 90, 0.0, 22, 0.0, 1, 1, 0),
-    (3, 0.0, 50, 0.0, 0, 0.0, 1, 0, 0), (120, 0.0, 10, 0.0, 80, 0.0, 1, 0, 0),
-    (9, 0.2, 33, 0.0, 0, 0.0, 1, 0, 0), (40, 0.0, 6, 0.0, 25, 0.0, 1, 1, 0),
-    (75, 0.0, 120, 0.0, 60, 0.0, 1, 1, 0), (1, 0.0, 20, 0.0, 30, 0.0, 1, 1, 0),
-    # Articles in marked elements: headings, one-word and long paragraphs, links.
-    (9, 0.0, 8, 0.0, 30, 0.0, 0, 1, 1), (1, 0.0, 55, 0.0, 70, 0.0, 0, 1, 1),
-    (2, 0.0, 1, 1.0, 3, 0.0, 0, 1, 1), (150, 0.0, 9, 0.0, 60, 0.0, 0, 1, 1),
-    (80, 0.05, 150, 0.0, 4, 0.0, 0, 1, 1), (35, 0.3, 20, 0.0, 28, 0.1, 0, 1, 1),
-    (4, 0.0, 35, 0.0, 6, 0.0, 0, 1, 1), (12, 0.5, 40, 0.0, 50, 0.0, 0, 1, 1),
-    (5, 1.0, 70, 0.0, 90, 0.0, 0, 1, 1), (3, 1.0, 9, 0.0, 25, 0.0, 0, 1, 1),
-    (20, 0.9, 4, 0.5, 7, 0.6, 0, 1, 1), (300, 0.0, 1, 0.0, 8, 0.0, 0, 1, 1),
-    (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 1), (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 1),
+# Labelled blocks outside any telling element: words, link density, words and link
+# density of the block before, of the block after, and whether it is the article's.
+_UNMARKED = (
+    # Menus, crumbs and other links.
+    (1, 1.0, 1, 1.0, 40, 0.0, 0), (3, 1.0, 2, 1.0, 2, 1.0, 0), (4, 1.0, 60, 0.0, 5, 1.0, 0),
+    (12, 0.9, 3, 1.0, 9, 1.0, 0), (25, 0.8, 3, 1.0, 30, 0.9, 0), (6, 0.7, 4, 1.0, 2, 0.5, 0),
     # Articles without them: paragraphs, and headings before them.
-    (40, 0.0, 6, 0.0, 60, 0.0, 0, 0, 1), (90, 0.02, 40, 0.0, 85, 0.0, 0, 0, 1),
-    (60, 0.2, 90, 0.0, 3, 1.0, 0, 0, 1), (25, 0.0, 30, 0.0, 45, 0.0, 0, 0, 1),
-    (18, 0.0, 70, 0.0, 64, 0.1, 0, 0, 1), (7, 0.0, 2, 1.0, 44, 0.0, 0, 0, 1),
-    (6, 0.0, 45, 0.0, 52, 0.0, 0, 0, 1), (3, 0.0, 66, 0.0, 71, 0.0, 0, 0, 1),
-    (200, 0.0, 5, 0.0, 0, 0.0, 0, 0, 1), (33, 0.25, 1, 1.0, 47, 0.0, 0, 0, 1),
-    (16, 0.0, 0, 0.0, 19, 0.0, 0, 0, 1), (22, 0.0, 21, 0.0, 0, 0.0, 0, 0, 1),
+    (40, 0.0, 6, 0.0, 60, 0.0, 1), (90, 0.02, 40, 0.0, 85, 0.0, 1),
+    (60, 0.2, 90, 0.0, 3, 1.0, 1), (25, 0.0, 30, 0.0, 45, 0.0, 1),
+    (18, 0.0, 70, 0.0, 64, 0.1, 1), (7, 0.0, 2, 1.0, 44, 0.0, 1),
+    (6, 0.0, 45, 0.0, 52, 0.0, 1), (3, 0.0, 66, 0.0, 71, 0.0, 1),
+    (200, 0.0, 5, 0.0, 0, 0.0, 1), (33, 0.25, 1, 1.0, 47, 0.0, 1),
+    (16, 0.0, 0, 0.0, 19, 0.0, 1), (22, 0.0, 21, 0.0, 0, 0.0, 1),
     # Short lines that stand among links or at the end of a page.
-    (5, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0), (4, 0.0, 1, 1.0, 6, 1.0, 0, 0, 0),
-    (6, 0.0, 80, 0.0, 0, 0.0, 0, 0, 0), (3, 0.0, 4, 0.3, 0, 0.0, 0, 0, 0),
-    (8, 0.0, 55, 0.0, 5, 0.8, 0, 0, 0), (2, 0.0, 5, 0.0, 3, 0.0, 0, 0, 0),
+    (5, 0.0, 3, 1.0, 2, 1.0, 0), (4, 0.0, 1, 1.0, 6, 1.0, 0),
+    (6, 0.0, 80, 0.0, 0, 0.0, 0), (3, 0.0, 4, 0.3, 0, 0.0, 0),
+    (8, 0.0, 55, 0.0, 5, 0.8, 0), (2, 0.0, 5, 0.0, 3, 0.0, 0),
 )
 
 
+def _labelled() -> tuple:
+    """The rows above, and what the elements around a block decide: inside a menu,
+    form, advert or the like it is not the article's, whatever its words; else in
+    the element that holds the article it is, down to a word or a link."""
+    around = ((0, 0.0), (2, 1.0), (60, 0.0))
+    marked = [
+        (words, density, *before, *after, apart, main, int(not apart))
+        for words in (1, 4, 30, 150) for density in (0.0, 0.3, 1.0)
+        for before in around for after in around
+        for apart, main in ((1, 0), (1, 1), (0, 1))
+    ]
+    return (*[(*row[:-1], 0, 0, row[-1]) for row in _UNMARKED], *marked)
+
+
+LABELLED = _labelled()
+
+
 def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple | int:
     """A tree of (column, bound, at most, above) that halves Gini impurity greedily."""
     if depth == 0 or y.min() == y.max():
