@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickhouse.llm.shared import sample
+
 #: Training takes at most so many labelled rows, the first in order of a hash.
 TRAIN_ROWS = 20_000
 SHRINKAGE = 0.05
@@ -90,8 +92,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Discrim
     """Fitted on at most ``rows`` labelled documents outside the held-out fold."""
     marked = labels.where("doc_id is not null and quality in (0, 1)").where(
         F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT)
-    chosen = marked.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct(
-    ).orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
+    chosen = sample(marked.groupBy("doc_id").agg(
+        F.max(F.col("quality").cast("int")).alias("quality")), "doc_id", rows)
     # At most ``rows`` pairs of numbers, so this side can be sent to every task.
     pairs = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 

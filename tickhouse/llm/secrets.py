@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickhouse.llm.shared import texts
+from tickhouse.llm.shared import sample, store, texts
 
 # The base patterns, their kinds in order, and least lengths.
 KINDS = ("assign", "access", "hex", "model")
@@ -33,7 +33,7 @@ HEX = r"[0-9a-f]{32,}"
 TOKEN = r"[A-Za-z0-9+/_.=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 THRESHOLD = 12.0
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS, SAMPLE_PARTS = 4000, 16
 
 
 def spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
@@ -78,7 +78,9 @@ def labelled_samples(docs: DataFrame, n_docs: int = SAMPLE_DOCS) -> DataFrame:
     of their ids, written in hex, base 36 and base 64, are random by construction;
     their words, alone, joined in the usual ways and with numbers, are identifiers.
     """
-    chosen = texts(docs).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n_docs)
+    # Stored, so that the table is sampled once and training has many tasks.
+    chosen = store(
+        sample(texts(docs), "doc_id", n_docs).repartition(SAMPLE_PARTS, "doc_id"), "secrets")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     random = chosen.select(F.explode(F.array(
         F.md5(name), F.sha1(name), F.base64(F.unhex(F.sha2(name, 256))),

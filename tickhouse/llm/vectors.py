@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.llm.components import components
-from tickhouse.llm.shared import store
+from tickhouse.llm.shared import sample, store
 
 COSINE = 0.93
 #: Centres are fitted on at most so many vectors, the first in order of a hash.
@@ -182,10 +182,9 @@ def links(vectors: DataFrame, label: str = "vectors", reach: float = REACH,
 
 def _cells(distinct: DataFrame, size: int, n: int, reach: float, per_cell: int) -> DataFrame:
     """Each distinct vector once in its home cell and once in each as a guest."""
-    sample = (
-        distinct.orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).select("embedding").toPandas())
-    cells = max(1, min(MAX_CELLS, n // per_cell, len(sample)))
-    centres = fit(unit(sample["embedding"]), cells)
+    rows = sample(distinct, "id", FIT_ROWS).select("embedding").toPandas()
+    cells = max(1, min(MAX_CELLS, n // per_cell, len(rows)))
+    centres = fit(unit(rows["embedding"]), cells)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
