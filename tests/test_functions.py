@@ -31,9 +31,22 @@ def test_product_is_exact(spark):
     assert got == Decimal("64250.12345678") * Decimal("0.00000001")
 
 
-def test_product_overflow_is_loud(spark):
-    with pytest.raises(Exception, match="(?i)overflow|cannot be represented"):
-        one(spark, p=money.multiply(dec("99999999999.0"), dec("1")))
+@pytest.mark.parametrize(("a", "b", "product"), [
+    ("0.0000000001234", "1000", "0.0000001234"), ("99999999999", "1.5", "149999999998.5"),
+    ("-655074321244085492.17655208886708041", "3.23699358934779",
+     "-2120471378413459540.528889261111380611"),
+    ("0.000000000000000001", "0.5", "0.000000000000000001"),
+    ("0.000000000000000001", "0.499", "0"), ("99999999999999999999", "1.1", None),
+    ("99999999999999999999.999999999999999999", "1", "99999999999999999999.999999999999999999"),
+])
+def test_products_over_the_whole_range(spark, a, b, product):
+    got = one(spark, p=money.multiply(dec(a), dec(b)), q=money.multiply(dec(b), dec(a)))
+    want = None if product is None else Decimal(product)
+    assert got["p"] == got["q"] == want
+
+
+def test_conversion_keeps_the_decimals_of_a_small_rate(spark):
+    assert one(spark, c=money.convert(dec("1000000"), dec("0.000247318")))["c"] == Decimal("247.318")
 
 
 def test_ratio(spark):
@@ -67,9 +80,10 @@ def test_millis_truncate_each_end(spark):
     assert got["d"] == 1
 
 
-def test_negative_epoch_is_rejected(spark):
-    r = one(spark, bad=clock.epoch_millis(F.lit(-1)), ok=clock.epoch_millis(F.lit(1_000)))
-    assert r["bad"] is None and str(r["ok"]) == "1970-01-01 00:00:01"
+def test_epochs_out_of_range_are_rejected(spark):
+    r = one(spark, bad=clock.epoch_millis(F.lit(-1)), ok=clock.epoch_millis(F.lit(1_000)),
+            far=clock.epoch_millis(F.lit(2**63 - 1)))
+    assert r["bad"] is None and r["far"] is None and str(r["ok"]) == "1970-01-01 00:00:01"
 
 
 def test_unknown_interval():

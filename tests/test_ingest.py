@@ -3,6 +3,7 @@ from datetime import datetime
 from decimal import Decimal
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tickhouse.operators import ingest
 
@@ -46,7 +47,7 @@ def test_trade_fields(spark):
     assert out["price"] == Decimal("64250.1") and out["quote_quantity"] == Decimal("642.501")
     assert out["trade_time"] == datetime(2024, 1, 1, 0, 0, 0, 123000)
     assert out["event_time"] == datetime(2024, 1, 1, 0, 0, 0, 500000)
-    assert out["ingested_at"] == NOW and json.loads(out["raw_payload"])["t"] == "7"
+    assert out["ingested_at"] == NOW and json.loads(out["raw_payload"]) == TRADE
 
 
 def test_missing_envelope_time_falls_back(spark):
@@ -134,10 +135,24 @@ def test_instrument_filters(spark):
     assert [r["symbol"] for r in rows(only)] == ["BTCUSDT"]
 
 
-def test_oversized_payload_is_capped_only_in_the_dead_letter(spark):
+def test_extreme_messages_become_results_or_dead_letters(spark):
+    odd = [{"q": "20000000000"}, {"p": "0.0000000001234", "q": "1000"}, {"T": 2**63 - 1},
+           {"p": "9" * 20, "q": "2"}, {"p": "1" + "0" * 25}]
+    out = ingest.normalise_trades(frames(spark, *[{**TRADE, **change} for change in odd], TRADE))
+    good = [r["quote_quantity"] for r in rows(out.valid)]
+    assert good == [Decimal(TRADE["p"]) * 20_000_000_000, Decimal("0.0000001234"), Decimal("642.501")]
+    kinds = [r["error_type"] for r in rows(out.dead_letters)]
+    assert kinds == ["ValueError", "ValidationError", "NormalizationError"]
+
+
+def test_oversized_payload_is_kept_unless_a_width_is_given(spark):
     text = '{"e":"trade","pad":"' + "x" * 70_000 + '"'
     letter = rows(ingest.malformed_frames(frames(spark, text)))[0]
-    assert len(letter["raw_payload"]) == 64_000 and letter["origin_topic"] == "unknown"
+    assert letter["raw_payload"] == text and letter["origin_topic"] == "unknown"
+    bad = frames(spark, text).withColumns(
+        {c: F.lit("x") for c in ("error_type", "error_message", "producer_id")})
+    cut = rows(ingest.dead_letters(bad, "t", payload_width=10))[0]
+    assert cut["raw_payload"] == text[:10] and cut["payload_length"] == len(text)
     assert letter["error_type"] == "JSONDecodeError" and letter["failed_at"] == NOW
     padded = {**TRADE, "pad": "x" * 70_000}
     kept = rows(ingest.normalise_trades(frames(spark, padded)).valid)[0]

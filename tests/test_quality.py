@@ -54,12 +54,11 @@ def test_tick_grid_is_exact(spark):
     assert [r["trade_id"] for r in rows(quality.off_tick(trades, ref))] == [2]
 
 
-def test_join_multiplication_reasons(spark):
+def test_join_multiplication_counts(spark):
     silver, fact = bars(spark, [0, 1, 2]), bars(spark, [0, 1, 1, 3])
-    got = {r["bar_start"].minute: r["failure_reason"] for r in rows(
-        quality.join_multiplication(silver, fact, ("symbol", "bar_start")))}
-    assert got == {1: "range join multiplied the candle", 2: "candle missing from gold",
-                   3: "gold row with no silver candle"}
+    got = {r["bar_start"].minute: (r["rows_expected"], r["rows_found"], r["surplus"])
+           for r in rows(quality.join_multiplication(silver, fact, ("symbol", "bar_start")))}
+    assert got == {1: (1, 2, 1), 2: (1, 0, -1), 3: (0, 1, 1)}
 
 
 @pytest.mark.parametrize(("age", "status"), [(900, "pass"), (901, "warn"), (3601, "error")])

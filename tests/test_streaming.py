@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickhouse import schemas
 from tickhouse.session import scratch_dir
 from tickhouse.sources import readers
-from tickhouse.streaming import landing
+from tickhouse.streaming import landing, stateful
 
 NOW = datetime(2024, 1, 1, 1)
 RECORD = {"schema_version": 1, "exchange": "binance", "symbol": "S", "trade_id": 1,
@@ -64,3 +64,41 @@ def test_landed_schema_matches_the_contract(spark):
     decoded = landing.decode(messages(spark, body()), schemas.TRADE, "venue")
     names = [c for c in landing.landed(decoded).columns]
     assert sorted(names) == sorted(schemas.landed("trade").names)
+
+
+def test_a_drain_counts_every_batch(spark):
+    source, out = scratch_dir(spark, "in"), scratch_dir(spark, "out")
+    for n in range(6):
+        messages(spark, *[body()] * (n + 1)).coalesce(1).write.mode("append").parquet(source)
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "2")
+    try:
+        stream = readers.file_messages(spark, source, max_files_per_trigger=1)
+        query = landing.start_append(stream, out, scratch_dir(spark, "c"), None)
+        assert landing.finish(query) == 21
+        assert sum(p["numInputRows"] for p in query.recentProgress) < 21
+    finally:
+        spark.conf.set(kept, before)
+
+
+def test_late_rows_are_counted(spark):
+    source, out = scratch_dir(spark, "in"), scratch_dir(spark, "out")
+    hours = [datetime(2024, 1, 1, h) for h in (12, 20, 1)]
+    schema = "k string, event_time timestamp"
+    for n, at in enumerate(hours):
+        spark.createDataFrame([(f"k{n}", at)], schema).coalesce(1).write.mode("append").parquet(source)
+    stream = readers.file_messages(
+        spark, source, spark.read.parquet(source).schema, max_files_per_trigger=1)
+    query = landing.start_append(
+        stateful.dedup_stream(stream, ["k"]), out, scratch_dir(spark, "c"), None)
+    assert landing.finish(query) == 3
+    assert landing.late_rows(query) == 1 and readers.table(spark, out).count() == 2
+
+
+def test_a_repeated_batch_replaces_itself(spark):
+    out, bad = scratch_dir(spark, "out"), scratch_dir(spark, "bad")
+    decoded = landing.decode(messages(spark, body(), body()[:9]), schemas.TRADE, "venue")
+    for batch in (1, 1, 2):
+        landing.write_batch(decoded, batch, out, bad)
+    assert readers.table(spark, out).count() == readers.table(spark, bad).count() == 2

@@ -260,7 +260,7 @@ def lag_histogram(spark, path) -> DataFrame:
 
 def lag_percentiles(spark, path) -> DataFrame:
     trades = staging.stage_trades(tables(spark, path).landed_trades())
-    return present(telemetry.lag_percentiles(trades, "ingestion_lag_ms", ["symbol"]))
+    return present(telemetry.lag_percentiles(trades, "ingestion_lag_ms", ["symbol"], exact=True))
 
 
 def message_rates(spark, path) -> DataFrame:

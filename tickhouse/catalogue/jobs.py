@@ -11,9 +11,15 @@ from tickhouse.catalogue.market import HOUR, tables
 from tickhouse.catalogue.present import present
 from tickhouse.functions import clock, money
 from tickhouse.functions.money import MONEY
-from tickhouse.operators import staging
+from tickhouse.operators import ingest, intervals, quality, staging
 from tickhouse.plans import silver
-from tickhouse.schemas import SCHEMA_VERSION, TRADE, VENUE
+from tickhouse.schemas import (
+    INSTRUMENT_REFERENCE,
+    SCHEMA_VERSION,
+    TRADE,
+    VENUE,
+    partition_key,
+)
 from tickhouse.session import scratch_dir
 from tickhouse.sources import readers, writers
 from tickhouse.sources.sample_tables import event_columns
@@ -258,9 +264,132 @@ def compact_report(spark, path) -> DataFrame:
     )
 
 
+# -- repeats, extremes and open ends ---------------------------------------------------
+
+
+def parse_extremes(spark, path) -> DataFrame:
+    """Trade messages at the ends of the ranges: results or dead letters, never an abort.
+
+    By id: sizes of 10^15 and over, prices of a few 1e-18, times at the 64-bit limit,
+    products of 21 digits, and ordinary trades.
+    """
+    e = tables(spark, path).events()
+    case = F.col("event_id") % 5
+    cents = F.col("value").cast("decimal(18,2)").cast("string")
+    tiny = F.concat(F.lit("0."), F.lpad((F.col("event_id") + 1).cast("string"), 18, "0"))
+    price = F.when(case == 1, tiny).when(case == 3, "9" * 20).otherwise(cents)
+    size = (
+        F.when(case == 0, F.concat((F.col("k") + 1).cast("string"), F.lit("0" * 15)))
+        .when(case == 1, "1000").otherwise((F.col("k") + 2).cast("string"))
+    )
+    moment = F.when(case == 2, str(2**63 - 1)).otherwise(F.unix_millis("ts").cast("string"))
+    payload = F.concat(
+        F.lit('{"e":"trade","s":"'), "event_type", F.lit('","t":'), F.col("event_id"),
+        F.lit(',"p":"'), price, F.lit('","q":"'), size, F.lit('","m":true,"T":'), moment,
+        F.lit("}"),
+    )
+    raw = e.select(payload.alias("payload"), F.col("ts").alias("received_at"))
+    out = ingest.normalise_trades(ingest.route_frames(raw))
+    good = out.valid.select(
+        "trade_id", F.col("quote_quantity").cast("string").alias("notional"),
+        F.lit(None).cast("string").alias("error_type"), "raw_payload",
+    )
+    bad = out.dead_letters.select(
+        F.get_json_object("raw_payload", "$.t").cast("bigint").alias("trade_id"),
+        F.lit(None).cast("string").alias("notional"), "error_type", "raw_payload",
+    )
+    return present(good.unionByName(bad))
+
+
+def dead_letter_texts(spark, path) -> DataFrame:
+    """Cut-off frames, some very long: the whole text is kept, and its length."""
+    e = tables(spark, path).events()
+    times = F.when(F.col("event_id") % 1000 == 0, F.lit(40_000)).otherwise(F.col("k") + 1)
+    payload = F.concat(F.lit('{"cut": "'), F.expr("repeat(event_type, CAST(times AS INT))"))
+    raw = e.withColumn("times", times).select(
+        payload.alias("payload"), F.col("ts").alias("received_at"))
+    letters = ingest.malformed_frames(ingest.route_frames(raw))
+    return present(letters.select(
+        F.md5("raw_payload").alias("payload_md5"), "payload_length", "error_type", "failed_at"))
+
+
+def landing_repeated_batch(spark, path) -> DataFrame:
+    """A batch that is written again after a failure lands once."""
+    good, bad = scratch_dir(spark, "landed"), scratch_dir(spark, "quarantine")
+    decoded = landing.decode(_messages(tables(spark, path).read("events")), TRADE, VENUE)
+    for _ in range(2):
+        landing.write_batch(decoded, 7, good, bad)
+    landed = readers.table(spark, good).groupBy("symbol").agg(F.count(F.lit(1)).alias("landed"))
+    quarantined = readers.table(spark, bad).groupBy(F.col("_kafka_key").alias("symbol")).agg(
+        F.count(F.lit(1)).alias("quarantined"))
+    return present(landed.join(quarantined, "symbol", "left"))
+
+
+def upsert_repeated_keys(spark, path) -> DataFrame:
+    """Replayed trades in one upsert: the copy that the lake saw last is kept."""
+    landed = stage(staging.stage_trades(tables(spark, path).landed_trades()).select(
+        "exchange_id", "symbol", "trade_id", "price", "event_time", "lake_ingested_at"))
+    target = scratch_dir(spark, "merge")
+    early = landed.filter(F.col("event_time") < F.lit(_SPLIT))
+    for rows in (early, landed):
+        writers.upsert(rows, target, silver.TRADE_KEYS, _DAILY, order=("lake_ingested_at",))
+    return present(readers.table(spark, target), "symbol", "trade_id", "price", "event_time",
+                   "lake_ingested_at")
+
+
+def open_interval_join(spark, path) -> DataFrame:
+    """Rates whose last interval has no end yet, joined by time bucket."""
+    t = tables(spark, path)
+    rates = intervals.rebound_intervals(
+        t.publications(), ["currency_pair"], order=("publication_id",), stage=stage)
+    opened = rates.withColumn("valid_to", F.when(F.col("was_rebounded"), F.col("valid_to")))
+    joined = intervals.interval_join(
+        t.tape(), opened, "event_time", "valid_from", "valid_to", on=("currency_pair",))
+    return present(joined.groupBy("currency_pair").agg(
+        F.count(F.lit(1)).alias("trades"), F.count("rate").alias("with_rate"),
+        F.max("valid_from").alias("newest")))
+
+
+def rebuild_tape(spark, path) -> DataFrame:
+    """A full rebuild replaces what an earlier one wrote; per day of the table's layout."""
+    trades, target = _tape(spark, path), scratch_dir(spark, "rebuilt")
+    writers.overwrite(trades.filter(F.col("quantity") > 50), target, _DAILY)
+    writers.overwrite(trades, target, _DAILY)
+    return present(readers.table(spark, target).groupBy("symbol", F.col("dt").cast("string")
+                   .alias("dt")).agg(F.count(F.lit(1)).alias("trades")))
+
+
+def stored_failures(spark, path) -> DataFrame:
+    """The rows behind a failed check, kept in its table."""
+    trades = staging.stage_trades(tables(spark, path).landed_trades())
+    check = quality.in_range("ingestion_lag_ms", -10_000, 4_000, severity="warn")
+    target = scratch_dir(spark, "failures")
+    for _ in range(2):
+        writers.store_failures(quality.failing_rows(trades, check), target, "lag")
+    return present(readers.table(spark, target), "symbol", "trade_id", "ingestion_lag_ms",
+                   "check_name")
+
+
+def seed_reference(spark, path) -> DataFrame:
+    """The declared instruments, written as CSV and read with their declared types."""
+    target = scratch_dir(spark, "seed")
+    declared = tables(spark, path).reference().withColumn("listed_on", F.lit("2024-01-01"))
+    declared.select(*INSTRUMENT_REFERENCE.names).write.option("header", "true").csv(target)
+    return present(readers.reference_seed(spark, target))
+
+
+def message_keys(spark, path) -> DataFrame:
+    """Landed trades by the key that keeps an instrument's messages in order."""
+    trades = tables(spark, path).landed_trades()
+    return present(trades.groupBy(partition_key("trade").alias("message_key")).agg(
+        F.count(F.lit(1)).alias("messages"), F.max("trade_id").alias("last_id")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        parse_extremes, dead_letter_texts, landing_repeated_batch, upsert_repeated_keys,
+        open_interval_join, rebuild_tape, stored_failures, seed_reference, message_keys,
         merge_upsert, incremental_bars, compact_report,
         stream_bronze, stream_quarantine, stream_dedup, stream_bars, stream_sequence,
     )

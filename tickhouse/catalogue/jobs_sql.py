@@ -6,6 +6,62 @@ from tickhouse.catalogue.market_sql import CTES
 from tickhouse.catalogue.sqltext import dbl, dbls
 
 ORACLES = {
+    "parse_extremes": CTES.query("""
+        SELECT event_id AS trade_id, error_type,
+               CASE WHEN error_type IS NULL THEN CAST(CAST(CASE event_id % 5
+                 WHEN 0 THEN CAST(CAST(cents * (k + 1) AS DECIMAL(20,2))
+                                  * CAST(1000000000000000 AS DECIMAL(16,0)) AS DECIMAL(38,18))
+                 WHEN 1 THEN CAST('0.' || lpad(CAST(event_id + 1 AS VARCHAR), 15, '0') AS DECIMAL(38,18))
+                 ELSE CAST(cents * (k + 2) AS DECIMAL(38,18)) END AS DECIMAL(38,18)) AS VARCHAR)
+                 END AS notional,
+               '{"e":"trade","s":"' || event_type || '","t":' || event_id || ',"p":"' ||
+               CASE event_id % 5
+                 WHEN 1 THEN '0.' || lpad(CAST(event_id + 1 AS VARCHAR), 18, '0')
+                 WHEN 3 THEN repeat('9', 20) ELSE CAST(cents AS VARCHAR) END || '","q":"' ||
+               CASE event_id % 5 WHEN 0 THEN (k + 1) || repeat('0', 15) WHEN 1 THEN '1000'
+                 ELSE CAST(k + 2 AS VARCHAR) END || '","m":true,"T":' ||
+               CASE event_id % 5 WHEN 2 THEN '9223372036854775807'
+                 ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END || '}' AS raw_payload
+        FROM (SELECT *, CASE WHEN event_id % 5 = 2 THEN 'ValueError'
+                             WHEN event_id % 5 = 3 THEN 'ValidationError'
+                             WHEN event_id % 5 <> 1 AND cents <= 0 THEN 'ValidationError'
+                        END AS error_type
+              FROM (SELECT *, CAST(value AS DECIMAL(18,2)) AS cents FROM c_ev))"""),
+    "dead_letter_texts": CTES.query("""
+        SELECT md5(payload) AS payload_md5, length(payload) AS payload_length,
+               'JSONDecodeError' AS error_type, ts AS failed_at
+        FROM (SELECT ts, '{"cut": "' || repeat(event_type, CASE WHEN event_id % 1000 = 0
+                THEN 40000 ELSE CAST(k + 1 AS BIGINT) END) AS payload FROM c_ev)"""),
+    "landing_repeated_batch": CTES.query("""
+        SELECT event_type AS symbol, count(*) FILTER (event_id % 101 <> 0) AS landed,
+               nullif(count(*) FILTER (event_id % 101 = 0), 0) AS quarantined
+        FROM c_ev GROUP BY 1"""),
+    "upsert_repeated_keys": CTES.query(f"""
+        SELECT symbol, trade_id, {dbl("any_value(price)", "price")},
+               any_value(event_time) AS event_time, max(lake_ingested_at) AS lake_ingested_at
+        FROM c_landed GROUP BY symbol, trade_id"""),
+    "open_interval_join": CTES.query("""
+        SELECT t.currency_pair, count(*) AS trades, count(f.rate) AS with_rate,
+               max(f.valid_from) AS newest
+        FROM c_tape t LEFT JOIN c_order_fx f ON t.currency_pair = f.currency_pair
+          AND t.event_time >= f.valid_from
+          AND (t.event_time < f.valid_to OR f.valid_to = f.source_valid_to)
+        GROUP BY 1"""),
+    "rebuild_tape": CTES.query("""
+        SELECT symbol, strftime(event_time, '%Y-%m-%d') AS dt, count(*) AS trades
+        FROM c_trades GROUP BY 1, 2"""),
+    "stored_failures": CTES.query("""
+        SELECT symbol, trade_id, ingestion_lag_ms, 'lag' AS check_name
+        FROM c_landed WHERE ingestion_lag_ms > 4000"""),
+    "seed_reference": """
+        SELECT CAST(p_partkey + 100 AS VARCHAR) AS symbol, p_brand AS base_asset,
+               p_type AS quote_asset, 'spot' AS instrument_class, CAST(0.01 AS DOUBLE) AS tick_size,
+               CAST(1 AS DOUBLE) AS step_size, CAST(5 AS DOUBLE) AS min_notional,
+               p_size <= 40 AS is_tracked, '2024-01-01' AS listed_on
+        FROM part""",
+    "message_keys": CTES.query("""
+        SELECT symbol AS message_key, count(*) AS messages, max(trade_id) AS last_id
+        FROM c_landed GROUP BY 1"""),
     "merge_upsert": CTES.query(f"""
         SELECT symbol, trade_id,
                {dbl("quantity + CASE WHEN event_time >= TIMESTAMP '2024-01-15' THEN 1 ELSE 0 END",

@@ -277,7 +277,8 @@ def reconciliation_daily(spark, path) -> DataFrame:
 
 
 def delivery_daily(spark, path) -> DataFrame:
-    return present(gold.delivery_daily(silver.trades(tables(spark, path).landed_trades())))
+    return present(gold.delivery_daily(
+        silver.trades(tables(spark, path).landed_trades()), exact=True))
 
 
 def instrument_day_health(spark, path) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,14 +52,20 @@ def whole_days(start: Column, end: Column) -> Column:
     return F.floor((F.unix_micros(end) - F.unix_micros(start)) / F.lit(86_400_000_000)).cast("int")
 
 
+# The last millisecond of year 9999, the greatest time that a record may carry.
+MAX_EPOCH_MILLIS = 253_402_300_799_999
+
+
 def epoch_millis(value: Column) -> Column:
-    """Timestamp from epoch milliseconds; null for negative or null input."""
-    return F.when(value >= 0, F.timestamp_millis(value))
+    """Timestamp from epoch milliseconds; null for null and for times out of range."""
+    return F.when(value.between(0, MAX_EPOCH_MILLIS), F.timestamp_millis(value))
 
 
-def event_lag_millis(event_time: Column, ingested_at: Column) -> Column:
-    return millis_between(event_time, ingested_at)
+def out_of_range(value: Column) -> Column:
+    """Whether epoch milliseconds are given and have no timestamp."""
+    return ~value.between(0, MAX_EPOCH_MILLIS)
 
 
-def built_at() -> Column:
-    return F.current_timestamp()
+def built_at(as_of: datetime | None = None) -> Column:
+    """Build time of a table: one moment for all rows, given or that of the query."""
+    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")

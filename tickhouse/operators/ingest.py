@@ -33,7 +33,7 @@ from tickhouse.schemas import (
     conform,
 )
 
-# Topics, error classes and dead-letter caps.
+# Topics and error classes.
 TRADE_TOPIC = "md.trades.v1"
 QUOTE_TOPIC = "md.book_ticker.v1"
 KLINE_TOPIC = "md.klines.v1"
@@ -42,10 +42,9 @@ UNREADABLE = "JSONDecodeError"
 BAD_SHAPE = "NormalizationError"
 BAD_VALUE = "ValidationError"
 BAD_EPOCH = "ValueError"
-MAX_ERROR_MESSAGE = 4_000
-MAX_PAYLOAD = 64_000
 
 _OBJECT = "map<string,string>"
+_NO_TIME = "epoch milliseconds lie outside the years 1970 to 9999"
 
 
 @dataclass(frozen=True)
@@ -65,19 +64,28 @@ class Normalised:
         return dead_letters(self.checked.filter(F.col("error_type").isNotNull()), self.topic)
 
 
-def dead_letters(rejected: DataFrame, topic: str) -> DataFrame:
-    """Envelope of rejected rows; message and payload are capped, the row count is not."""
+def dead_letters(
+    rejected: DataFrame, topic: str, message_width: int | None = None,
+    payload_width: int | None = None,
+) -> DataFrame:
+    """Envelope of rejected rows, whole by default; a width cuts text that is stored,
+    and ``payload_length`` then still tells the length of what came."""
     stream = F.col("stream") if "stream" in rejected.columns else F.lit(None)
+
+    def stored(column: str, width: int | None) -> Column:
+        return F.col(column) if width is None else F.substring(column, 1, width)
+
     return conform(
         rejected.select(
             F.lit(SCHEMA_VERSION).alias("schema_version"),
             F.lit(topic).alias("origin_topic"),
             stream.alias("origin_stream"),
             "error_type",
-            F.substring("error_message", 1, MAX_ERROR_MESSAGE).alias("error_message"),
-            F.substring("payload", 1, MAX_PAYLOAD).alias("raw_payload"),
+            stored("error_message", message_width).alias("error_message"),
+            stored("payload", payload_width).alias("raw_payload"),
             F.col("received_at").alias("failed_at"),
             "producer_id",
+            F.length("payload").cast("long").alias("payload_length"),
         ),
         DEAD_LETTER,
     )
@@ -141,6 +149,8 @@ def route_frames(raw: DataFrame) -> DataFrame:
         {
             "stream": F.when(wrapped, _field("__o", "stream")),
             "body": F.when(wrapped, F.from_json(data, _OBJECT)).otherwise(F.col("__o")),
+            # The record's own JSON, before values became text.
+            "body_text": F.when(wrapped, data).otherwise(F.col("payload")),
         },
     )
     suffix = F.when(
@@ -190,6 +200,7 @@ def normalise_trades(
             "__flag": _field("body", "m"),
         },
     )
+    rows = _computed(rows, {"__notional": money.multiply(F.col("__price"), F.col("__size"))})
     name, number = F.col("__symbol"), F.col("__id")
     price, size, printed = F.col("__price"), F.col("__size"), F.col("__printed")
     own_time = F.col("__sent_text").try_cast("bigint")
@@ -202,12 +213,13 @@ def normalise_trades(
         (BAD_SHAPE, bad_sent, "event time is not epoch milliseconds"),
         (BAD_SHAPE, price.isNull(), "price is missing or not a decimal"),
         (BAD_SHAPE, size.isNull(), "quantity is missing or not a decimal"),
-        (BAD_EPOCH, (printed < 0) | (sent < 0), "epoch milliseconds must not be negative"),
+        (BAD_EPOCH, clock.out_of_range(printed) | clock.out_of_range(sent), _NO_TIME),
         (BAD_VALUE, number < 0, "trade id must not be negative"),
         (BAD_VALUE, price <= 0, "price must be positive"),
         (BAD_VALUE, size <= 0, "quantity must be positive"),
+        (BAD_VALUE, (price > 0) & (size > 0) & F.col("__notional").isNull(),
+         "price times quantity does not fit"),
     ]
-    good_size = F.when((price > 0) & (size > 0), size)
     checked = _computed(
         rows,
         {
@@ -218,12 +230,12 @@ def normalise_trades(
             "trade_id": number,
             "price": price,
             "quantity": size,
-            "quote_quantity": money.multiply(price, good_size).cast(MONEY),
+            "quote_quantity": F.col("__notional"),
             "buyer_is_maker": ~flag.isin("false", "0", ""),
             "trade_time": clock.epoch_millis(printed),
             "event_time": clock.epoch_millis(sent),
             "ingested_at": F.col("received_at"),
-            "raw_payload": F.to_json("body") if keep_raw else F.lit(None).cast("string"),
+            "raw_payload": F.col("body_text") if keep_raw else F.lit(None).cast("string"),
         },
     )
     return Normalised(checked, TRADE, TRADE_TOPIC)
@@ -255,7 +267,7 @@ def normalise_quotes(
     rules = [
         (BAD_SHAPE, name.isNull() | number.isNull(), "missing identity fields"),
         (BAD_EPOCH, given.isNotNull() & moment.isNull(), "event time is not epoch milliseconds"),
-        (BAD_EPOCH, moment < 0, "epoch milliseconds must not be negative"),
+        (BAD_EPOCH, clock.out_of_range(moment), _NO_TIME),
         *[(BAD_SHAPE, v.isNull(), f"{n} is missing or not a decimal") for n, v in values.items()],
         (BAD_VALUE, number < 0, "update id must not be negative"),
         (BAD_VALUE, (values["bid_price"] <= 0) | (values["ask_price"] <= 0),
@@ -275,7 +287,7 @@ def normalise_quotes(
             "update_id": number,
             "event_time": F.coalesce(clock.epoch_millis(moment), F.col("received_at")),
             "ingested_at": F.col("received_at"),
-            "raw_payload": F.to_json("body") if keep_raw else F.lit(None).cast("string"),
+            "raw_payload": F.col("body_text") if keep_raw else F.lit(None).cast("string"),
         },
     )
     return Normalised(checked, QUOTE, QUOTE_TOPIC)
@@ -330,8 +342,8 @@ def normalise_klines(
         (BAD_SHAPE, F.size("__a") < 11, "candle row has too few columns"),
         (BAD_EPOCH, whole["open_time"].isNull() | whole["close_time"].isNull()
          | whole["trade_count"].isNull(), "time or count is not a whole number"),
-        (BAD_EPOCH, (whole["open_time"] < 0) | (whole["close_time"] < 0),
-         "epoch milliseconds must not be negative"),
+        (BAD_EPOCH, clock.out_of_range(whole["open_time"])
+         | clock.out_of_range(whole["close_time"]), _NO_TIME),
         (BAD_SHAPE, unread, "a price or volume is not a decimal"),
         (BAD_VALUE, unpriced, "prices must be positive"),
         (BAD_VALUE, negative, "volumes and counts must not be negative"),
@@ -408,7 +420,7 @@ def normalise_fx(raw: DataFrame, producer_id: str = "fx", keep_raw: bool = True)
             "valid_from": begins,
             "valid_to": ends,
             "ingested_at": F.col("received_at"),
-            "raw_payload": F.to_json("body") if keep_raw else F.lit(None).cast("string"),
+            "raw_payload": F.col("payload") if keep_raw else F.lit(None).cast("string"),
         },
     )
     return Normalised(checked, FX_RATE, FX_TOPIC)
@@ -460,11 +472,3 @@ def instrument_observations(raw: DataFrame, symbols: Sequence[str] | None = None
     if symbols:
         out = out.filter(F.col("symbol").isin([s.upper() for s in symbols]))
     return conform(out, INSTRUMENT_OBSERVATION)
-
-
-NORMALISERS: Mapping = {
-    "trade": normalise_trades,
-    "bookTicker": normalise_quotes,
-    "kline": normalise_klines,
-    "fx_rate": normalise_fx,
-}

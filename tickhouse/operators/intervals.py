@@ -68,12 +68,21 @@ def interval_join(
     interval side when its measured size allows and otherwise shuffles both
     sides, splitting a skewed bucket. Overlapping intervals give one output row
     each. The interval side grows by its mean length in buckets; use
-    :func:`asof_join` for open-ended or very long intervals.
+    :func:`asof_join` for very long intervals. An interval with a null end is open:
+    it is laid out up to the newest left row, whose time is looked up only if
+    there is such an interval.
     """
     first = clock.bucket_id(F.col(start), bucket_seconds)
-    last = clock.bucket_id(F.timestamp_micros(F.unix_micros(end) - 1), bucket_seconds)
+    closing = F.col(end)
+    is_open = F.col(end).isNull() & F.col(start).isNotNull()
+    if not intervals.filter(is_open).isEmpty():
+        newest = left.agg(F.max(t)).head()[0]
+        closing = F.when(is_open, F.timestamp_micros(F.greatest(
+            F.unix_micros(F.lit(newest).cast("timestamp")), F.unix_micros(start)) + 1
+        )).otherwise(closing)
+    last = clock.bucket_id(F.timestamp_micros(F.unix_micros(closing) - 1), bucket_seconds)
     right = (
-        intervals.filter(F.col(end) > F.col(start))
+        intervals.filter(closing > F.col(start))
         .withColumn("__bucket", F.explode(F.sequence(first, last)))
         .withColumnsRenamed({k: f"__r_{k}" for k in on})
     )
@@ -81,7 +90,7 @@ def interval_join(
     condition = (
         (F.col("__lbucket") == F.col("__bucket"))
         & (F.col(t) >= F.col(start))
-        & (F.col(t) < F.col(end))
+        & (F.col(end).isNull() | (F.col(t) < F.col(end)))
     )
     for k in on:
         condition = condition & (F.col(k) == F.col(f"__r_{k}"))
@@ -104,8 +113,9 @@ def asof_join(
 
     For non-overlapping intervals this equals the interval join, needs no
     repetition of long intervals and accepts an open end (null). Both sides are
-    laid on one timeline and the interval is carried forward in time chunks, so
-    the left side is shuffled once and a busy key is spread over its chunks.
+    laid on one timeline and the interval is carried forward in time chunks, so a
+    busy key is spread over its chunks. Left rows are shuffled once at full width;
+    the chunk edges read the keys and times of both sides a second time.
     """
     lcols = left.columns
     rcols = [c for c in intervals.columns if c not in on]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock, money
+from tickhouse.functions.money import MONEY
 from tickhouse.operators.dedup import grain_violations
 from tickhouse.operators.ordered import neighbours
 
@@ -169,7 +170,8 @@ def off_tick(trades: DataFrame, reference: DataFrame, since=None) -> DataFrame:
     """Trades whose price is not a whole multiple of the instrument's tick size."""
     recent = trades if since is None else trades.filter(F.col("event_time") >= F.lit(since))
     grid = reference.select("symbol", "tick_size")
-    remainder = F.col("price").cast("decimal(28,10)") % F.col("tick_size").cast("decimal(28,10)")
+    # Both have 18 decimals, which a remainder keeps.
+    remainder = F.col("price").cast(MONEY) % F.col("tick_size").cast(MONEY)
     return (
         recent.select("symbol", "trade_id", "price", "event_time")
         .join(grid, "symbol")
@@ -179,20 +181,19 @@ def off_tick(trades: DataFrame, reference: DataFrame, since=None) -> DataFrame:
 
 
 def join_multiplication(silver: DataFrame, gold: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys whose row count differs between a table and the fact built from it."""
-    n = F.count(F.lit(1))
-    expected = silver.groupBy(*keys).agg(n.alias("silver_rows"))
-    actual = gold.groupBy(*keys).agg(n.alias("gold_rows"))
-    reason = (
-        F.when(F.col("gold_rows").isNull(), "candle missing from gold")
-        .when(F.col("silver_rows").isNull(), "gold row with no silver candle")
-        .otherwise("range join multiplied the candle")
+    """Keys whose row count differs between a table and the fact built from it.
+
+    Both counts, 0 where a side has no row, and the rows that the fact has too many
+    (above zero: the join multiplied) or too few (below: rows were lost).
+    """
+    sides = silver.select(*keys, F.lit(1).alias("__s"), F.lit(0).alias("__g")).unionByName(
+        gold.select(*keys, F.lit(0).alias("__s"), F.lit(1).alias("__g"))
     )
-    return (
-        expected.join(actual, list(keys), "full_outer")
-        .filter(~F.col("silver_rows").eqNullSafe(F.col("gold_rows")))
-        .withColumn("failure_reason", reason)
+    counted = sides.groupBy(*keys).agg(
+        F.sum("__s").alias("rows_expected"), F.sum("__g").alias("rows_found")
     )
+    surplus = F.col("rows_found") - F.col("rows_expected")
+    return counted.withColumn("surplus", surplus).filter("surplus <> 0")
 
 
 # -- platform checks -------------------------------------------------------------------

@@ -32,7 +32,7 @@ def stage_trades(landed: DataFrame) -> DataFrame:
         F.col("_kafka_offset").alias("kafka_offset"),
         "producer_id",
         "schema_version",
-        clock.event_lag_millis(F.col("trade_time"), F.col("ingested_at")).alias("ingestion_lag_ms"),
+        clock.millis_between(F.col("trade_time"), F.col("ingested_at")).alias("ingestion_lag_ms"),
     )
 
 

@@ -36,8 +36,21 @@ def lag_histogram(df: DataFrame, lag_ms: str, by: Sequence[str]) -> DataFrame:
     return grouped.select(*by, F.inline(F.array(*cells)))
 
 
-def lag_percentiles(df: DataFrame, lag_ms: str, by: Sequence[str]) -> DataFrame:
-    q = F.percentile_approx(lag_ms, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)), 10_000)
+def quantile(value: str, share: float, exact: bool) -> Column:
+    """Aggregate: the least value that ``share`` of the rows do not exceed.
+
+    The default is a sketch, exact for groups of up to its accuracy. ``exact``
+    counts the distinct values of a group, which suits whole milliseconds.
+    """
+    if exact:
+        return F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY {value})").cast("bigint")
+    return F.percentile_approx(value, share, 10_000)
+
+
+def lag_percentiles(
+    df: DataFrame, lag_ms: str, by: Sequence[str], exact: bool = False
+) -> DataFrame:
+    q = F.array(*[quantile(lag_ms, share, exact) for share in (0.5, 0.95, 0.99)])
     return df.groupBy(*by).agg(
         F.count(lag_ms).alias("observations"), F.max(lag_ms).alias("max_lag_ms"), q.alias("__q")
     ).select(
@@ -86,9 +99,3 @@ def silence(
         out = out.join(earlier, list(by), "left")
         stalled = stalled | F.coalesce(F.col("__was") == F.col("high_water"), F.lit(False))
     return out.withColumn("is_stalled", stalled).drop("__was")
-
-
-def event_lag(df: DataFrame, event_time: str, ingested_at: str) -> DataFrame:
-    return df.withColumn(
-        "lag_ms", clock.event_lag_millis(F.col(event_time), F.col(ingested_at))
-    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickhouse.functions import money
 from tickhouse.functions.money import divide, ratio
 from tickhouse.operators.intervals import interval_join
+from tickhouse.operators.telemetry import quantile
 
 MINUTES_PER_DAY = 1_440
 
@@ -90,8 +91,9 @@ def symbol_daily(
     minute = F.col("bar_start")
     spread = F.col("time_weighted_spread_bps")
     base = F.col("base_volume")
+    weighted = fact.withColumn("__weighted", money.multiply(F.col("vwap"), base))
     daily = (
-        fact.groupBy(*keys, F.to_date("bar_start").alias("trading_date"))
+        weighted.groupBy(*keys, F.to_date("bar_start").alias("trading_date"))
         .agg(
             F.min_by("open_price", minute).alias("open_price"),
             F.max("high_price").alias("high_price"),
@@ -100,7 +102,7 @@ def symbol_daily(
             F.sum(base).alias("base_volume"),
             F.sum("quote_volume").alias("quote_volume"),
             F.sum("trade_count").alias("trade_count"),
-            money.vwap(F.col("vwap"), base).alias("daily_vwap"),
+            money.quotient(F.sum("__weighted"), F.sum(base)).alias("daily_vwap"),
             money.mean(spread).alias("mean_spread_bps"),
             F.percentile_approx(spread, 0.5, 10_000).alias("median_spread_bps"),
             money.mean(F.col("mean_touch_depth")).alias("mean_touch_depth"),
@@ -191,14 +193,16 @@ def reconciliation_daily(reconciled: DataFrame, keys: Sequence[str] = ("exchange
     )
 
 
-def delivery_daily(trades: DataFrame, keys: Sequence[str] = ("exchange_id", "symbol")):
-    """Replays and ingestion lag per instrument and day."""
+def delivery_daily(
+    trades: DataFrame, keys: Sequence[str] = ("exchange_id", "symbol"), exact: bool = False
+) -> DataFrame:
+    """Replays and ingestion lag per instrument and day; ``exact`` as for ``quantile``."""
     lag = F.col("ingestion_lag_ms")
     return trades.groupBy(*keys, F.to_date("event_time").alias("trading_date")).agg(
         F.count(F.lit(1)).alias("trades"),
         _count_if(F.col("_duplicate_count") > 1).alias("replayed_trades"),
         F.avg(lag).alias("mean_ingestion_lag_ms"),
-        F.percentile_approx(lag, 0.99, 10_000).alias("p99_ingestion_lag_ms"),
+        quantile("ingestion_lag_ms", 0.99, exact).alias("p99_ingestion_lag_ms"),
     )
 
 

@@ -54,7 +54,7 @@ FX_RATE = _struct(
 DEAD_LETTER = _struct(
     ("schema_version", _I), ("origin_topic", _S), ("origin_stream", _S, _OPT),
     ("error_type", _S), ("error_message", _S), ("raw_payload", _S), ("failed_at", _TS),
-    ("producer_id", _S),
+    ("producer_id", _S), ("payload_length", _L, _OPT),
 )
 INSTRUMENT_OBSERVATION = _struct(
     ("symbol", _S), ("base_asset", _S), ("quote_asset", _S), ("status", _S),

@@ -22,8 +22,16 @@ BATCH_CONF = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs are planned for."""
+def build_session(
+    app_name: str, master: str | None = None, storage: str | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the jobs are planned for.
+
+    ``storage`` is a folder on storage that all executors share, for intermediate
+    tables; only a local session does without.
+    """
+    if storage:
+        conf["spark.checkpoint.dir"] = storage
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -43,11 +51,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names storage that every executor reaches. Only a
-    session without it (a unit test) falls back to a local temporary folder.
+    ``spark.checkpoint.dir`` names storage that every executor reaches. Without it
+    a local session, whose executor is this process, uses a temporary folder; on a
+    cluster the executors could not see each other's files, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tickhouse-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tickhouse/{label}-{uuid.uuid4().hex[:12]}"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tickhouse.session import scratch_dir
 
+_WRITTEN: list[str] = []
+
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and return it as a table.
@@ -16,4 +18,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that this process has staged; how many there were.
+
+    For the end of a run, or when the results built on them have been written.
+    """
+    paths, _WRITTEN[:] = _WRITTEN[:], []
+    for path in paths:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+    return len(paths)

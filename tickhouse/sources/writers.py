@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickhouse.operators.dedup import dedup
+
 MAX_RECORDS_PER_FILE = 5_000_000
 SMALL_FILE_BYTES = 96 * 1024 * 1024
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -49,13 +51,18 @@ class Layout:
     def date_of(self, value: Column) -> Column:
         return F.to_date(F.date_trunc(self.grain, value))
 
-    def place(self, df: DataFrame) -> DataFrame:
-        """Add the partition columns and arrange rows for the write."""
+    def placed(self, df: DataFrame) -> DataFrame:
+        """Add the partition columns."""
         out = df.withColumn("dt", self.date_of(F.col(self.time_col)))
         if self.buckets:
             out = out.withColumn(
                 "sym_bucket", F.pmod(F.xxhash64(self.bucket_col), F.lit(self.buckets)).cast("int")
             )
+        return out
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """Add the partition columns and arrange rows for the write."""
+        out = self.placed(df)
         out = out.hint("rebalance", *self.partition_cols)
         return out.sortWithinPartitions(*self.partition_cols, *self.sort)
 
@@ -128,19 +135,29 @@ def upsert(
     layout: Layout,
     lookback: timedelta | None = None,
     schema: T.StructType | None = None,
+    order: Sequence[str] = (),
 ) -> None:
     """Insert or replace rows by key, rewriting only the partitions involved.
 
+    A key that comes more than once in ``new`` is settled by ``order`` (its last
+    row wins); without an order it is an error, as no row has a better claim.
+
     A key may move between partitions, so old copies are looked up in every
     partition of the lookback (counted back from the oldest new row; ``None``
     searches the whole table), not only in those the new rows fall in. New
     columns are added and are null in old rows. Declare the table's ``schema``
     on a large table; without it the footers of all files are merged to find it.
 
-    ``new`` is read more than once, and so must not change between reads: pass
-    a stored frame.
+    The old table is read twice: keys alone, to find the partitions with an old
+    copy, and then those partitions, named by literals that prune the listing.
+    The names of touched partitions pass through the driver; they are as many as
+    days times buckets. ``new`` is read more than once, so pass a stored frame.
     """
     spark = new.sparkSession
+    if order:
+        new = dedup(new, keys, order, keep="last", count_col=None)
+    elif not new.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"keys {tuple(keys)} repeat in the new rows; name an order")
     if not exists(spark, path):
         append(new, path, layout)
         return
@@ -154,36 +171,43 @@ def upsert(
         oldest = new.agg(F.min(layout.time_col)).head()[0]
         if oldest is not None:
             old = old.filter(F.col("dt") >= layout.date_of(F.lit(oldest - lookback)))
-    placed = layout.place(new)
-    new_keys = new.select(*keys).distinct()
-
-    # Partitions that hold an old copy, and partitions that receive a new row.
-    holding = old.join(new_keys, list(keys), "left_semi").select(*parts).distinct()
-    receiving = placed.select(*parts).distinct()
-    touched = holding.unionByName(receiving).distinct()
-    kept = old.join(touched, parts, "left_semi").join(new_keys, list(keys), "left_anti")
+    new_keys = new.select(*keys)
+    holding = {
+        tuple(r) for r in
+        old.join(new_keys, list(keys), "left_semi").select(*parts).distinct().collect()
+    }
+    receiving = {tuple(r) for r in layout.placed(new).select(*parts).distinct().collect()}
+    kept = old.filter(_in_partitions(parts, holding | receiving)).join(
+        new_keys, list(keys), "left_anti"
+    )
     merged = layout.place(
-        layout.drop_derived(kept.unionByName(placed, allowMissingColumns=True))
+        layout.drop_derived(kept.unionByName(layout.placed(new), allowMissingColumns=True))
     )
     # A partition whose every row moved elsewhere gets no output, so the dynamic
-    # overwrite would leave it standing; note those before the write. Usually no
-    # partition only gives rows away, and the second look finds nothing to read.
-    giving = holding.join(receiving, parts, "left_anti")
-    survivors = (
-        old.select(*parts, *keys)
-        .join(giving, parts, "left_semi")
-        .join(new_keys, list(keys), "left_anti")
-        .select(*parts)
-        .distinct()
-    )
-    emptied = giving.join(survivors, parts, "left_anti").collect()
+    # overwrite would leave it standing. Usually no partition only gives rows away.
+    giving = holding - receiving
+    emptied: set[tuple] = set()
+    if giving:
+        left = old.filter(_in_partitions(parts, giving)).join(new_keys, list(keys), "left_anti")
+        emptied = giving - {tuple(r) for r in left.select(*parts).distinct().collect()}
     _writer(merged, layout, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    for row in emptied:
-        folder = "/".join(f"{c}={row[c]}" for c in parts)
+    for values in emptied:
+        folder = "/".join(f"{c}={v}" for c, v in zip(parts, values, strict=True))
         fs, location = _filesystem(spark, f"{path}/{folder}")
         fs.delete(location, True)
 
 
+def _in_partitions(parts: Sequence[str], values: set[tuple]) -> Column:
+    """A condition of literals; by the second partition column, so it stays short."""
+    if len(parts) == 1:
+        return F.col(parts[0]).isin([v[0] for v in values])
+    condition = F.lit(False)
+    for second in sorted({v[1] for v in values}):
+        firsts = [v[0] for v in values if v[1] == second]
+        condition = condition | ((F.col(parts[1]) == second) & F.col(parts[0]).isin(firsts))
+    return condition
+
+
 # -- compaction ------------------------------------------------------------------------
 
 
@@ -226,8 +250,9 @@ def compact(
 ) -> CompactionResult:
     """Rewrite partitions that hold more than one small file into files near the target size.
 
-    Rows are spread by a hash of the whole row over as many writers as the
-    partition's bytes call for, so a large partition is not written by one task.
+    A partition gets as many writers as its bytes call for: one writes all of a
+    small one, and rows of a larger one go to several by range of the layout's sort
+    columns, so each file covers a stretch of symbols and its statistics prune.
     """
     parts = layout.partition_cols
     report = file_report(spark, path, parts)
@@ -244,14 +269,14 @@ def compact(
             mixed.select(*[F.col(c).alias(f"__{c}") for c in parts], "__writers"),
             [f"__{c}" for c in parts],
         )
-        rest = [c for c in table.columns if c not in parts]
-        slot = F.pmod(F.xxhash64(*rest), F.col("__writers"))
-        rewritten = (
-            picked.withColumn("__slot", slot)
-            .repartition(*[F.col(c) for c in parts], F.col("__slot"))
-            .sortWithinPartitions(*parts, *layout.sort)
-            .select(*table.columns)
-        )
+        rewritten = picked.filter("__writers = 1").repartition(*parts)
+        several = mixed.filter("__writers > 1").agg(F.sum("__writers")).head()[0]
+        if several:
+            rewritten = rewritten.unionByName(
+                picked.filter("__writers > 1").repartitionByRange(
+                    int(several), *parts, *layout.sort)
+            )
+        rewritten = rewritten.sortWithinPartitions(*parts, *layout.sort).select(*table.columns)
         _writer(rewritten, layout, "overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).parquet(path)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+from collections import Counter, defaultdict
+from threading import Event
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from tickhouse.schemas import QUARANTINE, conform
+from tickhouse.schemas import ENVELOPE, QUARANTINE, conform
 from tickhouse.sources.writers import MAX_RECORDS_PER_FILE
 
 HEADER_BYTES = 5  # magic byte and four-byte schema id in front of a registry-framed body
@@ -51,29 +53,21 @@ def decode(
         for field in schema:
             if not field.nullable:
                 good = good & F.col(f"record.{field.name}").isNotNull()
-    return (
-        messages.select(
-            F.col("topic").alias("_kafka_topic"),
-            F.col("partition").alias("_kafka_partition"),
-            F.col("offset").alias("_kafka_offset"),
-            F.col("timestamp").alias("_kafka_timestamp"),
-            F.col("key").cast("string").alias("_kafka_key"),
-            record.alias("record"),
-        )
-        .withColumns(
-            {
-                "_ingested_at": F.current_timestamp(),
-                "_source": F.lit(source),
-                "_decoded": F.coalesce(good, F.lit(False)),
-            }
-        )
+    # An envelope column is the message's column of that name, or one made here.
+    made = {"_ingested_at": F.current_timestamp(), "_source": F.lit(source)}
+    envelope = [
+        (made[f.name] if f.name in made else F.col(f.name.removeprefix("_kafka_")))
+        .cast(f.dataType).alias(f.name)
+        for f in ENVELOPE
+    ]
+    return messages.select(*envelope, record.alias("record")).withColumn(
+        "_decoded", F.coalesce(good, F.lit(False))
     )
 
 
 def landed(decoded: DataFrame) -> DataFrame:
     """Record fields at the top level, envelope columns kept."""
-    meta = [c for c in decoded.columns if c.startswith("_") and c != "_decoded"]
-    return decoded.filter("_decoded").select("record.*", *meta).drop(_CORRUPT)
+    return decoded.filter("_decoded").select("record.*", *ENVELOPE.names).drop(_CORRUPT)
 
 
 def quarantined(decoded: DataFrame, reason: str = DECODE_FAILED) -> DataFrame:
@@ -113,7 +107,7 @@ def start_append(
         writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
-    return _trigger(writer, trigger_seconds).start()
+    return _start(_trigger(writer, trigger_seconds))
 
 
 def start_landing(
@@ -127,29 +121,92 @@ def start_landing(
 ) -> StreamingQuery:
     """Write good rows and quarantine rows from one read of the source.
 
-    Two separate queries would read every message twice. A batch repeated after
-    a failure is appended again: landed tables tolerate copies, and silver
-    counts them. The good rows are partitioned by the date of ``time_col``.
+    Two separate queries would read every message twice. A batch owns the folder
+    ``batch_id=N`` in both tables and replaces it, so a batch that is repeated
+    after a failure lands once. Good rows are partitioned by the date of
+    ``time_col`` inside it.
     """
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            good = landed(batch).withColumn("dt", F.to_date(time_col))
-            good.write.mode("append").partitionBy("dt").option(
-                "maxRecordsPerFile", MAX_RECORDS_PER_FILE
-            ).option("compression", "zstd").parquet(path)
-            quarantined(batch).write.mode("append").parquet(quarantine_path)
+            write_batch(batch, batch_id, path, quarantine_path, time_col)
         finally:
             batch.unpersist()
 
     writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return _trigger(writer, trigger_seconds).start()
+    return _start(_trigger(writer, trigger_seconds))
+
+
+def write_batch(
+    batch: DataFrame, batch_id: int, path: str, quarantine_path: str, time_col: str = "trade_time"
+) -> None:
+    """Both outputs of one decoded batch, in place of what the batch wrote before."""
+    own = f"batch_id={batch_id}"
+    good = landed(batch).withColumn("dt", F.to_date(time_col))
+    good.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "dt"
+    ).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "zstd").parquet(
+        f"{path}/{own}"
+    )
+    quarantined(batch).write.mode("overwrite").parquet(f"{quarantine_path}/{own}")
+
+
+class _Progress(StreamingQueryListener):
+    """Rows read and rows too late, of every micro-batch of a run.
+
+    ``recentProgress`` of a query forgets all but its last batches.
+    """
+
+    def __init__(self) -> None:
+        self.rows: Counter[str] = Counter()
+        self.late: Counter[str] = Counter()
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - the names of the interface
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        run = str(event.progress.runId)
+        self.rows[run] += event.progress.numInputRows
+        self.late[run] += sum(
+            s.numRowsDroppedByWatermark for s in event.progress.stateOperators
+        )
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended[str(event.runId)].set()
+
+
+_LISTENERS: dict[str, _Progress] = {}
+
+
+def _progress(spark: SparkSession) -> _Progress:
+    """The session's listener, added when its first stream is started."""
+    app = spark.sparkContext.applicationId
+    if app not in _LISTENERS:
+        _LISTENERS[app] = _Progress()
+        spark.streams.addListener(_LISTENERS[app])
+    return _LISTENERS[app]
+
+
+def _start(writer: DataStreamWriter) -> StreamingQuery:
+    _progress(SparkSession.active())
+    return writer.start()
 
 
 def finish(query: StreamingQuery) -> int:
     """Wait for a draining query; returns the rows it read. Its failure is raised."""
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    progress = _progress(SparkSession.active())
+    progress.ended[str(query.runId)].wait(timeout=60)
+    return progress.rows[str(query.runId)]
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows of a finished run that came after the watermark had passed them."""
+    return _progress(SparkSession.active()).late[str(query.runId)]
