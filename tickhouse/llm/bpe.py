@@ -16,6 +16,7 @@ import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -49,6 +50,11 @@ class Vocabulary:
         self._split = regex.compile(
             pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]")
             .replace(r"\s", f"[{_WHITE}]"))
+        self._ends = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            if self.reachable(token):
+                self._ends.add_word(token.decode("latin-1"), (rank, len(token)))
+        self._ends.make_automaton()
         self.pieces = _Pieces(self)
 
     @classmethod
@@ -111,19 +117,28 @@ class Vocabulary:
         return known
 
     def extend(self, data: bytes, last: list[int], upto: int | None = None) -> None:
-        """Add the last tokens of the prefixes from len(last) on. last[0] is -1."""
-        ranks, longest, may_follow = self.ranks, self.longest, self.may_follow
-        for end in range(len(last), (len(data) if upto is None else upto) + 1):
-            for start in range(max(0, end - longest), end):
-                token = data[start:end]
-                rank = ranks.get(token)
-                if rank is None or not self.reachable(token):
+        """Add the last tokens of the prefixes from len(last) on. last[0] is -1.
+
+        The automaton names the tokens that end at each byte, longest first.
+        """
+        begin, stop = len(last), len(data) if upto is None else upto
+        base = max(0, begin - self.longest)
+        last.extend([-1] * (stop - begin + 1))
+        pairs = self._pairs
+        for at, (rank, length) in self._ends.iter(data[base:stop].decode("latin-1")):
+            end = base + at + 1
+            if end < begin or last[end] >= 0:
+                continue
+            before = last[end - length]
+            if end != length:
+                known = pairs.get(before << 32 | rank)
+                if known is None:
+                    known = before >= 0 and self.may_follow(before, rank)
+                if not known:
                     continue
-                if start == 0 or may_follow(last[start], rank):
-                    last.append(rank)
-                    break
-            else:
-                raise ValueError(f"no token for byte {data[end - 1]}")
+            last[end] = rank
+        if stop >= begin and -1 in last[begin:]:
+            raise ValueError("a byte is in no token")
 
     def walk(self, data: bytes, last: list[int]) -> list[int]:
         out, end = [], len(data)
