@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 from conftest import rows
@@ -102,3 +103,32 @@ def test_a_repeated_batch_replaces_itself(spark):
     for batch in (1, 1, 2):
         landing.write_batch(decoded, batch, out, bad)
     assert readers.table(spark, out).count() == readers.table(spark, bad).count() == 2
+
+
+def test_a_sequence_over_batches_equals_the_loop(spark):
+    rng = random.Random(3)
+    data = [(rng.choice("ab"), n, rng.randrange(60)) for n in range(120)]
+    expected, highs = {}, {}
+    for symbol, n, u in data:
+        high = highs.get(symbol)
+        back = high is not None and u <= high
+        expected[n] = (high is None, back, 0 if high is None or back else u - high - 1)
+        highs[symbol] = u if high is None else max(high, u)
+    source, out, marks, checkpoint = (scratch_dir(spark, n) for n in ("in", "out", "marks", "c"))
+    schema = "symbol string, kafka_offset long, update_id long"
+
+    def run():
+        stream = readers.file_messages(
+            spark, source, spark.read.parquet(source).schema, max_files_per_trigger=1)
+        return landing.finish(
+            stateful.start_sequence(stream, ["symbol"], out, marks, checkpoint, trigger_seconds=None))
+
+    for at in range(0, 80, 20):
+        spark.createDataFrame(data[at:at + 20], schema).coalesce(1).write.mode("append").parquet(source)
+    assert run() == 80
+    for at in range(80, 120, 20):
+        spark.createDataFrame(data[at:at + 20], schema).coalesce(1).write.mode("append").parquet(source)
+    assert run() == 40
+    got = {r["arrival"]: (r["first_seen"], r["regressed"], r["span"])
+           for r in rows(readers.table(spark, out))}
+    assert got == expected

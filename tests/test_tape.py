@@ -1,11 +1,9 @@
 """Dedup, candles, quotes, sequences."""
 
-import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import numpy as np
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -13,7 +11,6 @@ from tickhouse.operators import bars as bar_ops
 from tickhouse.operators import quotes as quote_ops
 from tickhouse.operators.dedup import dedup, grain_violations
 from tickhouse.operators.sequence import observe_sequence
-from tickhouse.streaming.stateful import sequence_flags
 
 T0 = datetime(2024, 1, 1)
 
@@ -138,23 +135,3 @@ def test_a_new_session_starts_over(spark):
     both = arrivals(spark, [5, 6], "a").unionByName(arrivals(spark, [1, 2], "b"))
     got = observe_sequence(both, session="session")
     assert got.filter("first_seen").count() == 2 and got.filter("regressed").count() == 0
-
-
-@pytest.mark.parametrize("seed", range(5))
-def test_stream_flags_equal_the_loop(seed):
-    rng = random.Random(seed)
-    ids = np.array([rng.randrange(60) for _ in range(80)])
-    expected, high = [], None
-    for u in ids.tolist():
-        if high is None:
-            expected.append((True, False, 0))
-        elif u <= high:
-            expected.append((False, True, 0))
-        else:
-            expected.append((False, False, u - high - 1))
-        high = u if high is None else max(high, u)
-    cut = rng.randrange(1, 79)
-    first = sequence_flags(ids[:cut], None)
-    second = sequence_flags(ids[cut:], int(ids[:cut].max()))
-    got = [tuple(r) for f in (first, second) for r in f.itertuples(index=False)]
-    assert got == expected

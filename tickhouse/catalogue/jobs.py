@@ -35,9 +35,21 @@ _FLUSH = "__flush__"
 # -- streams ---------------------------------------------------------------------------
 
 
-def _event_stream(spark, path) -> DataFrame:
-    raw = spark.read.parquet(f"{path}/events.parquet").schema
-    return readers.file_messages(spark, path, raw, pathGlobFilter="events.parquet")
+def _event_files(spark, path, slices: int = 5) -> str:
+    """The events in one file per slice of time, oldest first: a micro-batch each."""
+    events = tables(spark, path).read("events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    folder = scratch_dir(spark, "event-files")
+    number = F.floor((micros - F.lit(low)) * slices / F.lit(max(high - low, 1) + 1))
+    for n in range(slices):
+        events.filter(number == n).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def _event_stream(spark, folder) -> DataFrame:
+    schema = spark.read.parquet(folder).schema
+    return readers.file_messages(spark, folder, schema, max_files_per_trigger=1)
 
 
 def _messages(events: DataFrame) -> DataFrame:
@@ -66,7 +78,8 @@ def _messages(events: DataFrame) -> DataFrame:
 
 def _land(spark, path) -> tuple[str, str]:
     out, quarantine = scratch_dir(spark, "landed"), scratch_dir(spark, "quarantine")
-    decoded = landing.decode(_messages(_event_stream(spark, path)), TRADE, VENUE)
+    events = _event_stream(spark, _event_files(spark, path))
+    decoded = landing.decode(_messages(events), TRADE, VENUE)
     landing.finish(
         landing.start_landing(
             decoded, out, quarantine, scratch_dir(spark, "offsets"), trigger_seconds=None
@@ -102,7 +115,7 @@ def _drain_with_flush(spark, path, build, label) -> DataFrame:
     """
     schema = spark.read.parquet(f"{path}/events.parquet").schema
     flush_dir, out = scratch_dir(spark, "flush"), scratch_dir(spark, label)
-    checkpoint = scratch_dir(spark, "offsets")
+    checkpoint, folder = scratch_dir(spark, "offsets"), _event_files(spark, path)
     blank = spark.createDataFrame([], schema)
     blank.write.parquet(flush_dir)
     for final in (False, True):
@@ -114,7 +127,7 @@ def _drain_with_flush(spark, path, build, label) -> DataFrame:
                 F.lit(1.0).alias("value"), F.lit('{"k": 0}').alias("props"),
             )
             last.write.mode("append").parquet(flush_dir)
-        rows = _event_stream(spark, path).unionByName(
+        rows = _event_stream(spark, folder).unionByName(
             readers.file_messages(spark, flush_dir, schema)
         )
         landing.finish(
@@ -134,6 +147,7 @@ def _replayed(e: DataFrame) -> DataFrame:
         F.lit(VENUE).alias("exchange_id"), F.col("event_type").alias("symbol"),
         F.col("event_id").alias("trade_id"), price.alias("price"), size.alias("quantity"),
         money.multiply(price, size).cast(MONEY).alias("notional"),
+        (F.col("user_id") % 2 != 0).alias("is_buyer_aggressor"),
         F.col("ts").alias("event_time"), F.explode(copies).alias("copy"),
     )
 
@@ -144,7 +158,7 @@ def stream_dedup(spark, path) -> DataFrame:
     out = _drain_with_flush(
         spark, path, lambda e: stateful.dedup_stream(_replayed(e), silver.TRADE_KEYS), "dedup"
     )
-    return present(out.drop("copy"))
+    return present(out.drop("copy", "is_buyer_aggressor"))
 
 
 def stream_bars(spark, path) -> DataFrame:
@@ -161,8 +175,7 @@ def stream_bars(spark, path) -> DataFrame:
 
 def stream_sequence(spark, path) -> DataFrame:
     tables(spark, path)
-    stateful.use_rocksdb(spark)
-    e = event_columns(_event_stream(spark, path))
+    e = event_columns(_event_stream(spark, _event_files(spark, path)))
     arrived = e.select(
         F.col("event_type").alias("symbol"),
         F.date_format("ts", "yyyy-MM-dd").alias("session"),
@@ -170,11 +183,14 @@ def stream_sequence(spark, path) -> DataFrame:
         (F.col("event_id") * 7 - F.when(F.col("k") < 10, 500).otherwise(0)).alias("update_id"),
     )
     out = scratch_dir(spark, "sequence")
-    observed = stateful.sequence_stream(arrived, ("symbol", "session"))
     landing.finish(
-        landing.start_append(observed, out, scratch_dir(spark, "offsets"), trigger_seconds=None)
+        stateful.start_sequence(
+            arrived, ("symbol", "session"), out, scratch_dir(spark, "marks"),
+            scratch_dir(spark, "offsets"), trigger_seconds=None,
+        )
     )
-    return present(readers.table(spark, out).withColumnRenamed("arrival", "kafka_offset"))
+    observed = readers.table(spark, out).drop("batch_id")
+    return present(observed.withColumnRenamed("arrival", "kafka_offset"))
 
 
 # -- stored tables ---------------------------------------------------------------------

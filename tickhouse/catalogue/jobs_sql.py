@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickhouse.catalogue.market_sql import CTES
+from tickhouse.catalogue.market_sql import BAR_NUMBERS, CTES
 from tickhouse.catalogue.sqltext import dbl, dbls
 
 ORACLES = {
@@ -95,9 +95,9 @@ ORACLES = {
         SELECT exchange_id, symbol, trade_id, {dbls("price", "quantity", "notional")}, event_time
         FROM c_trades"""),
     "stream_bars": CTES.query(f"""
-        SELECT exchange_id, symbol, bar_start, bar_end,
-               {dbls("open_price", "high_price", "low_price", "close_price", "base_volume",
-                     "quote_volume")}, trade_count
+        SELECT exchange_id, symbol, bar_start, bar_end, trade_count,
+               {dbls(*[c for c in BAR_NUMBERS if c != "mean_ingestion_lag_ms"])},
+               first_trade_time, last_trade_time, first_trade_id, last_trade_id
         FROM c_bars_h"""),
     "stream_sequence": CTES.query("""
         SELECT symbol, kafka_offset, session, update_id, high IS NULL AS first_seen,

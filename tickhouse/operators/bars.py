@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock, money
@@ -24,6 +24,14 @@ def aggregate_bars(
     Open and close order by (time, trade id), so two trades in one millisecond
     resolve the same way on every run.
     """
+    start = clock.bar_floor(F.col(t), seconds).alias("bar_start")
+    grouped = trades.groupBy(*keys, start).agg(*[column for column, _ in bar_measures(t)])
+    ended = grouped.withColumn("bar_end", clock.plus_seconds(F.col("bar_start"), seconds))
+    return with_bar_ratios(ended)
+
+
+def bar_measures(t: str = "event_time") -> list[tuple[Column, set[str]]]:
+    """The aggregates of a candle, each with the columns that it reads."""
     # One number in place of a struct, which would cost a sort on both sides of the
     # shuffle: microseconds, then 19 digits for any non-negative 64-bit id.
     by = (
@@ -33,52 +41,49 @@ def aggregate_bars(
     taker_buy = F.col("is_buyer_aggressor")
     zero = F.lit(0)
     q, n = F.col("quantity"), F.col("notional")
+    repeated = F.when(F.col("_duplicate_count") > 1, 1).otherwise(0)
+    named = {
+        "open_price": (F.min_by("price", by), {"price", "trade_id"}),
+        "high_price": (F.max("price"), {"price"}),
+        "low_price": (F.min("price"), {"price"}),
+        "close_price": (F.max_by("price", by), {"price", "trade_id"}),
+        "base_volume": (F.sum(q), {"quantity"}),
+        "quote_volume": (F.sum(n), {"notional"}),
+        "trade_count": (F.count(F.lit(1)), set()),
+        "taker_buy_base_volume": (
+            F.sum(F.when(taker_buy, q).otherwise(zero)), {"is_buyer_aggressor", "quantity"}),
+        "taker_buy_quote_volume": (
+            F.sum(F.when(taker_buy, n).otherwise(zero)), {"is_buyer_aggressor", "notional"}),
+        "largest_trade_size": (F.max(q), {"quantity"}),
+        "first_trade_time": (F.min(t), set()),
+        "last_trade_time": (F.max(t), set()),
+        "first_trade_id": (F.min("trade_id"), {"trade_id"}),
+        "last_trade_id": (F.max("trade_id"), {"trade_id"}),
+        "mean_ingestion_lag_ms": (F.avg("ingestion_lag_ms"), {"ingestion_lag_ms"}),
+        "max_ingestion_lag_ms": (F.max("ingestion_lag_ms"), {"ingestion_lag_ms"}),
+        "duplicated_trade_count": (F.sum(repeated), {"_duplicate_count"}),
+        "built_from_data_as_of": (F.max("lake_ingested_at"), {"lake_ingested_at"}),
+    }
+    return [(column.alias(name), reads) for name, (column, reads) in named.items()]
+
+
+def with_bar_ratios(bars: DataFrame) -> DataFrame:
+    """Averages and ratios of a candle. Notional is price x quantity, and every trade
+    has one of two takers, so VWAP and flow imbalance follow from sums already taken."""
     base = F.col("base_volume")
-    return (
-        trades.groupBy(*keys, clock.bar_floor(F.col(t), seconds).alias("bar_start"))
-        .agg(
-            F.min_by("price", by).alias("open_price"),
-            F.max("price").alias("high_price"),
-            F.min("price").alias("low_price"),
-            F.max_by("price", by).alias("close_price"),
-            F.sum(q).alias("base_volume"),
-            F.sum(n).alias("quote_volume"),
-            F.count(F.lit(1)).alias("trade_count"),
-            F.sum(F.when(taker_buy, q).otherwise(zero)).alias("taker_buy_base_volume"),
-            F.sum(F.when(taker_buy, n).otherwise(zero)).alias("taker_buy_quote_volume"),
-            F.max(q).alias("largest_trade_size"),
-            F.min(t).alias("first_trade_time"),
-            F.max(t).alias("last_trade_time"),
-            F.min("trade_id").alias("first_trade_id"),
-            F.max("trade_id").alias("last_trade_id"),
-            F.avg("ingestion_lag_ms").alias("mean_ingestion_lag_ms"),
-            F.max("ingestion_lag_ms").alias("max_ingestion_lag_ms"),
-            F.sum(F.when(F.col("_duplicate_count") > 1, 1).otherwise(0)).alias(
-                "duplicated_trade_count"
+    return bars.withColumns(
+        {
+            "vwap": money.quotient(F.col("quote_volume"), base),
+            "order_flow_imbalance": F.round(
+                money.divide(2 * F.col("taker_buy_base_volume") - base, base), 10
+            ),
+            "mean_trade_size": F.round(money.divide(base, F.col("trade_count")), 10),
+            "taker_buy_ratio": money.ratio(F.col("taker_buy_base_volume"), base),
+            "range_bps": money.ratio(
+                (F.col("high_price") - F.col("low_price")).cast("double") * 20_000,
+                F.col("high_price").cast("double") + F.col("low_price").cast("double"),
             ),
-            F.max("lake_ingested_at").alias("built_from_data_as_of"),
-        )
-        .withColumns(
-            {
-                "bar_end": clock.plus_seconds(F.col("bar_start"), seconds),
-                # Notional is price x quantity, and every trade has one of two takers,
-                # so VWAP and flow imbalance follow from sums already taken.
-                "vwap": money.quotient(F.col("quote_volume"), base),
-                "order_flow_imbalance": F.round(
-                    money.divide(2 * F.col("taker_buy_base_volume") - base, base), 10
-                ),
-                "mean_trade_size": F.round(
-                    money.divide(base, F.col("trade_count")), 10
-                ),
-                "taker_buy_ratio": money.ratio(
-                    F.col("taker_buy_base_volume"), base
-                ),
-                "range_bps": money.ratio(
-                    (F.col("high_price") - F.col("low_price")).cast("double") * 20_000,
-                    F.col("high_price").cast("double") + F.col("low_price").cast("double"),
-                ),
-            }
-        )
+        }
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter, defaultdict
+from collections.abc import Callable
 from threading import Event
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -134,7 +135,18 @@ def start_landing(
         finally:
             batch.unpersist()
 
-    writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return start_batches(decoded, write, checkpoint, trigger_seconds, name)
+
+
+def start_batches(
+    frame: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger_seconds: int | None = 60,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Hand each micro-batch and its number to ``write``, which must stand repeats."""
+    writer = frame.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     return _start(_trigger(writer, trigger_seconds))

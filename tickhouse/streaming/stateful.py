@@ -1,25 +1,27 @@
 """Streams that keep state: replay removal, candles and update-id sequences.
 
 The batch tables stay the source of truth (a bar is only emitted once the
-watermark has passed it); these serve readers that cannot wait for a batch.
+watermark has passed it, and ``landing.late_rows`` counts what came after); these
+serve readers that cannot wait for a batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
+
+from tickhouse.operators.bars import bar_measures, with_bar_ratios
+from tickhouse.operators.sequence import observe_sequence
+from tickhouse.streaming.landing import start_batches
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """State beyond executor memory; required by the sequence processor."""
+    """State beyond executor memory."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
@@ -36,87 +38,56 @@ def bars_stream(
     keys: Sequence[str] = ("exchange_id", "symbol"),
     t: str = "event_time",
 ) -> DataFrame:
-    """Candles of a deduplicated, watermarked trade stream; append mode."""
-    by = F.struct(t, "trade_id")
-    q, n = F.col("quantity"), F.col("notional")
+    """Candles of a deduplicated, watermarked trade stream; append mode.
+
+    The measures of the batch candles, but for those of landing and replays, which
+    a deduplicated stream no longer knows.
+    """
+    measures = [m for m in bar_measures(t) if m[1] <= set(trades.columns)]
     grouped = trades.groupBy(F.window(t, f"{seconds} seconds"), *keys).agg(
-        F.min_by("price", by).alias("open_price"),
-        F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"),
-        F.max_by("price", by).alias("close_price"),
-        F.sum(q).alias("base_volume"),
-        F.sum(n).alias("quote_volume"),
-        F.count(F.lit(1)).alias("trade_count"),
-    )
-    return grouped.select(
-        *keys, F.col("window.start").alias("bar_start"), F.col("window.end").alias("bar_end"),
-        "open_price", "high_price", "low_price", "close_price", "base_volume", "quote_volume",
-        "trade_count",
-    )
-
-
-_SEQUENCE_FIELDS = [
-    T.StructField("arrival", T.LongType()),
-    T.StructField("update_id", T.LongType()),
-    T.StructField("first_seen", T.BooleanType()),
-    T.StructField("regressed", T.BooleanType()),
-    T.StructField("span", T.LongType()),
-]
-
-
-def sequence_flags(ids: np.ndarray, high: int | None) -> pd.DataFrame:
-    """Flags of ids in arrival order, given the highest id before them."""
-    before = np.maximum.accumulate(ids)[:-1]
-    if high is None:
-        previous = np.concatenate([ids[:1], before])
-    else:
-        previous = np.maximum(np.concatenate([[high], before]), high)
-    regressed = ids <= previous
-    first = np.zeros(len(ids), dtype=bool)
-    if high is None:
-        first[0] = True
-        regressed[0] = False
-    span = np.where(first | regressed, 0, ids - previous - 1)
-    return pd.DataFrame({"first_seen": first, "regressed": regressed, "span": span})
-
-
-class _SequenceProcessor(StatefulProcessor):
-    """Highest update id per key. One micro-batch of a key is bounded by the source's cap."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._high = handle.getValueState("high", T.StructType([T.StructField("id", T.LongType())]))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):  # noqa: N802, N803
-        # Rows of a micro-batch come in no particular order.
-        batch = pd.concat(list(rows)).sort_values("arrival", kind="stable")
-        ids = batch["update_id"].to_numpy(dtype="int64")
-        high = int(self._high.get()[0]) if self._high.exists() else None
-        flags = sequence_flags(ids, high)
-        top = int(ids.max())
-        self._high.update((top if high is None else max(top, high),))
-        out = pd.DataFrame({name: [value] * len(ids) for name, value in zip(self.keys, key)})
-        out["arrival"] = batch["arrival"].to_numpy()
-        out["update_id"] = ids
-        yield pd.concat([out, flags], axis=1)
-
-    def close(self) -> None:
-        pass
-
-
-def sequence_stream(
-    messages: DataFrame, key: Sequence[str], id_col: str = "update_id", arrival: str = "kafka_offset"
-) -> DataFrame:
-    """The batch sequence observation as a stream; add a connection id to ``key`` for resets."""
-    fields = [messages.schema[k] for k in key]
-    processor = _SequenceProcessor()
-    processor.keys = list(key)
-    return (
-        messages.select(*key, F.col(arrival).alias("arrival"), F.col(id_col).alias("update_id"))
-        .groupBy(*key)
-        .transformWithStateInPandas(
-            statefulProcessor=processor,
-            outputStructType=T.StructType([*fields, *_SEQUENCE_FIELDS]),
-            outputMode="append",
-            timeMode="None",
-        )
+        *[column for column, _ in measures]
     )
+    bars = grouped.withColumns(
+        {"bar_start": F.col("window.start"), "bar_end": F.col("window.end")}
+    ).drop("window")
+    return with_bar_ratios(bars)
+
+
+def start_sequence(
+    messages: DataFrame,
+    key: Sequence[str],
+    path: str,
+    marks_path: str,
+    checkpoint: str,
+    id_col: str = "update_id",
+    arrival: str = "kafka_offset",
+    trigger_seconds: int | None = 60,
+) -> StreamingQuery:
+    """The batch sequence observation, micro-batch by micro-batch.
+
+    The state is a table of the highest id per key, one folder a batch. A batch
+    reads its predecessor's, puts the marks before its own rows as if they had
+    arrived first, and replaces its two folders, so a repeated batch gives the same
+    rows. Add a connection id to ``key`` for resets. The key is free to be hot: the
+    batch operator cuts it into chunks.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*key, F.col(arrival).alias("arrival"), F.col(id_col).alias("update_id"))
+        rows = rows.persist()
+        try:
+            # Partitioned parquet infers key types; the stored schema keeps them.
+            marks = rows.limit(0) if batch_id == 0 else rows.sparkSession.read.schema(
+                rows.schema).parquet(f"{marks_path}/batch_id={batch_id - 1}")
+            seen = observe_sequence(
+                rows.unionByName(marks), key, "update_id", ("arrival",),
+                chunk=F.floor(F.col("arrival") / F.lit(100_000)),
+            ).filter("arrival >= 0")
+            seen.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            highest = rows.unionByName(marks).groupBy(*key).agg(F.max("update_id").alias("update_id"))
+            highest.withColumn("arrival", F.lit(-1).cast("bigint")).select(
+                *rows.columns).write.mode("overwrite").parquet(f"{marks_path}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
+
+    return start_batches(messages, write, checkpoint, trigger_seconds)
