@@ -13,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickhouse.llm.shared import drop_stored, store
+from tickhouse.llm.shared import apart, drop_stored, store
 
 
 def _least(edges: DataFrame) -> DataFrame:
     """u, v edges -> u and the least of u and its neighbours v."""
-    return edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    return apart(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

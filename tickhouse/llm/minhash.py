@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.llm.components import components
-from tickhouse.llm.shared import store
+from tickhouse.llm.shared import apart, store
 
 SHINGLE, PERCENT = 5, 85
 BANDS, ROWS = 24, 5
@@ -281,7 +281,8 @@ def _classes(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
             F.min("doc_id").alias("id"), F.first("n").alias("n"),
             F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), f"{label}-sets")
     banded = sets.select("id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    buckets = apart(
+        banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"))
     members = banded.join(buckets, "band").join(sets.select("id", "n", "sketch"), "id")
     edges = (
         _in_blocks(members, "members", BUCKET_BLOCK)
@@ -290,7 +291,7 @@ def _classes(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
         .mapInArrow(_bucket_edges, "u long, v long")
     )
     maybe = store(components(edges, f"{label}-maybe"), f"{label}-parts")
-    parts = maybe.groupBy("component").agg(F.count("*").alias("members"))
+    parts = apart(maybe.groupBy("component").agg(F.count("*").alias("members")))
     near = maybe.join(parts, "component").join(sets.select("id", "k1", "k2", "sketch"), "id")
     verified = (
         _in_blocks(_full_sets(docs, near), "members", SET_BLOCK)

@@ -39,6 +39,15 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """An aggregate that is to be joined on its own key, dealt out anew first.
+
+    Joined as it is, it would share its shuffle with the join, and Spark could not
+    split a hot key of the other side. The table is small against that side.
+    """
+    return df.hint("rebalance")
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the folder of a stored table that nothing reads any more."""
     spark = df.sparkSession

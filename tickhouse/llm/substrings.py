@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.llm.fm_index import FMIndex
-from tickhouse.llm.shared import store
+from tickhouse.llm.shared import apart, store
 
 WINDOW, GRAM = 50, 8
 #: Segments a shard, and different segments of one anchor above which it is split.
@@ -158,7 +158,7 @@ def repeated_windows(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame,
         F.min("doc_id").alias("id"), F.first("anchors").alias("anchors"))
     at = store(texts.select("id", "k1", "k2", F.explode("anchors").alias("anchor")),
                f"{label}-anchors")
-    common = at.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    common = apart(at.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     hits = at.join(common, "anchor").groupBy("id", "k1", "k2").agg(
         F.collect_set("anchor").alias("shared"))
     cut = store(_cut(docs, hits), f"{label}-cut")
@@ -167,8 +167,8 @@ def repeated_windows(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame,
     distinct = store(parts.groupBy("anchor", "s1", "s2").agg(
         F.min("id").alias("owner"), F.count("*").alias("texts"),
         F.first("words").alias("words")), f"{label}-segments")
-    several = distinct.groupBy("anchor").agg(
-        F.count("*").alias("n"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    several = apart(distinct.groupBy("anchor").agg(
+        F.count("*").alias("n"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")))
     shards = max(1, distinct.count() // SHARD)
     split = F.col("blocks") > 1
     placed = (
