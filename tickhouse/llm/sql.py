@@ -84,7 +84,101 @@ kept AS (
   FROM marked GROUP BY doc_id)"""
 
 
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz')")
+
+TOP_K = """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i,
+         len(embedding) AS d
+  FROM embeddings),
+whole AS (
+  SELECT vec_id, i, floor(1024 * x)::BIGINT AS x, d FROM parts
+  WHERE vec_id NOT IN (SELECT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x))),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.i = c.i AND q.d = c.d
+  WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+  GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+         AS rank, vec_id, score
+FROM scores QUALIFY rank <= 10"""
+
+# Least vertex that links reach, from each vertex: the links are a handful.
+_REACH = """
+linked AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, other) AS (
+  SELECT a, b FROM linked
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN linked l ON r.other = l.a),
+classes AS (SELECT id, least(id, min(other)) AS component_id FROM reach GROUP BY id)"""
+
+VECTORS = f"""
+WITH RECURSIVE parts AS (
+  SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i,
+         len(embedding) AS d
+  FROM embeddings WHERE label IS NOT NULL),
+norms AS (
+  SELECT vec_id, sqrt(sum(x * x)) AS norm FROM parts GROUP BY vec_id
+  HAVING bool_and(x IS NOT NULL AND isfinite(x)) AND sum(x * x) > 0),
+ok AS (SELECT p.*, norm FROM parts p JOIN norms USING (vec_id)),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b
+  FROM ok p JOIN ok q ON p.label = q.label AND p.i = q.i AND p.d = q.d AND p.vec_id < q.vec_id
+  GROUP BY p.vec_id, q.vec_id HAVING sum(p.x / p.norm * (q.x / q.norm)) >= 0.93),
+{_REACH.strip()},
+counts AS (SELECT a AS id, count(*) AS n FROM linked GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings e LEFT JOIN classes c ON e.vec_id = c.id LEFT JOIN counts k ON e.vec_id = k.id"""
+
+SUBSTRINGS = f"""
+WITH listed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+placed AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i, len(w) AS n, w FROM listed),
+windows AS (
+  SELECT doc_id, word, i, n, CASE WHEN i <= n - 49 THEN md5(array_to_string(w[i:i+49], ' ')) END AS h
+  FROM placed),
+owned AS (SELECT h, min(doc_id) AS owner FROM windows WHERE h IS NOT NULL GROUP BY h),
+marked AS (
+  SELECT p.doc_id, p.word, p.i, p.n,
+         max(CASE WHEN owner < p.doc_id THEN 1 ELSE 0 END) OVER (
+           PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM windows p LEFT JOIN owned o ON p.h = o.h),
+kept AS (
+  SELECT doc_id, sum(gone)::BIGINT AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY i) FILTER (gone = 0), '') AS left_text
+  FROM marked GROUP BY doc_id)
+SELECT l.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(left_text, '')) AS kept_sha256
+FROM listed l LEFT JOIN kept k ON l.doc_id = k.doc_id"""
+
+NEAR = f"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS w FROM documents),
+starts AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM listed WHERE len(w) > 0),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS shingle FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS shared
+  FROM sets p JOIN sets q ON p.shingle = q.shingle AND p.doc_id < q.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+{_REACH.strip()}
+SELECT l.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, l.doc_id) AS component_id,
+       l.doc_id = coalesce(component_id, l.doc_id) AS kept
+FROM listed l LEFT JOIN sizes s ON l.doc_id = s.doc_id LEFT JOIN classes c ON l.doc_id = c.id"""
+
 ORACLES = {
+    "op2_topk": TOP_K,
+    "op5_vectors": VECTORS,
+    "op6_substrings": SUBSTRINGS,
+    "op8_minhash": NEAR,
     "op3_mixing": f"""WITH {mixing()}
 SELECT doc_id, size, source_size, target, (size * readings)::BIGINT AS taken
 FROM mixed, unnest(range(copies)) AS c(i)""",
