@@ -8,9 +8,12 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare
+from tickhouse.catalogue import registry
+from tickhouse.catalogue.market import tables
+from tickhouse.operators.bars import aggregate_bars
 
 SF = os.environ.get("TICKHOUSE_TEST_SF", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not glob.glob(f"{SF}/*.parquet"), reason="no sample tables")
 
@@ -45,3 +48,16 @@ def test_entry(spark):
 def test_no_nested_loop_or_cartesian_plan(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("name", ["fx_range_join", "tick_asof"])
+def test_the_asof_plan_reads_the_tape_once(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line]
+    assert len(scans) == 1
+
+
+def test_candles_need_no_sort(spark):
+    tape = tables(spark, SF).tape()
+    plan = aggregate_bars(tape, 86_400)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan

@@ -44,12 +44,6 @@ def test_running_max_before(tape):
     same(got, tape.withColumn("m", F.max("v").over(w)))
 
 
-def test_carry_forward(tape):
-    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
-    got = ordered.carry_forward(tape, ["k"], ["t", "id"], chunk(), "v", "c")
-    same(got, tape.withColumn("c", F.last("v", ignorenulls=True).over(w)))
-
-
 def test_no_window_is_partitioned_by_the_key_alone_over_rows(tape):
     got = ordered.neighbours(tape, ["k"], ["t", "id"], chunk(), lead={"nt": "t"})
     plan = got._jdf.queryExecution().executedPlan().toString()

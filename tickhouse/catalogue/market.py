@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickhouse.catalogue.present import present
 from tickhouse.functions import clock
+from tickhouse.functions.money import MONEY
 from tickhouse.operators import bars as bar_ops
 from tickhouse.operators import intervals, scd, staging
 from tickhouse.operators import quotes as quote_ops
@@ -323,9 +324,9 @@ def tick_asof(spark, path) -> DataFrame:
     filters = stage(history.select("symbol", "tick_size", "valid_from", "valid_to"))
     joined = intervals.asof_join(
         t.tape(), filters, "event_time", "valid_from", "valid_to", on=("symbol",),
-        chunk_seconds=180 * 86_400,
     )
-    off = F.pmod(F.col("price").cast("decimal(18,8)"), F.col("tick_size").cast("decimal(18,8)"))
+    # Both have 18 decimals, which a remainder keeps.
+    off = F.pmod(F.col("price").cast(MONEY), F.col("tick_size").cast(MONEY))
     return present(
         joined.withColumn("is_off_grid", off != 0), "trade_id", "symbol", "event_time", "price",
         "tick_size", "valid_from", "is_off_grid",

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock
 from tickhouse.operators import Stage, keep_lazy
 from tickhouse.operators.dedup import dedup
-from tickhouse.operators.ordered import carry_forward, neighbours
+from tickhouse.operators.ordered import neighbours
 
 DAY = 86_400
 
@@ -113,29 +115,43 @@ def asof_join(
 
     For non-overlapping intervals this equals the interval join, needs no
     repetition of long intervals and accepts an open end (null). Both sides are
-    laid on one timeline and the interval is carried forward in time chunks, so a
-    busy key is spread over its chunks. Left rows are shuffled once at full width;
-    the chunk edges read the keys and times of both sides a second time.
+    laid on one timeline, cut into chunks of time, so a busy key is spread over its
+    chunks; inside a chunk a window carries the interval forward. What a chunk
+    starts with comes from the interval side alone, laid out over the chunks up to
+    the newest left row: of the left side only that row's time is read besides its
+    one shuffle.
     """
     lcols = left.columns
     rcols = [c for c in intervals.columns if c not in on]
-    row, iv = F.struct(*lcols), F.struct(*rcols)
+    chunk = clock.bucket_id(F.col("__t"), chunk_seconds)
+    began = intervals.select(*on, F.col(start).alias("__t"), F.struct(*rcols).alias("__r"))
     timeline = left.select(
-        *on, F.col(t).alias("__t"), F.lit(1).alias("__side"), row.alias("__l")
-    ).unionByName(
-        intervals.select(
-            *on, F.col(start).alias("__t"), F.lit(0).alias("__side"), iv.alias("__r")
-        ),
-        allowMissingColumns=True,
+        *on, F.col(t).alias("__t"), F.lit(1).alias("__side"), F.struct(*lcols).alias("__l")
+    ).unionByName(began.withColumn("__side", F.lit(0)), allowMissingColumns=True)
+    within = (
+        Window.partitionBy(*on, "__chunk")
+        .orderBy("__t", "__side")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = carry_forward(
-        timeline,
-        on,
-        ["__t", "__side"],
-        clock.bucket_id(F.col("__t"), chunk_seconds),
-        "__r",
-        "__hit",
+    rows = timeline.withColumn("__chunk", chunk).withColumn(
+        "__in", F.last("__r", ignorenulls=True).over(within)
     ).filter("__side = 1")
+    newest = left.agg(F.max(t)).head()[0]
+    if newest is None:
+        newest = datetime(1970, 1, 1)
+    stop = clock.bucket_id(F.lit(newest).cast("timestamp"), chunk_seconds)
+    across = Window.partitionBy(*(on or [F.lit(0)])).orderBy("__chunk")
+    tails = (
+        began.filter("__t is not null").withColumn("__chunk", chunk)
+        .groupBy(*on, "__chunk").agg(F.max_by("__r", "__t").alias("__before"))
+        .withColumn("__until", F.coalesce(
+            F.lead("__chunk").over(across), F.greatest(stop, F.col("__chunk") + 1)))
+        .withColumn("__chunk", F.explode(F.sequence(F.col("__chunk") + 1, F.col("__until"))))
+        .drop("__until")
+    )
+    carried = rows.join(tails, [*on, "__chunk"], "left").withColumn(
+        "__hit", F.coalesce("__in", "__before")
+    )
     if end is not None:
         live = F.col(f"__hit.{end}").isNull() | (F.col("__t") < F.col(f"__hit.{end}"))
         carried = carried.withColumn("__hit", F.when(live, F.col("__hit")))

@@ -100,36 +100,3 @@ def running_max_before(
     joined = rows.join(edges, [*keys, _CHUNK], "left")
     # greatest() skips nulls, which is what "no earlier row here" should do.
     return joined.select(*df.columns, F.greatest("__in", "__before").alias(out))
-
-
-def carry_forward(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    chunk: Column,
-    value: str,
-    out: str,
-) -> DataFrame:
-    """Latest non-null ``value`` at or before each row in ``order``."""
-    within = (
-        Window.partitionBy(*keys, _CHUNK)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    across = (
-        Window.partitionBy(*(keys or [F.lit(0)]))
-        .orderBy(_CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    base = df.withColumn(_CHUNK, chunk)
-    rows = base.withColumn("__in", F.last(value, ignorenulls=True).over(within))
-    by = F.when(F.col(value).isNotNull(), F.struct(*order))
-    edges = (
-        base.groupBy(*keys, _CHUNK)
-        .agg(F.max_by(value, by).alias("__tail"))
-        .select(
-            *keys, _CHUNK, F.last("__tail", ignorenulls=True).over(across).alias("__before")
-        )
-    )
-    joined = rows.join(edges, [*keys, _CHUNK], "left")
-    return joined.select(*df.columns, F.coalesce("__in", "__before").alias(out))
