@@ -24,8 +24,8 @@ EVERY = 100
 SCALE = 1024
 CANDIDATES, QUERIES = 8192, 1024
 #: Reading stops for good when so few candidates are left that resolving is cheaper.
-FEW = 64
-ROUNDS = 16
+FEW = 256
+ROUNDS = 6
 
 
 def whole(vector: Column) -> Column:
@@ -48,15 +48,21 @@ class Lists:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
-        self.xf = self.x.astype(np.float64)
-        self.order = np.argsort(self.xf, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(self.xf, self.order, axis=0)
+        values = np.ascontiguousarray(self.x.T.astype(np.float64))
+        rising = np.argsort(values, axis=1, kind="stable").astype(np.int32)
+        #: Per dimension the candidates and their components from the lowest, and from the
+        #: highest; and the place of each candidate in the first.
+        self.lists = (rising, rising[:, ::-1].copy())
+        ordered = np.take_along_axis(values, rising, axis=1)
+        self.entries = (ordered, ordered[:, ::-1].copy())
+        self.place = np.empty((len(self.ids), len(values)), np.int32)
+        np.put_along_axis(
+            self.place.T, rising, np.arange(len(self.ids), dtype=np.int32)[None, :], axis=1)
 
     def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best (ids, scores), ties to the smaller id, the query's own id apart."""
-        n, d = self.x.shape
-        survivors = np.arange(n)
-        if n > FEW:
+        survivors = np.arange(len(self.ids))
+        if len(survivors) > FEW:
             survivors = self._survivors(query_id, q.astype(np.float64), k)
         survivors = survivors[self.ids[survivors] != query_id]
         scores = self.x[survivors] @ q
@@ -64,37 +70,33 @@ class Lists:
         return self.ids[survivors][best], scores[best]
 
     def _survivors(self, query_id: int, q: np.ndarray, k: int) -> np.ndarray:
-        n, d = self.x.shape
-        rows = np.arange(d)
-        up = q >= 0
-        lows = np.where(up, self.sorted[0], self.sorted[-1]) * q
-        seen = np.zeros((n, d), bool)
-        known = np.zeros(n)
+        """Who can be among the k best after reading no more of the lists than that takes."""
+        n, d = self.place.shape
+        falling = (q >= 0).astype(int)  # which end of a list is the favourable one
+        least = np.array([self.entries[f][i, -1] for i, f in enumerate(falling)]) * q
+        # What is unread counts with its list's last entry, so an entry read adds its rest.
+        lower = np.full(n, least.sum())
+        lower[self.ids == query_id] = -np.inf
         # Sums of doubles, so a hair of slack keeps every bound on its side.
-        slack = 1e-9 * (1.0 + np.abs(q) @ np.abs(self.xf).max(axis=0))
-        own = self.ids == query_id
+        slack = 1e-9 * (1.0 + np.abs(q) @ np.abs(self.entries[0][:, [0, -1]]).max(axis=1))
         step = -(-n // ROUNDS)
         alive = np.arange(n)
-        for depth in range(0, n, step):
-            at = np.arange(depth, min(depth + step, n))
-            places = np.where(up[:, None], n - 1 - at[None, :], at[None, :])
-            entries = self.order[places, rows[:, None]]
-            values = self.sorted[places, rows[:, None]] * q[:, None]
-            known += np.bincount(entries.ravel(), weights=values.ravel(), minlength=n)
-            seen[entries, rows[:, None]] = True
-            if at[-1] == n - 1:
-                break
-            edge = at[-1] + 1
-            nexts = self.sorted[np.where(up, n - 1 - edge, edge), rows] * q
-            unread = ~seen[alive]
-            lower = known[alive] + unread @ lows
-            upper = known[alive] + unread @ nexts
-            lower[own[alive]] = -np.inf
-            if len(alive) > k:
-                bar = np.partition(lower, len(alive) - k)[len(alive) - k]
-                # Bounds only tighten, so whoever is out once is out for good; no
-                # row outside the list can be better than these bounds allow.
-                alive = alive[upper + slack >= bar - slack]
+        for edge in range(step, n, step):
+            part = slice(edge - step, edge)
+            who = np.concatenate([self.lists[f][i, part] for i, f in enumerate(falling)])
+            read = np.concatenate([self.entries[f][i, part] for i, f in enumerate(falling)])
+            gain = read * np.repeat(q, step) - np.repeat(least, step)
+            lower += np.bincount(who, weights=gain, minlength=n)
+            if edge < 2 * step or len(alive) <= k:
+                continue
+            nexts = np.array([self.entries[f][i, edge] for i, f in enumerate(falling)]) * q
+            place = self.place[alive]
+            unread = np.where(falling, place < n - edge, place >= edge)
+            upper = lower[alive] + unread.astype(np.float64) @ (nexts - least)
+            bar = np.partition(lower[alive], len(alive) - k)[len(alive) - k]
+            # Bounds only tighten: whoever cannot reach the k-th best is out for good, and
+            # no candidate is outside these lists.
+            alive = alive[(upper + slack >= bar - slack) & (lower[alive] > -np.inf)]
             if len(alive) <= max(FEW, k):
                 break
         return alive
