@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ GROUPS = (
 _GROUP_OF = np.full(256, len(GROUPS))
 for _i, _g in enumerate(GROUPS):
     _GROUP_OF[list(_g)] = _i
-N_FEATURES = len(GROUPS) + 5
+N_FEATURES = len(GROUPS) + 6
 
 
 def features(text: str | None) -> np.ndarray:
@@ -44,10 +45,10 @@ def features(text: str | None) -> np.ndarray:
     n = len(words)
     out = np.empty(N_FEATURES)
     out[:len(GROUPS)] = np.log((counts + 0.5) / (len(data) + 20.0))
-    distinct = len(set(words))
+    distinct, twice = len(set(words)), sum(map(eq, words, words[1:]))
     out[len(GROUPS):] = (
         np.log1p(n), np.log((sum(map(len, words)) + 5.0) / (n + 1.0)),
-        np.log((n - distinct + 0.5) / (n + 1.0)),
+        np.log((n - distinct + 0.5) / (n + 1.0)), np.log((twice + 0.5) / (n + 1.0)),
         np.log((len(lines) - len(set(lines)) + 0.5) / (len(lines) + 1.0)),
         np.log((max(map(len, words)) if words else 0) + 1.0),
     )
