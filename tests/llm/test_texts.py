@@ -190,7 +190,12 @@ def test_secret_patterns(spark):
         assert [s for s in r.spans.split(",") if s and not s.startswith("model")] == listed
 
 
-def test_secret_model(docs, spark):
+def test_secret_model(spark):
+    rng = random.Random(6)
+    names = ("some ordinary identifier name user account setting value count of the and in to "
+             "page table column index request response client server file reader writer time").split()
+    prose = [(i, " ".join(rng.choices(names, k=120))) for i in range(300)]
+    docs = spark.createDataFrame(prose, "doc_id long, text string")
     table = secrets.train(secrets.labelled_samples(docs))
     secret = "x9Kd83nQpLz7Wm2Yv5Rt1BqA0sJ"
     texts = [f"use {secret} here", "some_ordinary_identifier_name and ----------------------------"]

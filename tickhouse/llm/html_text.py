@@ -142,6 +142,8 @@ def features(found: list[tuple[str, int, int, bool, bool]]) -> np.ndarray:
 _UNMARKED = (
     # Menus, crumbs and other links.
     (1, 1.0, 1, 1.0, 40, 0.0, 0), (3, 1.0, 2, 1.0, 2, 1.0, 0), (4, 1.0, 60, 0.0, 5, 1.0, 0),
+    (2, 1.0, 0, 0.0, 60, 0.0, 0), (5, 1.0, 3, 1.0, 90, 0.0, 0), (1, 1.0, 0, 0.0, 51, 0.0, 0),
+    (8, 0.9, 2, 1.0, 120, 0.0, 0), (3, 1.0, 75, 0.0, 66, 0.0, 0), (14, 0.8, 1, 1.0, 70, 0.0, 0),
     (12, 0.9, 3, 1.0, 9, 1.0, 0), (25, 0.8, 3, 1.0, 30, 0.9, 0), (6, 0.7, 4, 1.0, 2, 0.5, 0),
     # Articles without them: paragraphs, and headings before them.
     (40, 0.0, 6, 0.0, 60, 0.0, 1), (90, 0.02, 40, 0.0, 85, 0.0, 1),
