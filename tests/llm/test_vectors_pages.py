@@ -126,6 +126,26 @@ def test_page_without_marked_elements():
     assert html_text.main_text(page) == f"{long.strip()}\n\n{long.strip()}"
 
 
+def test_elements_without_end_tags():
+    text = "A paragraph of the article."
+    article = f"<article><h1>Title</h1><p>{text}<p>{text}</article>"
+    want = f"Title\n\n{text}\n\n{text}"
+    for one in ("<li><a href=/x>x</a>", "<p>words", "<div>", "<dt>a<dd>b", "<li><p>a<div>b</div>"):
+        assert html_text.main_text(f"<nav><ul>{one * 200}</ul></nav>{article}") == want
+    rows = "<tr><th>a<td>b" * 200
+    assert html_text.main_text(f"<aside><table>{rows}</table></aside>{article}") == want
+    # In the middle of an article, and an item that is apart before one that is not.
+    page = f"<article><p>{text}<nav><ol>{'<li>x' * 200}</ol></nav><p>{text}</article>"
+    assert html_text.main_text(page) == f"{text}\n\n{text}"
+    for kind in ("li", "dd", "p", "td", "tr"):
+        page = f"<article><{kind} class=share>Share<{kind}>{text}<div>{text}</div></article>"
+        assert html_text.main_text(page) == f"{text}\n\n{text}"
+    # An item of an inner list ends no item of the outer one.
+    page = f"<article><ul><li class=share>Share<ul><li>this<li>too</ul>now<li>{text}</ul></article>"
+    assert html_text.main_text(page) == text
+    assert html_text.main_text(f"<head><meta charset=utf-8><title>T</title>{article}") == want
+
+
 def test_odd_pages(spark):
     pages = [None, "", "<p", "<article>open <b>text", "<" * 5000, "<script>x", "<a href='" * 500,
              "<article><p>" + "word " * 200_000 + "</p></article>", "<article></article>"]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +35,29 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 APART = frozenset("nav footer aside form button dialog menu head fieldset".split())
 MAIN = frozenset("article main".split())
+# End tags that HTML lets a page leave out: what a start tag closes, and the elements
+# that it does not reach beyond.
+_TABLE, _CELL = frozenset(["table"]), frozenset("caption table td th".split())
+_ROW = frozenset("caption colgroup tr td th".split())
+_SECTION = _ROW | frozenset("tbody thead tfoot".split())
+CLOSES = {
+    "tr": (_ROW, _TABLE), "td": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
+    "tbody": (_SECTION, _TABLE), "thead": (_SECTION, _TABLE), "tfoot": (_SECTION, _TABLE),
+    "option": (frozenset(["option"]), frozenset(["datalist"])),
+    "optgroup": (frozenset(["option", "optgroup"]), frozenset(["datalist"])),
+}
+CLOSES["th"] = CLOSES["td"]
+ITEMS = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"])}
+# Elements between an item and the next one that do not begin a list of their own.
+WITHIN_ITEM = frozenset("address div p".split())
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search "
+    "section summary table ul".split())
+_AROUND_P = _CELL | frozenset(["button"])
+# An end tag of these does not reach beyond the elements named.
+END_SCOPE = {"p": _AROUND_P, "li": _CELL | frozenset("ol ul menu".split()), "dt": _CELL | {"dl"},
+             "dd": _CELL | {"dl"}, "td": _TABLE, "th": _TABLE, "tr": _TABLE}
 APART_WORDS = frozenset(
     "ad ads adv advert advertisement advertising banner sponsor sponsored promo promotion nav "
     "navbar navigation menu breadcrumb breadcrumbs sidebar side rail footer header masthead "
@@ -50,11 +74,40 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     out: list[tuple[str, int, int, bool, bool]] = []
     pieces: list[str] = []
     linked: list[str] = []
-    # Open elements as (name, apart, main); counts of the last two.
+    # Open elements as (name, apart, main); where in it each name is open, and what may
+    # hold items; counts of apart and main ones.
     stack: list[tuple[str, bool, bool]] = []
+    places: dict[str, list[int]] = defaultdict(list)
+    fences: list[int] = []
     open_apart = open_main = in_link = 0
     at, size = 0, len(page)
 
+    def last(names: frozenset[str]) -> int:
+        return max((places[n][-1] for n in names if places[n]), default=-1)
+
+    def close_from(place: int) -> None:
+        nonlocal open_apart, open_main
+        while len(stack) > place >= 0:
+            top, apart, main = stack.pop()
+            places[top].pop()
+            if fences and fences[-1] == len(stack):
+                fences.pop()
+            open_apart -= apart
+            open_main -= main
+
+    def close_before(name: str) -> None:
+        """Elements that end where ``name`` begins."""
+        if places["head"]:
+            close_from(places["head"][-1])
+        if name in ITEMS and fences and stack[fences[-1]][0] in ITEMS[name]:
+            close_from(fences[-1])
+        if name in ENDS_P and places["p"] and places["p"][-1] > last(_AROUND_P):
+            close_from(places["p"][-1])
+        if name in CLOSES:
+            closed, beyond = CLOSES[name]
+            edge = last(beyond)
+            close_from(min((p for n in closed for p in places[n][-1:] if p > edge), default=-1))
+
     def close_block() -> None:
         if pieces:
             text = " ".join("".join(pieces).split())
@@ -71,6 +124,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             piece = page[at:stop]
             if "&" in piece:
                 piece = entities.unescape(piece)
+            if places["head"] and not piece.isspace():
+                close_block()
+                close_from(places["head"][-1])
             pieces.append(piece)
             if in_link:
                 linked.append(piece)
@@ -86,13 +142,8 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                 in_link = 0
             if name not in INLINE:
                 close_block()
-                if any(x[0] == name for x in stack[-64:]):
-                    while stack:
-                        top, apart, main = stack.pop()
-                        open_apart -= apart
-                        open_main -= main
-                        if top == name:
-                            break
+                if places[name] and places[name][-1] > last(END_SCOPE.get(name, frozenset())):
+                    close_from(places[name][-1])
             continue
         if name in RAW and not found[3].endswith("/"):
             close = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
@@ -107,7 +158,12 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             in_link = 1
         elif name not in INLINE:
             close_block()
-            if name in VOID or found[3].endswith("/"):
+            if name in VOID:
+                if name == "hr":
+                    close_before(name)
+                continue
+            close_before(name)
+            if found[3].endswith("/"):
                 continue
             marks = set()
             if "=" in found[3]:
@@ -117,6 +173,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             apart = name in APART or (not main and bool(marks & APART_WORDS)) or (
                 bool(marks & APART_WORDS - {"header"}) and name not in MAIN
                 and name != "body") or (name == "header" and not open_main)
+            places[name].append(len(stack))
+            if name not in WITHIN_ITEM and "-" not in name:
+                fences.append(len(stack))
             stack.append((name, apart, main))
             open_apart += apart
             open_main += main
