@@ -146,6 +146,33 @@ def test_elements_without_end_tags():
     assert html_text.main_text(f"<head><meta charset=utf-8><title>T</title>{article}") == want
 
 
+def test_class_and_id_words_are_hints():
+    long = "A paragraph of the article with many words and no link, which is what tells it. " * 2
+    short = "A short one of a few words."
+    for around in ('section id="related-work"', 'div class="side-by-side"', "p class=notice",
+                   'div id="legal-background"', 'div data-id="comments"', 'section id="search"'):
+        name = around.split()[0]
+        inside = long if name == "p" else f"<h2>Search methods</h2><p>{long}</p><p>{short}</p>"
+        page = f"<article><p>{short}</p><{around}>{inside}</{name}><p>{short}</p></article>"
+        middle = [long.strip()] if name == "p" else ["Search methods", long.strip(), short]
+        assert html_text.main_text(page) == "\n\n".join([short, *middle, short])
+    page = f"<body class='with-sidebar'><article><h2 id='search-methods'>Search</h2>{long}</article>"
+    assert html_text.main_text(page) == f"Search\n\n{long.strip()}"
+    links = "<a href=/x>Another page of this site to read</a> " * 12
+    for apart in ("<div class=ad>Buy this</div>", f"<div class=related>{links}</div>",
+                  f"<nav>{long}</nav>", f"<aside><p>{long}</aside>", f"<form>{long}</form>",
+                  f"<div role=navigation>{long}</div>", "<p class=share>Share this"):
+        page = f"<article><p>{long}</p>{apart}<p>{long}</p></article>"
+        assert html_text.main_text(page) == f"{long.strip()}\n\n{long.strip()}", apart
+
+
+def test_tree_learns_its_rows():
+    import numpy as np
+
+    rows = np.array(html_text.LABELLED, float)
+    assert (html_text.judge(html_text.trained(), rows[:, :-1]) == rows[:, -1]).all()
+
+
 def test_odd_pages(spark):
     pages = [None, "", "<p", "<article>open <b>text", "<" * 5000, "<script>x", "<a href='" * 500,
              "<article><p>" + "word " * 200_000 + "</p></article>", "<article></article>"]
