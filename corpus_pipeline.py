@@ -25,8 +25,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return minhash.dedup(docs)
+    """One document of each group of near copies: 0.8 of the five-word shingles or more."""
+    return minhash.dedup(docs, limit=minhash.AT_80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

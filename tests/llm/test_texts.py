@@ -6,6 +6,7 @@ import plain
 import pytest
 from pyspark.sql import types as T
 
+import corpus_pipeline
 from tickhouse.llm import bpe, lines, minhash, mixing, quality, secrets, substrings
 from tickhouse.llm.shared import slice_bits
 
@@ -158,6 +159,26 @@ def test_near_duplicates_of_repeated_rows(spark):
     assert sorted(r.doc_id or 0 for r in minhash.dedup(df).collect()) == [0, 3]
 
 
+def test_pipeline_drops_near_copies_of_four_fifths(spark):
+    rng = random.Random(8)
+    rows, similar = [], []
+    for k in range(40):
+        words = [f"{k}x{i}" for i in range(300)]
+        # Each word changed alone takes five of 296 shingles away.
+        changed = words[:]
+        for i in range(10, 10 + 20 * (6, 8)[k % 2], 20):
+            changed[i] += "y"
+        rng.shuffle(pair := [" ".join(words), " ".join(changed)])
+        rows += [(2 * k, pair[0]), (2 * k + 1, pair[1])]
+        a, b = map(plain.shingles, pair)
+        similar.append(len(a & b) / len(a | b))
+    assert all(0.80 <= s < 0.85 for s in similar[::2]) and all(s < 0.80 for s in similar[1::2])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()}
+    assert left == {i for i, _ in rows} - set(range(1, 80, 4))
+    assert minhash.dedup(df).count() == 80
+
+
 def test_odd_sketches_measure_similarity():
     rng = random.Random(1)
     a = [str(rng.random()) for _ in range(1000)]

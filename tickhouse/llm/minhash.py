@@ -1,8 +1,7 @@
 """MinHash near-dedup with odd sketches.
 
-1. Every text becomes its set of word shingles, 120 MinHash samples of it, 24
-   bands of five samples, and an odd sketch: each sample flips one bit of a
-   bitmap, so the bits in which two bitmaps differ measure how many samples do.
+1. Every text becomes its set of word shingles, 120 MinHash samples of it, bands
+   of some samples, and an odd sketch: each sample flips one bit of a bitmap, so the bits in which two bitmaps differ measure how many samples do.
    Equal sets are one set from here on, whatever the number of their copies.
 2. Sets that share a band meet in a bucket. Inside, population counts of XORed
    sketches leave the pairs that may be similar enough; a bucket passes on one
@@ -10,16 +9,20 @@
 3. What these edges connect is small and is compared on full sets, most similar
    pairs first; a pair that is connected by then needs no comparison.
 
-A pair at the limit shares no band with a chance of 8e-7, and is beyond the
-sketch bound (0.68 as estimated) with a chance of about 1e-6; other than that no
-link is lost. Buckets and connected parts above a block are cut into pairs of
+A ``Limit`` is the least similarity with the bands and the sketch bound that fit
+it. At 85 percent (24 bands of five) a pair at the limit shares no band with a
+chance of 8e-7, and is beyond the sketch bound (0.68 as estimated) with a chance
+of 5e-6; at 80 percent (30 bands of four) with chances of 1.4e-7 and 6e-7
+(0.59 as estimated). Other than that no link is lost. Buckets and connected parts above a block are cut into pairs of
 blocks, so no task holds more than two.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -80,9 +83,10 @@ def samples(found: np.ndarray) -> np.ndarray:
     return least
 
 
-def bands(sampled: np.ndarray) -> np.ndarray:
-    return _mix((sampled.reshape(BANDS, ROWS) * _JOIN).sum(axis=1, dtype=np.uint64)
-                + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def bands(sampled: np.ndarray, number: int = BANDS) -> np.ndarray:
+    """A hash of each of ``number`` bands; a divisor of the number of samples."""
+    joined = (sampled * _JOIN.ravel()).reshape(number, -1).sum(axis=1, dtype=np.uint64)
+    return _mix(joined + np.arange(number, dtype=np.uint64)).view(np.int64)
 
 
 def odd_sketch(sampled: np.ndarray) -> bytes:
@@ -98,8 +102,22 @@ def estimate(differing: float) -> float:
     return 1 + SKETCH_BITS / (4 * SAMPLES) * float(np.log(rest))
 
 
-#: The most bits in which the sketches of a pair to compare may differ.
-MOST_DIFFERING = max(x for x in range(SKETCH_BITS // 2) if estimate(x) >= LEAST_ESTIMATE)
+def most_differing(least_estimate: float) -> int:
+    """The most bits in which the sketches of a pair to compare may differ."""
+    return max(x for x in range(SKETCH_BITS // 2) if estimate(x) >= least_estimate)
+
+
+class Limit(NamedTuple):
+    """Least similarity in percent, bands that the samples are cut into, sketch bound."""
+
+    percent: int = PERCENT
+    bands: int = BANDS
+    most_differing: int = most_differing(LEAST_ESTIMATE)
+
+
+#: The limit of op8's query, and one for pairs of 80 percent and more.
+AT_85 = Limit()
+AT_80 = Limit(80, 30, most_differing(0.59))
 
 
 def _key(found: np.ndarray) -> tuple[int, int]:
@@ -108,7 +126,7 @@ def _key(found: np.ndarray) -> tuple[int, int]:
     return int(a), int(b)
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame, limit: Limit = AT_85) -> DataFrame:
     """doc_id, size and 128-bit key of the set, bands and sketch of every row."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n", "k1", "k2", "bands", "sketch"]
@@ -120,7 +138,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 if len(found):
                     sampled = samples(found)
                     rows.append((doc_id.as_py(), len(found), *_key(found),
-                                 bands(sampled), odd_sketch(sampled)))
+                                 bands(sampled, limit.bands), odd_sketch(sampled)))
                 else:
                     rows.append((doc_id.as_py(), 0, 0, 0, None, None))
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
@@ -161,7 +179,8 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _similar(ids: list[int], sizes: list[int], sketches: list[bytes]) -> Iterator[tuple[int, int]]:
+def _similar(ids: list[int], sizes: list[int], sketches: list[bytes],
+             limit: Limit) -> Iterator[tuple[int, int]]:
     """(id, least id that sketches connect it with) for a bucket, or a pair of blocks."""
     n = len(ids)
     order = sorted(range(n), key=ids.__getitem__)
@@ -171,8 +190,8 @@ def _similar(ids: list[int], sizes: list[int], sketches: list[bytes]) -> Iterato
         for i in range(n):
             for j in range(i):
                 low, high = sorted((sizes[order[i]], sizes[order[j]]))
-                if 100 * low >= PERCENT * high and (
-                        bits[i] ^ bits[j]).bit_count() <= MOST_DIFFERING:
+                if 100 * low >= limit.percent * high and (
+                        bits[i] ^ bits[j]).bit_count() <= limit.most_differing:
                     forest.join(i, j)
     else:
         bits, size = _bits([sketches[i] for i in order]), np.array([sizes[i] for i in order])
@@ -183,10 +202,10 @@ def _similar(ids: list[int], sizes: list[int], sketches: list[bytes]) -> Iterato
             root = int(edge[0])
             while len(edge) and len(rest):
                 part, edge = edge[:256], edge[256:]
-                near = _differing(bits[part], bits[rest]) <= MOST_DIFFERING
+                near = _differing(bits[part], bits[rest]) <= limit.most_differing
                 low = np.minimum(size[part][:, None], size[rest][None, :])
                 high = np.maximum(size[part][:, None], size[rest][None, :])
-                hit = (near & (100 * low >= PERCENT * high)).any(axis=0)
+                hit = (near & (100 * low >= limit.percent * high)).any(axis=0)
                 for x in rest[hit].tolist():
                     forest.join(root, x)
                 edge, rest = np.concatenate([edge, rest[hit]]), rest[~hit]
@@ -195,7 +214,7 @@ def _similar(ids: list[int], sizes: list[int], sketches: list[bytes]) -> Iterato
             yield ids[order[i]], ids[order[forest.root(i)]]
 
 
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_edges(batches: Iterator[pa.RecordBatch], limit: Limit) -> Iterator[pa.RecordBatch]:
     """Edges of each run of rows with one (band, i, j); rows come sorted by these."""
     key, ids, sizes, sketches = None, [], [], []
     out: list[tuple[int, int]] = []
@@ -206,7 +225,7 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for band, i, j, doc, size, sketch in rows:
             if (band, i, j) != key:
                 if len(ids) > 1:
-                    out.extend(_similar(ids, sizes, sketches))
+                    out.extend(_similar(ids, sizes, sketches, limit))
                 key, ids, sizes, sketches = (band, i, j), [], [], []
             ids.append(doc)
             sizes.append(size)
@@ -218,7 +237,7 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             out = []
 
 
-def _verify(rows: pd.DataFrame) -> pd.DataFrame:
+def _verify(rows: pd.DataFrame, limit: Limit) -> pd.DataFrame:
     """Edges of a spanning forest of the links inside a block or between two."""
     rows = rows.drop_duplicates("id").reset_index(drop=True)
     ids, block = rows["id"].tolist(), rows["block"].to_numpy()
@@ -226,17 +245,17 @@ def _verify(rows: pd.DataFrame) -> pd.DataFrame:
     size = np.array([len(s) for s in sets])
     bits = _bits(rows["sketch"].tolist())
     apart = _differing(bits, bits)
-    fits = 100 * np.minimum(size[:, None], size) >= PERCENT * np.maximum(size[:, None], size)
+    fits = 100 * np.minimum(size[:, None], size) >= limit.percent * np.maximum(size[:, None], size)
     if rows["i"].iloc[0] != rows["j"].iloc[0]:
         fits &= block[:, None] != block
-    a, b = np.nonzero(np.triu(fits & (apart <= MOST_DIFFERING), 1))
+    a, b = np.nonzero(np.triu(fits & (apart <= limit.most_differing), 1))
     forest, u, v = Forest(len(ids)), [], []
     for k in np.argsort(apart[a, b], kind="stable"):
         i, j = int(a[k]), int(b[k])
         if forest.root(i) == forest.root(j):
             continue
         both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-        if 100 * both >= PERCENT * (len(sets[i]) + len(sets[j]) - both):
+        if 100 * both >= limit.percent * (len(sets[i]) + len(sets[j]) - both):
             forest.join(i, j)
             u.append(ids[i])
             v.append(ids[j])
@@ -273,9 +292,9 @@ def _full_sets(docs: DataFrame, near: DataFrame) -> DataFrame:
         shingle, "id long, component long, members long, sketch binary, found binary")
 
 
-def _classes(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, label: str, limit: Limit) -> tuple[DataFrame, DataFrame]:
     """The measured rows, and (id, component) of the documents that link."""
-    rows = store(measured(docs), label)
+    rows = store(measured(docs, limit), label)
     sets = store(
         rows.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
             F.min("doc_id").alias("id"), F.first("n").alias("n"),
@@ -288,14 +307,15 @@ def _classes(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
         _in_blocks(members, "members", BUCKET_BLOCK)
         .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
         .select("band", "i", "j", "id", "n", "sketch")
-        .mapInArrow(_bucket_edges, "u long, v long")
+        .mapInArrow(partial(_bucket_edges, limit=limit), "u long, v long")
     )
     maybe = store(components(edges, f"{label}-maybe"), f"{label}-parts")
     parts = apart(maybe.groupBy("component").agg(F.count("*").alias("members")))
     near = maybe.join(parts, "component").join(sets.select("id", "k1", "k2", "sketch"), "id")
     verified = (
         _in_blocks(_full_sets(docs, near), "members", SET_BLOCK)
-        .groupBy("component", "i", "j").applyInPandas(_verify, "u long, v long")
+        .groupBy("component", "i", "j").applyInPandas(
+            lambda found: _verify(found, limit), "u long, v long")
     )
     copies = rows.where("n > 0").join(
         sets.select("k1", "k2", "id"), ["k1", "k2"]).where("doc_id <> id").select(
@@ -303,14 +323,16 @@ def _classes(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     return rows, components(verified.union(copies), f"{label}-links")
 
 
-def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, label: str = "minhash", limit: Limit = AT_85
+) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``.
 
     A null or empty text has no shingle and links with nothing; so does a row
     whose doc_id is null. Rows that repeat a doc_id are versions of one document:
     it links by each of its texts.
     """
-    rows, classes = _classes(docs, label)
+    rows, classes = _classes(docs, label, limit)
     component = F.coalesce("component", "doc_id")
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(
         classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
@@ -318,12 +340,12 @@ def near_duplicates(docs: DataFrame, label: str = "minhash") -> DataFrame:
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def dedup(docs: DataFrame, label: str = "minhash") -> DataFrame:
+def dedup(docs: DataFrame, label: str = "minhash", limit: Limit = AT_85) -> DataFrame:
     """One document of each group, the one of least doc_id, with its columns.
 
     Rows that repeat the doc_id of a kept document: one of them stays.
     """
-    rows, classes = _classes(docs, label)
+    rows, classes = _classes(docs, label, limit)
     gone = classes.where("id <> component").select(F.col("id").alias("__gone"))
     left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
     repeats = rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
