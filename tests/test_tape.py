@@ -1,12 +1,15 @@
 """Dedup, candles, quotes, sequences."""
 
+import os
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import numpy as np
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tickhouse.catalogue import registry
 from tickhouse.operators import bars as bar_ops
 from tickhouse.operators import quotes as quote_ops
 from tickhouse.operators.dedup import dedup, grain_violations
@@ -117,6 +120,28 @@ def test_exact_and_sketched_median_agree_on_small_bars(spark):
     assert exact == Decimal("3.5") and sketch == 3
 
 
+def test_discrete_median_of_a_busy_bar(spark):
+    n = 60_000
+    spreads = [(i * 7_919 % n) ** 2 for i in range(n)]
+    df = spark.createDataFrame(
+        list(enumerate(spreads)), "update_id long, s long"
+    ).selectExpr(
+        "'V' exchange_id", "'S' symbol", "update_id", "timestamp_seconds(0) event_time",
+        "cast(1 as bigint) prevailing_ms", "cast(0 as bigint) book_updates_between",
+        "cast(s / 1000000 as decimal(18,6)) spread_bps", "cast(1 as decimal(38,18)) mid_price",
+        "cast(1 as decimal(38,18)) bid_quantity", "cast(1 as decimal(38,18)) ask_quantity",
+        "cast(0 as decimal(18,6)) touch_imbalance")
+    got = rows(quote_ops.quote_metrics(df, 3_600, discrete_median=True))
+    assert [r["median_spread_bps"] for r in got] == [Decimal((n // 2 - 1) ** 2).scaleb(-6)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no sample tables")
+@pytest.mark.parametrize("name", ["quote_metrics_1h", "market_fact"])
+def test_registered_medians_are_no_sketch(spark, name):
+    df = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert "approx" not in df._jdf.queryExecution().toString()
+
+
 def arrivals(spark, ids, session="s"):
     return spark.createDataFrame(
         [("A", session, i, u) for i, u in enumerate(ids)],

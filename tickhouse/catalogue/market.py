@@ -142,7 +142,8 @@ def quote_durations(spark, path) -> DataFrame:
 
 
 def quote_metrics_1h(spark, path) -> DataFrame:
-    return present(silver.quote_metrics(silver.quotes(tables(spark, path).landed_quotes(), stage), HOUR))
+    quotes = silver.quotes(tables(spark, path).landed_quotes(), stage)
+    return present(silver.quote_metrics(quotes, HOUR, discrete_median=True))
 
 
 def quote_metrics_1h_clipped(spark, path) -> DataFrame:
@@ -204,7 +205,9 @@ def _fact(spark, path, seconds=HOUR) -> DataFrame:
     t = tables(spark, path)
     return gold.market_fact(
         silver.ohlcv(silver.trades(t.landed_trades()), seconds, stage=stage),
-        silver.quote_metrics(silver.quotes(t.landed_quotes(), stage), seconds),
+        silver.quote_metrics(
+            silver.quotes(t.landed_quotes(), stage), seconds, discrete_median=True
+        ),
         silver.fx_rates(t.landed_fx(), stage),
     )
 
@@ -224,7 +227,9 @@ def _daily_and_health(spark, path) -> tuple[DataFrame, DataFrame]:
     t = tables(spark, path)
     trades = stage(silver.trades(t.landed_trades()))
     bars = stage(silver.ohlcv(trades, HOUR, stage=stage))
-    metrics = silver.quote_metrics(silver.quotes(t.landed_quotes(), stage), HOUR)
+    metrics = silver.quote_metrics(
+        silver.quotes(t.landed_quotes(), stage), HOUR, discrete_median=True
+    )
     fact = gold.market_fact(bars, metrics, silver.fx_rates(t.landed_fx(), stage))
     daily = stage(gold.symbol_daily(fact, bar_minutes=60))
     reconciled = gold.reconcile(bars, silver.venue_klines(t.landed_klines()))

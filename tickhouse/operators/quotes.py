@@ -86,21 +86,30 @@ def quote_metrics(
     t: str = "event_time",
     exact_quantiles: bool = False,
     split_at_bar_end: bool = False,
+    discrete_median: bool = False,
 ) -> DataFrame:
     """Spread, depth and coverage per bar, from quotes with durations.
 
     The time-weighted spread divides by all covered time; a quote without a
     spread adds to the denominator only. By default a quote's whole prevailing
     time counts in the bar it arrived in; ``split_at_bar_end`` clips it instead.
+
+    The median is a sketch, exact for bars of up to its accuracy. With
+    ``discrete_median`` it is the least spread that half of the quotes do not
+    exceed, whatever their number; ``exact_quantiles`` interpolates between two.
+    Both count the distinct spreads of a bar.
     """
     held = quotes.filter(F.col("prevailing_ms").isNotNull() & (F.col("prevailing_ms") >= 0))
     if split_at_bar_end:
         held = split_over_bars(held, seconds, t)
     ms = F.col("prevailing_ms")
     spread = F.col("spread_bps")
-    median = (
-        F.percentile(spread, 0.5) if exact_quantiles else F.percentile_approx(spread, 0.5, 10_000)
-    )
+    if discrete_median:
+        median = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY spread_bps)")
+    elif exact_quantiles:
+        median = F.percentile(spread, 0.5)
+    else:
+        median = F.percentile_approx(spread, 0.5, 10_000)
     depth = F.col("bid_quantity").cast("decimal(28,12)") + F.col("ask_quantity").cast(
         "decimal(28,12)"
     )
