@@ -179,6 +179,18 @@ def test_pipeline_drops_near_copies_of_four_fifths(spark):
     assert minhash.dedup(df).count() == 80
 
 
+def test_near_duplicates_of_texts_under_one_id(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(200)) for k in "ab"}
+    # One of the two is the first in a block: each order must link both near copies.
+    for first, second in ("ab", "ba"):
+        rows = [(3, texts[first]), (3, texts[second]), (9, texts["a"] + " x"),
+                (7, texts["b"] + " y"), (8, "another text")]
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(df).collect()}
+        assert got == {(3, 3), (7, 3), (9, 3), (8, 8)}
+        assert sorted({r.doc_id for r in minhash.dedup(df).collect()}) == [3, 8]
+
+
 def test_odd_sketches_measure_similarity():
     rng = random.Random(1)
     a = [str(rng.random()) for _ in range(1000)]

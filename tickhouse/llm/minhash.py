@@ -239,7 +239,8 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch], limit: Limit) -> Iterator[p
 
 def _verify(rows: pd.DataFrame, limit: Limit) -> pd.DataFrame:
     """Edges of a spanning forest of the links inside a block or between two."""
-    rows = rows.drop_duplicates("id").reset_index(drop=True)
+    # A doc_id with several texts has a set of each.
+    rows = rows.drop_duplicates(["id", "found"]).reset_index(drop=True)
     ids, block = rows["id"].tolist(), rows["block"].to_numpy()
     sets = [np.frombuffer(s, np.uint64) for s in rows["found"]]
     size = np.array([len(s) for s in sets])
