@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tickhouse.llm import (
     bpe,
     html_text,
+    infill,
     lines,
     minhash,
     mixing,
+    pieces,
     quality,
     secrets,
+    spelling,
     substrings,
     topk,
     vectors,
@@ -59,8 +62,21 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), pieces.model_file())
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_secrets, op2_topk, op3_mixing, op4_bpe, op5_vectors, op6_substrings,
-              op7_quality, op8_minhash, op9_lines, op10_html)
+              op7_quality, op8_minhash, op9_lines, op10_html, op11_pieces, op12_infill,
+              op13_spelling)
 }

@@ -174,7 +174,88 @@ SELECT l.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, l.doc_id)
        l.doc_id = coalesce(component_id, l.doc_id) AS kept
 FROM listed l LEFT JOIN sizes s ON l.doc_id = s.doc_id LEFT JOIN classes c ON l.doc_id = c.id"""
 
+INFILL = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+numbers AS (
+  SELECT doc_id, text, n, ('0x' || h[1:8])::BIGINT % (n + 1) AS x,
+         ('0x' || h[9:16])::BIGINT % (n + 1) AS y, ('0x' || h[17:24])::BIGINT % 100 AS z,
+         ('0x' || h[25:32])::BIGINT % 100 AS u
+  FROM drawn),
+formed AS (
+  SELECT doc_id, text, n, least(x, y) AS a, greatest(x, y) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>')
+                OR contains(text, '<M>') OR z >= 90 THEN 'plain'
+              WHEN u < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle,
+         substr(text, b + 1) AS suffix
+  FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                   WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                   ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END
+       ) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
+# The letters of a run are one or two bytes in UTF-8. Near words are equal without the
+# letter at one place, or one is the other without some letter.
+SPELLING = """
+WITH RECURSIVE table_of AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _:
+           CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS k FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+           string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c:
+           CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+                ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64]::BIGINT[] END))),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS h
+  FROM counted, table_of),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run))
+                || substr(run, (h % length(run)) + 2) ELSE run END AS word, k
+  FROM hashed),
+vocabulary AS (
+  SELECT word, sum(k)::BIGINT AS n FROM words WHERE length(word) >= 6
+  GROUP BY word HAVING sum(k) >= 5),
+less AS (
+  SELECT word, n, i, length(word) AS size, substr(word, 1, i) || substr(word, i + 2) AS part
+  FROM vocabulary, unnest(range(length(word) + 1)) AS r(i)),
+near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n
+  FROM less a JOIN less b ON a.part = b.part AND a.word <> b.word
+  WHERE a.i = b.i AND a.size = b.size
+     OR a.i = a.size AND b.size = a.size + 1 OR b.i = b.size AND a.size = b.size + 1),
+best AS (
+  SELECT word, count(*) AS n_near,
+         first(near ORDER BY near_n DESC, near COLLATE "C") AS near, max(near_n) AS near_n
+  FROM near GROUP BY word),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+         CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best b ON v.word = b.word),
+walk(word, root, form) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL
+  SELECT w.word, f.word, f.form FROM walk w JOIN formed f ON w.form = f.word)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk w ON f.word = w.word AND w.form IS NULL"""
+
 ORACLES = {
+    "op12_infill": INFILL,
+    "op13_spelling": SPELLING,
     "op2_topk": TOP_K,
     "op5_vectors": VECTORS,
     "op6_substrings": SUBSTRINGS,
