@@ -51,10 +51,17 @@ def test_no_nested_loop_or_cartesian_plan(spark, name):
 
 
 @pytest.mark.parametrize("name", ["fx_range_join", "tick_asof"])
-def test_the_asof_plan_reads_the_tape_once(spark, name):
+def test_the_asof_plan_reads_whole_rows_of_the_tape_once(spark, name):
+    """And once more the columns that keys and times are made of."""
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line]
-    assert len(scans) == 1
+    assert len(scans) == 2
+    assert sum("l_extendedprice" in line for line in scans) == 1
+
+
+def test_trades_that_come_once_are_not_shuffled(spark):
+    plan = QUERIES["dedup_trades"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Window" not in plan
 
 
 def test_candles_need_no_sort(spark):

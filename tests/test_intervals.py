@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 
 from tickhouse.operators import intervals, scd
@@ -139,3 +140,78 @@ def test_stage_changes_nothing(spark):
         return frame.select("*")
 
     assert versions(scd.scd2(df, stage=keep)) == versions(scd.scd2(df)) and calls
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_null_keys_and_times_match_nothing_in_either_join(spark, how):
+    left = spark.createDataFrame(
+        [(None, day(0.1), 1), (None, day(1.5), 2), ("a", day(1.5), 3), ("a", None, 4),
+         ("a", day(-1), 5)], "k string, t timestamp, i int")
+    right = spark.createDataFrame(
+        [(None, day(0), None, 1), ("a", day(0), None, 2), ("a", None, None, 3)],
+        "k string, f timestamp, e timestamp, r int")
+    want = [(3, 2)] if how == "inner" else [(1, None), (2, None), (3, 2), (4, None), (5, None)]
+    for joined in (intervals.asof_join(left, right, "t", "f", "e", on=("k",), how=how),
+                   intervals.interval_join(left, right, "t", "f", "e", on=("k",), how=how)):
+        assert [(r.i, r.r) for r in joined.orderBy("i").collect()] == want
+
+
+def test_no_row_is_made_for_an_empty_chunk(spark):
+    """Thousands of keys observed once and traded years later."""
+    n = 300
+    began = spark.createDataFrame(
+        [(f"k{i}", day(i % 7), (i,)) for i in range(n)], "k string, __t timestamp, __r struct<r:int>")
+    placed = spark.createDataFrame(
+        [(f"k{i}", day(3_000 + j)) for i in range(0, n, 3) for j in range(2)],
+        "k string, __t timestamp")
+    chunk = F.floor(F.unix_micros("__t") / (86_400 * 1_000_000))
+    found = intervals.entering(placed, began, ["k"], chunk)
+    assert found.count() == placed.count()
+    line = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in line
+    got = intervals.asof_join(placed.withColumnRenamed("__t", "t"), began.select(
+        "k", F.col("__t").alias("f"), F.col("__r.r").alias("r")), "t", "f", None, on=("k",))
+    assert {(r.k, r.r) for r in got.collect()} == {(f"k{i}", i) for i in range(0, n, 3)}
+
+
+def test_one_symbol_with_most_rows_is_spread_over_its_chunks(spark):
+    rows = [("hot", day(i / 50), i) for i in range(900)] + [(f"s{i}", day(i), i) for i in range(18)]
+    left = spark.createDataFrame(rows, "k string, t timestamp, i int")
+    right = spark.createDataFrame(
+        [("hot", day(x), x) for x in (0, 1, 2, 3, 11)] + [("s3", day(1), 1)],
+        "k string, f timestamp, r int")
+    got = {r.i: r.r for r in intervals.asof_join(left, right, "t", "f", None, on=("k",)).filter(
+        "k = 'hot'").collect()}
+    assert got == {i: max(x for x in (0, 1, 2, 3, 11) if x <= i / 50) for i in range(900)}
+    plan = intervals.asof_join(left, right, "t", "f", None, on=("k",))
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    last = [line for line in plan.splitlines() if "Window [" in line][0]
+    assert "__chunk" in last.split("windowspecdefinition(")[1]
+
+
+def test_an_unexpected_open_end_is_an_error(spark):
+    left = spark.createDataFrame([("a", day(1))], "k string, t timestamp")
+    right = spark.createDataFrame([("a", day(0), None)], "k string, f timestamp, e timestamp")
+    with pytest.raises(Exception, match="open_ends"):
+        intervals.interval_join(left, right, "t", "f", "e", on=("k",), open_ends=False).collect()
+
+
+def test_joins_run_nothing_while_they_are_planned(spark):
+    left = spark.createDataFrame([("a", day(1))], "k string, t timestamp")
+    right = spark.createDataFrame([("a", day(0), None)], "k string, f timestamp, e timestamp")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        intervals.asof_join(left, right, "t", "f", "e", on=("k",))
+        intervals.interval_join(left, right, "t", "f", "e", on=("k",))
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_open_intervals_without_keys(spark):
+    left = spark.createDataFrame([(day(x / 2), x) for x in range(-2, 9)], "t timestamp, i int")
+    right = spark.createDataFrame([(day(0), day(2), 1), (day(2), None, 2), (day(50), None, 3)],
+                                  "f timestamp, e timestamp, r int")
+    got = {r.i: r.r for r in intervals.interval_join(left, right, "t", "f", "e").collect()}
+    assert got == {x: None if x < 0 else 1 if x < 4 else 2 for x in range(-2, 9)}

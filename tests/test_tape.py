@@ -1,6 +1,7 @@
 """Dedup, candles, quotes, sequences."""
 
 import os
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -14,6 +15,7 @@ from tickhouse.operators import bars as bar_ops
 from tickhouse.operators import quotes as quote_ops
 from tickhouse.operators.dedup import dedup, grain_violations
 from tickhouse.operators.sequence import observe_sequence
+from tickhouse.sources.staged import stage
 
 T0 = datetime(2024, 1, 1)
 
@@ -160,3 +162,51 @@ def test_a_new_session_starts_over(spark):
     both = arrivals(spark, [5, 6], "a").unionByName(arrivals(spark, [1, 2], "b"))
     got = observe_sequence(both, session="session")
     assert got.filter("first_seen").count() == 2 and got.filter("regressed").count() == 0
+
+
+# -- dedup of what repeats -------------------------------------------------------------
+
+
+def _landed(spark, kinds="t timestamp, n long"):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        key = rng.choice((None, "a", "b")), i % 120
+        copies = 40 if i == 7 else rng.choice((1, 1, 1, 2))
+        for c in range(copies):
+            rows.append((*key, f"row {i}.{c}", rng.choice((None, T0, T0 + timedelta(days=i))),
+                         rng.choice((None, -(2**63), -1, 0, i, 2**63 - 1))))
+    return spark.createDataFrame(rows, f"k string, id int, text string, {kinds}").repartition(5)
+
+
+@pytest.mark.parametrize("keep", ["first", "last"])
+@pytest.mark.parametrize("order", [("t", "n"), ("n",), ("t",), ("text",), ("n", "t")])
+def test_only_repeats_are_brought_together(spark, keep, order):
+    df = _landed(spark)
+    whole = dedup(df, ("k", "id"), order, keep)
+    apart = dedup(df, ("k", "id"), order, keep, stage=stage)
+    assert apart.columns == whole.columns
+    read = lambda d: {(r.k, r.id): (r._duplicate_count, *(r[c] for c in order))
+                      for r in d.collect()}
+    assert apart.count() == whole.count()
+    assert read(apart) == read(whole)
+    texts = {tuple(r) for r in df.select("k", "id", "text", "t", "n").collect()}
+    assert {tuple(r)[:5] for r in apart.collect()} <= texts
+
+
+def test_a_storm_of_copies_on_one_key(spark):
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"),
+        F.lit("x").alias("text"))
+    got = dedup(df, ("k",), ("n",), stage=stage)
+    top = got.orderBy(F.desc("_duplicate_count")).first()
+    assert (top.k, top.n, top._duplicate_count) == (1, 1, 150_000)
+    assert got.count() == 50_001
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Window" not in plan
+
+
+def test_dedup_of_nothing_and_without_a_count(spark):
+    df = _landed(spark)
+    assert dedup(df.limit(0), ("k", "id"), ("t", "n"), stage=stage).count() == 0
+    assert dedup(df, ("k", "id"), ("t", "n"), count_col=None, stage=stage).columns == df.columns

@@ -168,7 +168,8 @@ def dq_join_multiplication(spark, path) -> DataFrame:
     t = tables(spark, path)
     bars = stage(_bars(spark, path, HOUR))
     raw = staging.stage_fx(t.landed_fx()).select("rate", "valid_from", "valid_to")
-    multiplied = intervals.interval_join(bars, raw, "bar_start", "valid_from", "valid_to", how="inner")
+    multiplied = intervals.interval_join(
+        bars, raw, "bar_start", "valid_from", "valid_to", how="inner", open_ends=False)
     return present(
         quality.join_multiplication(bars, multiplied, ("exchange_id", "symbol", "bar_start"))
     )

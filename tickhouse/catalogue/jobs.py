@@ -4,52 +4,77 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickhouse.catalogue.market import HOUR, tables
 from tickhouse.catalogue.present import present
 from tickhouse.functions import clock, money
 from tickhouse.functions.money import MONEY
-from tickhouse.operators import ingest, intervals, quality, staging
+from tickhouse.operators import bar_states, ingest, intervals, quality, staging
+from tickhouse.operators import bars as bar_ops
 from tickhouse.plans import silver
 from tickhouse.schemas import (
     INSTRUMENT_REFERENCE,
+    RECORDS,
     SCHEMA_VERSION,
     TRADE,
     VENUE,
     partition_key,
 )
 from tickhouse.session import scratch_dir
-from tickhouse.sources import readers, writers
+from tickhouse.sources import readers, tiers, writers
 from tickhouse.sources.sample_tables import event_columns
 from tickhouse.sources.staged import stage
-from tickhouse.streaming import landing, stateful
+from tickhouse.streaming import feeds, landing, stateful
+from tickhouse.streaming.feeds import FEEDS
 
 _SPLIT = datetime(2024, 1, 15)
 _DAILY = writers.Layout("event_time", buckets=2, sort=("symbol", "event_time", "trade_id"))
 _BAR_LAYOUT = writers.Layout("bar_start", sort=("symbol", "bar_start"))
 _FLUSH = "__flush__"
+_BRONZE = (
+    "exchange", "symbol", "trade_id", "price", "quantity", "quote_quantity", "buyer_is_maker",
+    "trade_time", "ingested_at", "_kafka_topic", "_kafka_partition", "_kafka_offset",
+    "_kafka_key", "_source",
+)
 
 
 # -- streams ---------------------------------------------------------------------------
 
 
-def _event_files(spark, path, slices: int = 5) -> str:
-    """The events in one file per slice of time, oldest first: a micro-batch each."""
-    events = tables(spark, path).read("events")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    low, high = events.agg(F.min(micros), F.max(micros)).first()
-    folder = scratch_dir(spark, "event-files")
-    number = F.floor((micros - F.lit(low)) * slices / F.lit(max(high - low, 1) + 1))
-    for n in range(slices):
-        events.filter(number == n).coalesce(1).write.mode("append").parquet(folder)
-    return folder
+_SLICES = 5
+_ROWS_PER_FILE = 1_000_000
+
 
+def _event_files(spark, path, slices: int = _SLICES) -> tuple[str, int]:
+    """The events in files by slice of time, oldest first, and the files of a slice.
 
-def _event_stream(spark, folder) -> DataFrame:
+    One pass cuts all slices; each is then written behind the one before it, so that a
+    stream that takes a slice's number of files at a time reads them in order. Events
+    without a time are a slice of their own.
+    """
+    events = tables(spark, path).read("events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high, rows = events.agg(F.min(micros), F.max(micros), F.count(F.lit(1))).first()
+    number = F.floor((micros - F.lit(low)) * slices / F.lit(max((high or 0) - (low or 0), 1) + 1))
+    cut, folder = scratch_dir(spark, "event-slices"), scratch_dir(spark, "event-files")
+    events.withColumn("__slice", F.coalesce(number.cast("int"), F.lit(slices))).write.partitionBy(
+        "__slice").parquet(cut)
+    files = 1 + rows // (slices * _ROWS_PER_FILE)
+    stored = spark.read.schema(
+        T.StructType([*events.schema, T.StructField("__slice", T.IntegerType())])).parquet(cut)
+    for n in range(slices + 1):
+        stored.filter(F.col("__slice") == n).drop("__slice").coalesce(files).write.mode(
+            "append").parquet(folder)
+    return folder, files
+
+
+def _event_stream(spark, files: tuple[str, int]) -> DataFrame:
+    folder, at_a_time = files
     schema = spark.read.parquet(folder).schema
-    return readers.file_messages(spark, folder, schema, max_files_per_trigger=1)
+    return readers.file_messages(spark, folder, schema, max_files_per_trigger=at_a_time)
 
 
 def _messages(events: DataFrame) -> DataFrame:
@@ -71,11 +96,93 @@ def _messages(events: DataFrame) -> DataFrame:
     return e.select(
         F.lit("trades").alias("topic"), F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"), "ts",
-        F.col("event_type").cast("binary").alias("key"),
-        F.concat(F.unhex(F.lit("0000000001")), body.cast("binary")).alias("value"),
+        F.col("event_type").cast("binary").alias("key"), _framed(body).alias("value"),
     ).withColumnRenamed("ts", "timestamp")
 
 
+def _framed(body: Column) -> Column:
+    return F.concat(F.unhex(F.lit("0000000001")), body.cast("binary"))
+
+
+def _record_messages(kind: str, rows: DataFrame, offset: Column, cut: Column) -> DataFrame:
+    """Rows of a landed table as framed JSON messages; those of ``cut`` break off."""
+    given = {"schema_version": F.lit(SCHEMA_VERSION), "producer_id": F.lit("sample")}
+    fields = [
+        (F.col(f.name) if f.name in rows.columns else given[f.name])
+        .cast("string" if isinstance(f.dataType, T.DecimalType) else f.dataType).alias(f.name)
+        for f in RECORDS[kind] if f.name in rows.columns or f.name in given
+    ]
+    text = F.to_json(F.struct(*fields), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"})
+    return rows.select(
+        F.lit(kind).alias("topic"), F.lit(0).alias("partition"),
+        offset.cast("bigint").alias("offset"), F.col("ingested_at").alias("timestamp"),
+        partition_key(kind).cast("binary").alias("key"),
+        _framed(F.when(cut, F.substring(text, 1, 40)).otherwise(text)).alias("value"),
+    )
+
+
+def _drained_feed(spark, kind, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A feed's messages landed by its job, in several batches, and half of them settled."""
+    feed, root, folder = FEEDS[kind], scratch_dir(spark, "lake"), scratch_dir(spark, "messages")
+    messages.repartition(4).write.parquet(folder)
+    stream = readers.file_messages(spark, folder, max_files_per_trigger=1)
+    landing.finish(feeds.start(stream, feed, root, scratch_dir(spark, "offsets"), drain=True))
+    tiers.fold(spark, feed.tiers(root), 1)
+    return tiers.read(spark, feed.tiers(root)), readers.table(spark, feed.quarantine(root))
+
+
+def land_quotes(spark, path) -> DataFrame:
+    """Top-of-book messages through their landing job; some bodies are cut short."""
+    quotes = tables(spark, path).landed_quotes()
+    good, bad = _drained_feed(spark, "quote", _record_messages(
+        "quote", quotes, F.col("_kafka_offset"), F.col("_kafka_offset") % 101 == 0))
+    rows = good.select("exchange", "symbol", "update_id", "bid_price", "bid_quantity", "ask_price",
+                       "ask_quantity", "event_time", "ingested_at", "_kafka_topic", "_kafka_offset",
+                       "_kafka_key", "_source", F.lit(None).cast("string").alias("_reason"))
+    return present(rows.unionByName(
+        bad.select("_kafka_topic", "_kafka_offset", "_kafka_key", "_reason"),
+        allowMissingColumns=True))
+
+
+def land_klines(spark, path) -> DataFrame:
+    """Venue candles through their draining job, into months by interval."""
+    klines = tables(spark, path).landed_klines()
+    good, _ = _drained_feed(spark, "kline", _record_messages(
+        "kline", klines, F.unix_micros("open_time"), F.lit(False)))
+    return present(good, "exchange", "symbol", "interval", "open_time", "close_time", "open",
+                   "high", "low", "close", "volume", "quote_volume", "trade_count",
+                   "taker_buy_base_volume", "taker_buy_quote_volume", "is_closed", "_kafka_key")
+
+
+def land_fx(spark, path) -> DataFrame:
+    """Reference rates through their draining job."""
+    rates = tables(spark, path).landed_fx()
+    good, _ = _drained_feed(spark, "fx_rate", _record_messages(
+        "fx_rate", rates, F.unix_micros("valid_from"), F.lit(False)))
+    return present(good, "source", "base_currency", "quote_currency", "rate", "valid_from",
+                   "valid_to", "_kafka_key")
+
+
+def compact_landed(spark, path) -> DataFrame:
+    """Five landed batches, folded in between; a batch comes again before its fold and
+    after it, and a fold runs twice."""
+    e = tables(spark, path).read("events")
+    feed, root = FEEDS["trade"], scratch_dir(spark, "lake")
+    decoded = stage(landing.decode(_messages(e), TRADE, VENUE).withColumn(
+        "__slice", F.pmod(F.col("_kafka_offset"), F.lit(_SLICES))))
+
+    def land(n: int) -> None:
+        feeds.land_batch(decoded.filter(F.col("__slice") == n).drop("__slice"), n, feed, root)
+
+    table = feed.tiers(root)
+    for step in (0, 1, 1, "fold 1", 1, 2, "fold 1", 3, "fold 2", 4):
+        if isinstance(step, int):
+            land(step)
+        else:
+            tiers.fold(spark, table, int(step.split()[1]))
+    return present(tiers.read(spark, table), *_BRONZE)
+
+
 def _land(spark, path) -> tuple[str, str]:
     out, quarantine = scratch_dir(spark, "landed"), scratch_dir(spark, "quarantine")
     events = _event_stream(spark, _event_files(spark, path))
@@ -91,11 +198,7 @@ def _land(spark, path) -> tuple[str, str]:
 def stream_bronze(spark, path) -> DataFrame:
     tables(spark, path)
     out, _ = _land(spark, path)
-    return present(
-        readers.table(spark, out), "exchange", "symbol", "trade_id", "price", "quantity",
-        "quote_quantity", "buyer_is_maker", "trade_time", "ingested_at", "_kafka_topic",
-        "_kafka_partition", "_kafka_offset", "_kafka_key", "_source",
-    )
+    return present(readers.table(spark, out), *_BRONZE)
 
 
 def stream_quarantine(spark, path) -> DataFrame:
@@ -115,7 +218,7 @@ def _drain_with_flush(spark, path, build, label) -> DataFrame:
     """
     schema = spark.read.parquet(f"{path}/events.parquet").schema
     flush_dir, out = scratch_dir(spark, "flush"), scratch_dir(spark, label)
-    checkpoint, folder = scratch_dir(spark, "offsets"), _event_files(spark, path)
+    checkpoint, files = scratch_dir(spark, "offsets"), _event_files(spark, path)
     blank = spark.createDataFrame([], schema)
     blank.write.parquet(flush_dir)
     for final in (False, True):
@@ -127,7 +230,7 @@ def _drain_with_flush(spark, path, build, label) -> DataFrame:
                 F.lit(1.0).alias("value"), F.lit('{"k": 0}').alias("props"),
             )
             last.write.mode("append").parquet(flush_dir)
-        rows = _event_stream(spark, folder).unionByName(
+        rows = _event_stream(spark, files).unionByName(
             readers.file_messages(spark, flush_dir, schema)
         )
         landing.finish(
@@ -161,7 +264,43 @@ def stream_dedup(spark, path) -> DataFrame:
     return present(out.drop("copy", "is_buyer_aggressor"))
 
 
+def _bar_state_tables(spark, trades: DataFrame) -> tuple[tiers.Tiers, tiers.Tiers]:
+    root = scratch_dir(spark, "bar-states")
+    keys = trades.select(*silver.TRADE_KEYS, "event_time").schema
+    states = bar_states.fold(trades.limit(0), HOUR).schema
+    return (
+        tiers.Tiers(f"{root}/states", f"{root}/states-settled", _BAR_LAYOUT, states,
+                    bar_states.merge),
+        tiers.Tiers(f"{root}/seen", f"{root}/seen-settled",
+                    writers.Layout("event_time", sort=("symbol", "trade_id")), keys),
+    )
+
+
 def stream_bars(spark, path) -> DataFrame:
+    """Candles as stored states, from a stream with replays in which every thirteenth
+    trade comes days late, in the last batch."""
+    tables(spark, path)
+    folder, files = _event_files(spark, path)
+    schema = spark.read.parquet(folder).schema
+    late = F.col("event_id") % 13 == 0
+    checkpoint, late_dir = scratch_dir(spark, "offsets"), scratch_dir(spark, "late-events")
+    spark.createDataFrame([], schema).write.parquet(late_dir)
+    blank = _replayed(event_columns(spark.read.parquet(folder))).drop("copy")
+    states, seen = _bar_state_tables(spark, blank)
+    for final in (False, True):
+        if final:
+            spark.read.parquet(folder).filter(late).write.mode("append").parquet(late_dir)
+            stateful.fold_bar_states(spark, states, seen, 1)
+        events = _event_stream(spark, (folder, files)).filter(~late).unionByName(
+            readers.file_messages(spark, late_dir, schema))
+        landing.finish(stateful.start_bar_states(
+            _replayed(event_columns(events)).drop("copy"), states, seen, checkpoint,
+            silver.TRADE_KEYS, ("event_time",), HOUR, trigger_seconds=None))
+    return present(bar_states.finish(tiers.read(spark, states).drop("dt"), HOUR))
+
+
+def stream_bars_closed(spark, path) -> DataFrame:
+    """Candles by watermark: each is given once, when no further trade may change it."""
     tables(spark, path)
     stateful.use_rocksdb(spark)
 
@@ -232,7 +371,22 @@ def merge_upsert(spark, path) -> DataFrame:
 
 
 def incremental_bars(spark, path) -> DataFrame:
-    """Hourly candles built up to mid-January, then brought up to date incrementally."""
+    """Hourly candles from stored states: a tape up to mid-January, then what is newer,
+    then trades of weeks before; no batch reads an earlier one's trades."""
+    trades = stage(silver.trades(tables(spark, path).landed_trades(), stage))
+    late = F.col("trade_id") % 11 == 0
+    early = F.col("event_time") < F.lit(_SPLIT + timedelta(minutes=30))
+    states, _ = _bar_state_tables(spark, trades)
+    for n, batch in enumerate((early & ~late, ~early & ~late, late)):
+        tiers.add(bar_states.fold(trades.filter(batch), HOUR), states, n)
+        if n == 1:
+            tiers.fold(spark, states, 1)
+    bars = stage(bar_states.finish(tiers.read(spark, states).drop("dt"), HOUR))
+    return present(bar_ops.with_log_returns(bars, chunk_seconds=7 * 86_400))
+
+
+def incremental_bars_rebuilt(spark, path) -> DataFrame:
+    """Hourly candles built up to mid-January, then the bars of the last day anew."""
     trades = stage(silver.trades(tables(spark, path).landed_trades()))
     target = scratch_dir(spark, "bars")
     early = trades.filter(F.col("event_time") < F.lit(_SPLIT + timedelta(minutes=30)))
@@ -409,7 +563,9 @@ QUERIES = {
     for f in (
         parse_extremes, dead_letter_texts, landing_repeated_batch, upsert_repeated_keys,
         open_interval_join, rebuild_tape, stored_failures, seed_reference, message_keys,
-        merge_upsert, incremental_bars, compact_report,
-        stream_bronze, stream_quarantine, stream_dedup, stream_bars, stream_sequence,
+        merge_upsert, incremental_bars, incremental_bars_rebuilt, compact_report, compact_landed,
+        land_quotes, land_klines, land_fx,
+        stream_bronze, stream_quarantine, stream_dedup, stream_bars, stream_bars_closed,
+        stream_sequence,
     )
 }

@@ -3,8 +3,32 @@
 from __future__ import annotations
 
 from tickhouse.catalogue.market_sql import BAR_NUMBERS, CTES
+from tickhouse.catalogue.market_sql import ORACLES as MARKET
 from tickhouse.catalogue.sqltext import dbl, dbls
 
+CTES.add("c_quote_rows", """
+SELECT 'binance' AS exchange_id, event_type AS symbol, event_id * 7 AS update_id,
+       CAST(value AS DECIMAL(18,2)) AS bid_price, user_id + 1 AS bid_quantity,
+       CAST(value AS DECIMAL(18,2)) + CAST((k + 1) * 0.01 AS DECIMAL(18,2)) AS ask_price,
+       k + 1 AS ask_quantity, ts AS event_time, ingested_at, koff AS kafka_offset
+FROM c_arr
+""")
+
+_BRONZE = CTES.query(f"""
+        SELECT 'binance' AS exchange, event_type AS symbol, event_id AS trade_id,
+               {dbl("CAST(value AS DECIMAL(18,2))", "price")}, {dbl("k + 1", "quantity")},
+               {dbl("CAST(value AS DECIMAL(18,2)) * CAST(k + 1 AS DECIMAL(6,0))",
+                    "quote_quantity")},
+               user_id % 2 = 0 AS buyer_is_maker, ts AS trade_time, ingested_at,
+               'trades' AS _kafka_topic, CAST(0 AS BIGINT) AS _kafka_partition,
+               event_id AS _kafka_offset, event_type AS _kafka_key, 'binance' AS _source
+        FROM c_ev WHERE event_id % 101 <> 0""")
+_STREAM_BARS = CTES.query(f"""
+        SELECT exchange_id, symbol, bar_start, bar_end, trade_count,
+               {dbls(*[c for c in BAR_NUMBERS if c != "mean_ingestion_lag_ms"])},
+               first_trade_time, last_trade_time, first_trade_id, last_trade_id
+        FROM c_bars_h""")
+
 ORACLES = {
     "parse_extremes": CTES.query("""
         SELECT event_id AS trade_id, error_type,
@@ -70,7 +94,8 @@ ORACLES = {
                     THEN event_time + INTERVAL 1 DAY ELSE event_time END AS event_time,
                event_time >= TIMESTAMP '2024-01-15' AS is_corrected
         FROM c_trades"""),
-    "incremental_bars": CTES.query(f"""
+    "incremental_bars": MARKET["bars_1h"],
+    "incremental_bars_rebuilt": CTES.query(f"""
         SELECT exchange_id, symbol, bar_start,
                {dbls("open_price", "close_price", "base_volume", "log_return")}, trade_count
         FROM c_bars_h"""),
@@ -78,15 +103,7 @@ ORACLES = {
         SELECT strftime(event_time, '%Y-%m-%d') AS dt, true AS was_split,
                CAST(1 AS BIGINT) AS files_after, count(*) AS trades
         FROM c_landed GROUP BY 1"""),
-    "stream_bronze": CTES.query(f"""
-        SELECT 'binance' AS exchange, event_type AS symbol, event_id AS trade_id,
-               {dbl("CAST(value AS DECIMAL(18,2))", "price")}, {dbl("k + 1", "quantity")},
-               {dbl("CAST(value AS DECIMAL(18,2)) * CAST(k + 1 AS DECIMAL(6,0))",
-                    "quote_quantity")},
-               user_id % 2 = 0 AS buyer_is_maker, ts AS trade_time, ingested_at,
-               'trades' AS _kafka_topic, CAST(0 AS BIGINT) AS _kafka_partition,
-               event_id AS _kafka_offset, event_type AS _kafka_key, 'binance' AS _source
-        FROM c_ev WHERE event_id % 101 <> 0"""),
+    "stream_bronze": _BRONZE,
     "stream_quarantine": CTES.query("""
         SELECT 'trades' AS _kafka_topic, event_id AS _kafka_offset, ts AS _kafka_timestamp,
                event_type AS _kafka_key, 'avro_decode_failed' AS _reason
@@ -94,11 +111,32 @@ ORACLES = {
     "stream_dedup": CTES.query(f"""
         SELECT exchange_id, symbol, trade_id, {dbls("price", "quantity", "notional")}, event_time
         FROM c_trades"""),
-    "stream_bars": CTES.query(f"""
-        SELECT exchange_id, symbol, bar_start, bar_end, trade_count,
-               {dbls(*[c for c in BAR_NUMBERS if c != "mean_ingestion_lag_ms"])},
-               first_trade_time, last_trade_time, first_trade_id, last_trade_id
-        FROM c_bars_h"""),
+    "compact_landed": _BRONZE,
+    "land_quotes": CTES.query(f"""
+        SELECT exchange_id AS exchange, symbol, update_id,
+               {dbls("bid_price", "bid_quantity", "ask_price", "ask_quantity")}, event_time,
+               ingested_at, 'quote' AS _kafka_topic, kafka_offset AS _kafka_offset,
+               symbol AS _kafka_key, 'binance' AS _source, NULL::VARCHAR AS _reason
+        FROM c_quote_rows WHERE kafka_offset % 101 <> 0
+        UNION ALL BY NAME
+        SELECT 'quote' AS _kafka_topic, kafka_offset AS _kafka_offset, symbol AS _kafka_key,
+               'avro_decode_failed' AS _reason
+        FROM c_quote_rows WHERE kafka_offset % 101 = 0"""),
+    "land_klines": CTES.query(f"""
+        SELECT exchange_id AS exchange, symbol, '1h' AS interval, bar_start AS open_time,
+               bar_start + INTERVAL '3599.999' SECOND AS close_time,
+               {dbl("open_price", "open")}, {dbl("high_price", "high")}, {dbl("low_price", "low")},
+               {dbl("close_price", "close")}, {dbl("base_volume", "volume")},
+               {dbls("quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")},
+               trade_count, true AS is_closed, symbol || ':1h' AS _kafka_key
+        FROM c_venue"""),
+    "land_fx": CTES.query(f"""
+        SELECT 'sample' AS source, 'USD' AS base_currency, 'COP' AS quote_currency,
+               {dbl("rate", "rate")}, valid_from, source_valid_to AS valid_to,
+               'USDCOP' AS _kafka_key
+        FROM c_fx"""),
+    "stream_bars": _STREAM_BARS,
+    "stream_bars_closed": _STREAM_BARS,
     "stream_sequence": CTES.query("""
         SELECT symbol, kafka_offset, session, update_id, high IS NULL AS first_seen,
                coalesce(update_id <= high, false) AS regressed,

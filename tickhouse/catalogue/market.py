@@ -34,7 +34,7 @@ def tables(spark: SparkSession, path: str) -> SampleTables:
 
 
 def dedup_trades(spark, path) -> DataFrame:
-    out = silver.trades(tables(spark, path).landed_trades())
+    out = silver.trades(tables(spark, path).landed_trades(), stage)
     return present(
         out, "exchange_id", "symbol", "trade_id", "price", "quantity", "notional",
         "signed_quantity", "event_time", "producer_ingested_at", "lake_ingested_at",
@@ -193,7 +193,7 @@ def fx_range_join_bucketed(spark, path) -> DataFrame:
     """Equi-join form on (pair, day)."""
     joined = intervals.interval_join(
         tables(spark, path).tape(), _order_rates(spark, path), "event_time", "valid_from",
-        "valid_to", on=("currency_pair",),
+        "valid_to", on=("currency_pair",), open_ends=False,
     )
     return present(joined, *_FX_COLS)
 

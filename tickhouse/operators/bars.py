@@ -30,14 +30,18 @@ def aggregate_bars(
     return with_bar_ratios(ended)
 
 
-def bar_measures(t: str = "event_time") -> list[tuple[Column, set[str]]]:
-    """The aggregates of a candle, each with the columns that it reads."""
-    # One number in place of a struct, which would cost a sort on both sides of the
-    # shuffle: microseconds, then 19 digits for any non-negative 64-bit id.
-    by = (
+def trade_order(t: str = "event_time") -> Column:
+    """Time, then id, as one number in place of a struct, which would cost a sort on both
+    sides of a shuffle: microseconds, then 19 digits for any non-negative 64-bit id."""
+    return (
         F.unix_micros(t).cast("decimal(19,0)") * F.lit(Decimal(10**19)).cast("decimal(20,0)")
         + F.col("trade_id").cast("decimal(19,0)")
     ).cast("decimal(38,0)")
+
+
+def bar_measures(t: str = "event_time") -> list[tuple[Column, set[str]]]:
+    """The aggregates of a candle, each with the columns that it reads."""
+    by = trade_order(t)
     taker_buy = F.col("is_buyer_aggressor")
     zero = F.lit(0)
     q, n = F.col("quantity"), F.col("notional")

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from datetime import datetime
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock
 from tickhouse.operators import Stage, keep_lazy
 from tickhouse.operators.dedup import dedup
-from tickhouse.operators.ordered import neighbours
+from tickhouse.operators.ordered import last_before, neighbours
 
 DAY = 86_400
+#: Chunks of a key that one task scans.
+CHUNKS_TOGETHER = 1_024
 
 
 def rebound_intervals(
@@ -60,6 +60,7 @@ def interval_join(
     on: Sequence[str] = (),
     how: str = "left",
     bucket_seconds: int = DAY,
+    open_ends: bool = True,
 ) -> DataFrame:
     """Join each left row to the intervals that contain ``t``, by time bucket.
 
@@ -69,26 +70,39 @@ def interval_join(
     left row without a match survives. Nothing is hinted: AQE broadcasts the
     interval side when its measured size allows and otherwise shuffles both
     sides, splitting a skewed bucket. Overlapping intervals give one output row
-    each. The interval side grows by its mean length in buckets; use
-    :func:`asof_join` for very long intervals. An interval with a null end is open:
-    it is laid out up to the newest left row, whose time is looked up only if
-    there is such an interval.
+    each; a null key matches nothing. The interval side grows by its mean length
+    in buckets; use :func:`asof_join` for very long intervals.
+
+    An interval with a null end is open. Such intervals are laid out over the buckets
+    that hold left rows of their key (without keys: over all up to the newest left row),
+    so the keys and times of the left side are read once more. Where every interval is known to end, ``open_ends=False`` saves that,
+    and an open one then is an error when the plan runs.
     """
     first = clock.bucket_id(F.col(start), bucket_seconds)
-    closing = F.col(end)
+    last = clock.bucket_id(F.timestamp_micros(F.unix_micros(end) - 1), bucket_seconds)
     is_open = F.col(end).isNull() & F.col(start).isNotNull()
-    if not intervals.filter(is_open).isEmpty():
-        newest = left.agg(F.max(t)).head()[0]
-        closing = F.when(is_open, F.timestamp_micros(F.greatest(
-            F.unix_micros(F.lit(newest).cast("timestamp")), F.unix_micros(start)) + 1
-        )).otherwise(closing)
-    last = clock.bucket_id(F.timestamp_micros(F.unix_micros(closing) - 1), bucket_seconds)
-    right = (
-        intervals.filter(closing > F.col(start))
-        .withColumn("__bucket", F.explode(F.sequence(first, last)))
-        .withColumnsRenamed({k: f"__r_{k}" for k in on})
-    )
+    here = [f"__r_{k}" for k in on]
+    renamed = intervals.withColumnsRenamed({k: f"__r_{k}" for k in on})
+    if open_ends:
+        closed = renamed.filter(F.col(end) > F.col(start))
+    else:
+        unexpected = F.raise_error(F.lit(f"an interval without {end}: pass open_ends=True"))
+        closed = renamed.filter(F.when(is_open, unexpected.cast("boolean"))
+                                .otherwise(F.col(end) > F.col(start)))
+    right = closed.withColumn("__bucket", F.explode(F.sequence(first, last)))
     probe = left.withColumn("__lbucket", clock.bucket_id(F.col(t), bucket_seconds))
+    if open_ends:
+        opened = renamed.filter(is_open)
+        if on:
+            held = probe.select(*[F.col(k).alias(r) for k, r in zip(on, here, strict=True)],
+                                F.col("__lbucket").alias("__bucket")).dropna().distinct()
+            opened = opened.withColumn("__first", first).join(held, here).filter(
+                "__bucket >= __first").drop("__first")
+        else:
+            newest = probe.agg(F.max("__lbucket")).scalar()
+            opened = opened.filter(first <= newest).withColumn(
+                "__bucket", F.explode(F.sequence(first, newest)))
+        right = right.unionByName(opened)
     condition = (
         (F.col("__lbucket") == F.col("__bucket"))
         & (F.col(t) >= F.col(start))
@@ -96,9 +110,30 @@ def interval_join(
     )
     for k in on:
         condition = condition & (F.col(k) == F.col(f"__r_{k}"))
-    return probe.join(right, condition, how).drop(
-        "__bucket", "__lbucket", *[f"__r_{k}" for k in on]
-    )
+    return probe.join(right, condition, how).drop("__bucket", "__lbucket", *here)
+
+
+def entering(
+    left: DataFrame, began: DataFrame, on: Sequence[str], chunk: Column
+) -> DataFrame:
+    """What is in force when a chunk with left rows begins: (keys, __chunk, __r).
+
+    ``left`` has the keys and ``__t``, ``began`` the keys, ``__t`` and ``__r``. Only
+    chunks that hold left rows, and the last interval of chunks that hold any, are
+    laid on the line, so it has no more rows than the two together; chunks in
+    between, however many, have none. A key's chunks are scanned a thousand at a
+    time, and thousands by their last intervals.
+    """
+    occupied = left.select(*on, chunk.alias("__at")).dropna().distinct()
+    tails = began.withColumn("__at", chunk).groupBy(*on, "__at").agg(
+        F.max_by("__r", "__t").alias("__tail"))
+    # A chunk's own intervals come behind what enters it.
+    line = occupied.withColumn("__own", F.lit(0)).unionByName(
+        tails.withColumn("__own", F.lit(1)), allowMissingColumns=True)
+    carried = last_before(
+        line, on, ["__at", "__own"], F.floor(F.col("__at") / CHUNKS_TOGETHER), "__tail", "__r")
+    return carried.filter("__own = 0 and __r is not null").select(
+        *on, F.col("__at").alias("__chunk"), "__r")
 
 
 def asof_join(
@@ -117,41 +152,31 @@ def asof_join(
     repetition of long intervals and accepts an open end (null). Both sides are
     laid on one timeline, cut into chunks of time, so a busy key is spread over its
     chunks; inside a chunk a window carries the interval forward. What a chunk
-    starts with comes from the interval side alone, laid out over the chunks up to
-    the newest left row: of the left side only that row's time is read besides its
-    one shuffle.
+    begins with stands in front of it as one more row (:func:`entering`), for which
+    the left side's keys and times are read a second time. No row is made for a
+    chunk without left rows. A null key or a null ``t`` matches nothing.
     """
     lcols = left.columns
     rcols = [c for c in intervals.columns if c not in on]
     chunk = clock.bucket_id(F.col("__t"), chunk_seconds)
-    began = intervals.select(*on, F.col(start).alias("__t"), F.struct(*rcols).alias("__r"))
-    timeline = left.select(
-        *on, F.col(t).alias("__t"), F.lit(1).alias("__side"), F.struct(*lcols).alias("__l")
-    ).unionByName(began.withColumn("__side", F.lit(0)), allowMissingColumns=True)
+    began = intervals.dropna(subset=[*on, start]).select(
+        *on, F.col(start).alias("__t"), F.struct(*rcols).alias("__r"))
+    placed = left.select(*on, F.col(t).alias("__t"), F.struct(*lcols).alias("__l"))
+    before = entering(placed, began, on, chunk)
+    # In a chunk: what enters it (no time, so first), and at one time intervals first.
+    timeline = (
+        placed.withColumns({"__chunk": chunk, "__side": F.lit(1)})
+        .unionByName(began.withColumns({"__chunk": chunk, "__side": F.lit(0)}),
+                     allowMissingColumns=True)
+        .unionByName(before.withColumn("__side", F.lit(0)), allowMissingColumns=True)
+    )
     within = (
         Window.partitionBy(*on, "__chunk")
-        .orderBy("__t", "__side")
+        .orderBy(F.col("__t").asc_nulls_first(), "__side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = timeline.withColumn("__chunk", chunk).withColumn(
-        "__in", F.last("__r", ignorenulls=True).over(within)
-    ).filter("__side = 1")
-    newest = left.agg(F.max(t)).head()[0]
-    if newest is None:
-        newest = datetime(1970, 1, 1)
-    stop = clock.bucket_id(F.lit(newest).cast("timestamp"), chunk_seconds)
-    across = Window.partitionBy(*(on or [F.lit(0)])).orderBy("__chunk")
-    tails = (
-        began.filter("__t is not null").withColumn("__chunk", chunk)
-        .groupBy(*on, "__chunk").agg(F.max_by("__r", "__t").alias("__before"))
-        .withColumn("__until", F.coalesce(
-            F.lead("__chunk").over(across), F.greatest(stop, F.col("__chunk") + 1)))
-        .withColumn("__chunk", F.explode(F.sequence(F.col("__chunk") + 1, F.col("__until"))))
-        .drop("__until")
-    )
-    carried = rows.join(tails, [*on, "__chunk"], "left").withColumn(
-        "__hit", F.coalesce("__in", "__before")
-    )
+    carried = timeline.withColumn(
+        "__hit", F.last("__r", ignorenulls=True).over(within)).filter("__side = 1")
     if end is not None:
         live = F.col(f"__hit.{end}").isNull() | (F.col("__t") < F.col(f"__hit.{end}"))
         carried = carried.withColumn("__hit", F.when(live, F.col("__hit")))

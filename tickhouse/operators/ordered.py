@@ -3,10 +3,11 @@
 A plain ``lead``/``lag`` partitioned by symbol sorts each symbol in a single
 task, and a handful of symbols carry most of a tape. Here each key is cut into
 *chunks*: ranges of the leading sort column (an hour, a day, a span of ids). The
-window runs inside (key, chunk); a small per-chunk edge table carries the values
-that cross a chunk boundary. The edge table has one row per (key, chunk), is
-built with partial aggregation, and joins back on the partitioning the window
-already produced, so the tape is shuffled once.
+window runs inside (key, chunk). What crosses a chunk's border comes from a small
+table of one row per (key, chunk), built with partial aggregation, whose rows are
+put into the chunk before the first or behind the last row: the window sees them
+as neighbours. So the tape is shuffled once and joined with nothing, and rows whose
+key is null are one key here, as they are to a plain window.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK = "__chunk"
+_CHUNK, _SIDE = "__chunk", "__side"
+# Places of a border's row in its chunk, and of the chunk's own rows.
+_FIRST, _OWN, _LAST = -1, 0, 1
 
 
 def _edge(value: str, order: Sequence[str], last: bool) -> Column:
@@ -27,6 +30,20 @@ def _edge(value: str, order: Sequence[str], last: bool) -> Column:
     return F.struct((F.max_by if last else F.min_by)(value, by).alias("v"))
 
 
+def _bordered(base: DataFrame, edges: DataFrame, sides: Sequence[int]) -> DataFrame:
+    """The rows of all chunks, with a row of ``edges`` at the given sides of each."""
+    placed = edges.withColumn(_SIDE, F.explode(F.array(*[F.lit(s) for s in sides])))
+    return base.withColumn(_SIDE, F.lit(_OWN)).unionByName(placed, allowMissingColumns=True)
+
+
+def _within(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys, _CHUNK).orderBy(_SIDE, *order)
+
+
+def _across(keys: Sequence[str]):
+    return Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_CHUNK)
+
+
 def neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,30 +61,34 @@ def neighbours(
     product of windows.
     """
     lead, lag = dict(lead or {}), dict(lag or {})
-    within = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(_CHUNK)
-
     base = df.withColumn(_CHUNK, chunk)
-    # A one-field struct tells "no neighbour in this chunk" from "neighbour is null".
-    rows = base.withColumns(
-        {f"__in_{n}": F.lead(F.struct(F.col(c).alias("v"))).over(within) for n, c in lead.items()}
-        | {f"__in_{n}": F.lag(F.struct(F.col(c).alias("v"))).over(within) for n, c in lag.items()}
-    )
     source = base if edges_from is None else edges_from.withColumn(_CHUNK, chunk)
+    # A one-field struct tells "no neighbour" from "neighbour is null".
     edges = source.groupBy(*keys, _CHUNK).agg(
-        *[_edge(c, order, last=False).alias(f"__ed_{n}") for n, c in lead.items()],
-        *[_edge(c, order, last=True).alias(f"__ed_{n}") for n, c in lag.items()],
+        *[_edge(c, order, last=False).alias(f"__e_{n}") for n, c in lead.items()],
+        *[_edge(c, order, last=True).alias(f"__e_{n}") for n, c in lag.items()],
     )
     edges = edges.select(
         *keys,
         _CHUNK,
-        *[F.lead(f"__ed_{n}").over(across).alias(f"__out_{n}") for n in lead],
-        *[F.lag(f"__ed_{n}").over(across).alias(f"__out_{n}") for n in lag],
+        *[F.lead(f"__e_{n}").over(_across(keys)).alias(f"__e_{n}") for n in lead],
+        *[F.lag(f"__e_{n}").over(_across(keys)).alias(f"__e_{n}") for n in lag],
     )
-    joined = rows.join(edges, [*keys, _CHUNK], "left")
-    return joined.select(
-        *df.columns,
-        *[F.coalesce(f"__in_{n}", f"__out_{n}")["v"].alias(n) for n in (*lead, *lag)],
+    sides = ([_FIRST] if lag else []) + ([_LAST] if lead else [])
+
+    def seen(name: str, column: str) -> Column:
+        own = F.struct(F.col(column).alias("v"))
+        return F.when(F.col(_SIDE) == _OWN, own).otherwise(F.col(f"__e_{name}"))
+
+    within = _within(keys, order)
+    return (
+        _bordered(base, edges, sides)
+        .withColumns(
+            {f"__n_{n}": F.lead(seen(n, c)).over(within) for n, c in lead.items()}
+            | {f"__n_{n}": F.lag(seen(n, c)).over(within) for n, c in lag.items()}
+        )
+        .filter(F.col(_SIDE) == _OWN)
+        .select(*df.columns, *[F.col(f"__n_{n}")["v"].alias(n) for n in (*lead, *lag)])
     )
 
 
@@ -80,23 +101,49 @@ def running_max_before(
     out: str,
 ) -> DataFrame:
     """Maximum of ``value`` over all earlier rows of the key; null on the first row."""
-    within = (
-        Window.partitionBy(*keys, _CHUNK)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    across = (
-        Window.partitionBy(*(keys or [F.lit(0)]))
-        .orderBy(_CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     base = df.withColumn(_CHUNK, chunk)
-    rows = base.withColumn("__in", F.max(value).over(within))
+    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     edges = (
         base.groupBy(*keys, _CHUNK)
         .agg(F.max(value).alias("__top"))
-        .select(*keys, _CHUNK, F.max("__top").over(across).alias("__before"))
+        .select(*keys, _CHUNK, F.max("__top").over(earlier).alias("__e"))
+    )
+    within = _within(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        _bordered(base, edges, [_FIRST])
+        .withColumn(out, F.max(F.coalesce("__e", value)).over(within))
+        .filter(F.col(_SIDE) == _OWN)
+        .select(*[c for c in df.columns if c != out], out)
+    )
+
+
+def last_before(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    chunk: Column,
+    value: str,
+    out: str,
+) -> DataFrame:
+    """The last ``value`` that is not null among all earlier rows of the key."""
+    base = df.withColumn(_CHUNK, chunk)
+    earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    edges = (
+        base.filter(F.col(value).isNotNull())
+        .groupBy(*keys, _CHUNK)
+        .agg(F.max_by(value, by).alias("__tail"))
+    )
+    # A chunk without a value of its own still needs what came before it.
+    edges = (
+        base.select(*keys, _CHUNK).distinct().unionByName(edges, allowMissingColumns=True)
+        .groupBy(*keys, _CHUNK).agg(F.first("__tail", ignorenulls=True).alias("__tail"))
+        .select(*keys, _CHUNK, F.last("__tail", ignorenulls=True).over(earlier).alias("__e"))
+    )
+    within = _within(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        _bordered(base, edges, [_FIRST])
+        .withColumn(out, F.last(F.coalesce("__e", value), ignorenulls=True).over(within))
+        .filter(F.col(_SIDE) == _OWN)
+        .select(*[c for c in df.columns if c != out], out)
     )
-    joined = rows.join(edges, [*keys, _CHUNK], "left")
-    # greatest() skips nulls, which is what "no earlier row here" should do.
-    return joined.select(*df.columns, F.greatest("__in", "__before").alias(out))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,3 +78,47 @@ def scd2(
         end.alias("valid_to"),
         end.isNull().alias("is_current"),
     )
+
+
+LAST_SEEN = "last_seen"
+_SINCE = "__since"
+
+
+def scd2_step(
+    open_versions: DataFrame,
+    batch: DataFrame,
+    last_poll: datetime | None,
+    key: Sequence[str] = ("symbol",),
+    check_cols: Sequence[str] = CHECK_COLS,
+    observed_at: str = "observed_at",
+    tie_break: Sequence[str] = (),
+    close_deletes: bool = True,
+    chunk_seconds: int = 30 * 86_400,
+    stage: Stage = keep_lazy,
+) -> DataFrame:
+    """Open versions and newer observations -> versions that close, and those then open.
+
+    What :func:`scd2` makes of all observations, from the open versions alone: each
+    stands for its last observation, in which its values were the same, and keeps the
+    time it began. Closed versions are never read again. With ``close_deletes`` a key
+    was last seen at ``last_poll``, the newest ``observed_at`` before this batch (None
+    for the first), or it would not be open. Observations must be newer than that, and
+    without ``close_deletes`` newer than their key's version.
+
+    ``open_versions`` has the key, the payload, ``valid_from`` and ``last_seen``; so
+    has the result, with ``valid_to`` and ``is_current``.
+    """
+    payload = [c for c in batch.columns if c not in (*key, observed_at, *tie_break)]
+    seeds = open_versions.select(
+        *key, *payload, F.col(LAST_SEEN).alias(observed_at), F.col("valid_from").alias(_SINCE))
+    rows = stage(batch.withColumn(_SINCE, F.lit(None).cast("timestamp")).unionByName(
+        seeds, allowMissingColumns=True))
+    versions = scd2(rows, key, check_cols, observed_at, tie_break, close_deletes, chunk_seconds,
+                    stage)
+    # What is still open was seen at the newest poll; without polls its start will do.
+    newest = batch.agg(F.max(observed_at)).head()[0] or last_poll
+    seen = F.lit(newest).cast("timestamp") if close_deletes else F.col("valid_from")
+    return versions.withColumns({
+        LAST_SEEN: F.when(F.col("is_current"), seen),
+        "valid_from": F.coalesce(_SINCE, "valid_from"),
+    }).drop(_SINCE)

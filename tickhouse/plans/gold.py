@@ -60,6 +60,7 @@ def market_fact(
         "bar_start",
         "valid_from",
         "valid_to",
+        open_ends=False,
     )
     rate = F.col("usdcop_rate")
     return joined.select(

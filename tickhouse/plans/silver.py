@@ -17,9 +17,14 @@ FX_KEYS = ("rate_source", "currency_pair")
 ARRIVAL = ("lake_ingested_at", "kafka_offset")
 
 
-def trades(landed: DataFrame) -> DataFrame:
-    """One row per real trade, first observation kept, copies counted."""
-    return staging.assign_bars(dedup(staging.stage_trades(landed), TRADE_KEYS, ARRIVAL))
+def trades(landed: DataFrame, stage: Stage | None = None) -> DataFrame:
+    """One row per real trade, first observation kept, copies counted.
+
+    With ``stage`` only trades that were landed twice are brought together; pass it
+    where ``landed`` is a stored table.
+    """
+    return staging.assign_bars(
+        dedup(staging.stage_trades(landed), TRADE_KEYS, ARRIVAL, stage=stage))
 
 
 def quotes(landed: DataFrame, stage: Stage = keep_lazy) -> DataFrame:

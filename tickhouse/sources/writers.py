@@ -7,7 +7,7 @@ as a whole, and readers of the old files are not disturbed before the commit.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -26,8 +26,9 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 class Layout:
     """How a table is split and ordered on storage.
 
-    ``grain`` is ``day`` or ``month`` of ``time_col``; ``buckets`` splits a
-    partition by symbol hash, so a filter on symbol reads one bucket.
+    ``grain`` is ``day`` or ``month`` of ``time_col``; ``by`` names columns that split
+    a partition by their values, of which there are few; ``buckets`` splits it by
+    symbol hash, so a filter on symbol reads one bucket.
     Rows are rebalanced by these columns before a write: AQE merges small
     partitions into one task and splits one that a busy instrument has filled.
     """
@@ -37,11 +38,17 @@ class Layout:
     buckets: int = 0
     bucket_col: str = "symbol"
     sort: tuple[str, ...] = ()
+    by: tuple[str, ...] = ()
 
     @property
-    def partition_cols(self) -> list[str]:
+    def derived_cols(self) -> list[str]:
+        """Partition columns that are no columns of the table."""
         return ["dt", *(["sym_bucket"] if self.buckets else [])]
 
+    @property
+    def partition_cols(self) -> list[str]:
+        return ["dt", *self.by, *(["sym_bucket"] if self.buckets else [])]
+
     def partition_types(self) -> dict[str, T.StructField]:
         return {
             "dt": T.StructField("dt", T.DateType()),
@@ -51,14 +58,15 @@ class Layout:
     def date_of(self, value: Column) -> Column:
         return F.to_date(F.date_trunc(self.grain, value))
 
+    def with_bucket(self, df: DataFrame) -> DataFrame:
+        if not self.buckets:
+            return df
+        return df.withColumn(
+            "sym_bucket", F.pmod(F.xxhash64(self.bucket_col), F.lit(self.buckets)).cast("int"))
+
     def placed(self, df: DataFrame) -> DataFrame:
         """Add the partition columns."""
-        out = df.withColumn("dt", self.date_of(F.col(self.time_col)))
-        if self.buckets:
-            out = out.withColumn(
-                "sym_bucket", F.pmod(F.xxhash64(self.bucket_col), F.lit(self.buckets)).cast("int")
-            )
-        return out
+        return self.with_bucket(df.withColumn("dt", self.date_of(F.col(self.time_col))))
 
     def place(self, df: DataFrame) -> DataFrame:
         """Add the partition columns and arrange rows for the write."""
@@ -67,7 +75,7 @@ class Layout:
         return out.sortWithinPartitions(*self.partition_cols, *self.sort)
 
     def drop_derived(self, df: DataFrame) -> DataFrame:
-        return df.drop(*self.partition_cols)
+        return df.drop(*self.derived_cols)
 
 
 def _writer(df: DataFrame, layout: Layout, mode: str):
@@ -104,6 +112,41 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location) and len(fs.listStatus(location)) > 0
 
 
+def subfolders(spark: SparkSession, path: str) -> list[tuple[str, Callable[[], None]]]:
+    """Names of a folder's folders, each with the call that deletes it; none if it is absent."""
+    fs, location = _filesystem(spark, path)
+    if not fs.exists(location):
+        return []
+    return [(s.getPath().getName(), lambda p=s.getPath(): fs.delete(p, True))
+            for s in fs.listStatus(location) if s.isDirectory()]
+
+
+def check_layout(spark: SparkSession, path: str, layout: Layout) -> None:
+    """An error for a table whose folders are not those of the layout.
+
+    Rewriting such a table by the layout would put a second kind of folders beside
+    the first, and nothing could read it any more.
+    """
+    at = path
+    for column in layout.partition_cols:
+        names = [n for n, _ in subfolders(spark, at) if "=" in n]
+        foreign = sorted({n.split("=")[0] for n in names} - {column})
+        if foreign:
+            raise ValueError(f"{path} is laid out by {foreign}, not by {layout.partition_cols}")
+        if not names:
+            return
+        at = f"{at}/{names[0]}"
+    deeper = sorted({n.split("=")[0] for n, _ in subfolders(spark, at) if "=" in n})
+    if deeper:
+        raise ValueError(f"{path} is laid out by {deeper} below {layout.partition_cols}")
+
+
+def replace_partitions(df: DataFrame, path: str, layout: Layout) -> None:
+    """Write the partitions that ``df`` has rows for, in place of what they held."""
+    _writer(layout.place(df), layout, "overwrite").option(
+        "partitionOverwriteMode", "dynamic").parquet(path)
+
+
 # -- incremental window ----------------------------------------------------------------
 
 
@@ -165,7 +208,8 @@ def upsert(
     if schema is None:
         old = spark.read.option("mergeSchema", "true").parquet(path)
     else:
-        full = T.StructType([*schema, *[layout.partition_types()[c] for c in parts]])
+        full = T.StructType(
+            [*schema, *[layout.partition_types()[c] for c in layout.derived_cols]])
         old = spark.read.schema(full).parquet(path)
     if lookback is not None:
         oldest = new.agg(F.min(layout.time_col)).head()[0]
@@ -177,7 +221,7 @@ def upsert(
         old.join(new_keys, list(keys), "left_semi").select(*parts).distinct().collect()
     }
     receiving = {tuple(r) for r in layout.placed(new).select(*parts).distinct().collect()}
-    kept = old.filter(_in_partitions(parts, holding | receiving)).join(
+    kept = old.filter(in_partitions(parts, holding | receiving)).join(
         new_keys, list(keys), "left_anti"
     )
     merged = layout.place(
@@ -188,7 +232,7 @@ def upsert(
     giving = holding - receiving
     emptied: set[tuple] = set()
     if giving:
-        left = old.filter(_in_partitions(parts, giving)).join(new_keys, list(keys), "left_anti")
+        left = old.filter(in_partitions(parts, giving)).join(new_keys, list(keys), "left_anti")
         emptied = giving - {tuple(r) for r in left.select(*parts).distinct().collect()}
     _writer(merged, layout, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     for values in emptied:
@@ -197,17 +241,23 @@ def upsert(
         fs.delete(location, True)
 
 
-def _in_partitions(parts: Sequence[str], values: set[tuple]) -> Column:
-    """A condition of literals; by the second partition column, so it stays short."""
-    if len(parts) == 1:
-        return F.col(parts[0]).isin([v[0] for v in values])
+def in_partitions(parts: Sequence[str], values: set[tuple]) -> Column:
+    """A condition of literals; dates are listed per value of the other columns, which
+    are few, so it stays short."""
     condition = F.lit(False)
-    for second in sorted({v[1] for v in values}):
-        firsts = [v[0] for v in values if v[1] == second]
-        condition = condition | ((F.col(parts[1]) == second) & F.col(parts[0]).isin(firsts))
+    for rest in {v[1:] for v in values}:
+        same = _one_of(parts[0], [v[0] for v in values if v[1:] == rest])
+        for column, value in zip(parts[1:], rest, strict=True):
+            same = same & F.col(column).eqNullSafe(F.lit(value))
+        condition = condition | same
     return condition
 
 
+def _one_of(column: str, values: list) -> Column:
+    found = F.col(column).isin([v for v in values if v is not None])
+    return found | F.col(column).isNull() if None in values else found
+
+
 # -- compaction ------------------------------------------------------------------------
 
 
@@ -253,7 +303,11 @@ def compact(
     A partition gets as many writers as its bytes call for: one writes all of a
     small one, and rows of a larger one go to several by range of the layout's sort
     columns, so each file covers a stretch of symbols and its statistics prune.
+
+    A table with other folders than the layout's is refused (:func:`check_layout`);
+    one that a stream adds to by batches is folded instead (:mod:`tickhouse.sources.tiers`).
     """
+    check_layout(spark, path, layout)
     parts = layout.partition_cols
     report = file_report(spark, path, parts)
     before = report.agg(F.sum("files"), F.sum("bytes")).head()

@@ -18,6 +18,8 @@ from tickhouse.sources.writers import MAX_RECORDS_PER_FILE
 HEADER_BYTES = 5  # magic byte and four-byte schema id in front of a registry-framed body
 DECODE_FAILED = "avro_decode_failed"
 _CORRUPT = "_unparsed"
+#: How long to wait, after a stream has ended, for the report of its last batch.
+LISTENER_SECONDS = 60
 
 
 def _body(framed: bool) -> Column:
@@ -215,7 +217,8 @@ def finish(query: StreamingQuery) -> int:
     """Wait for a draining query; returns the rows it read. Its failure is raised."""
     query.awaitTermination()
     progress = _progress(SparkSession.active())
-    progress.ended[str(query.runId)].wait(timeout=60)
+    if not progress.ended[str(query.runId)].wait(timeout=LISTENER_SECONDS):
+        raise TimeoutError("the stream ended, but how many rows it read was not reported in time")
     return progress.rows[str(query.runId)]
 
 

@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickhouse.operators.bars import bar_measures, with_bar_ratios
+from tickhouse.operators import bar_states
+from tickhouse.operators.bars import BAR_KEYS, bar_measures, with_bar_ratios
+from tickhouse.operators.dedup import dedup
 from tickhouse.operators.sequence import observe_sequence
+from tickhouse.sources import tiers
 from tickhouse.streaming.landing import start_batches
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -53,6 +56,65 @@ def bars_stream(
     return with_bar_ratios(bars)
 
 
+def add_bar_states(
+    trades: DataFrame,
+    batch_id: int,
+    states: tiers.Tiers,
+    seen: tiers.Tiers,
+    keys: Sequence[str],
+    order: Sequence[str],
+    seconds: int = 60,
+    t: str = "event_time",
+) -> None:
+    """Fold a batch of trades into stored bar states, each trade once for ever.
+
+    ``seen`` holds the keys of all trades so far; only the days that the batch falls
+    in are read, however long ago they are, so a copy of a trade must carry its time.
+    A batch replaces what it wrote before and looks at earlier batches alone, so
+    repeating it changes nothing. Rows without a time are left out.
+    """
+    spark = trades.sparkSession
+    once = dedup(trades.dropna(subset=[t]), keys, order, count_col=None).persist()
+    try:
+        days = [r[0] for r in once.select(F.to_date(t)).distinct().collect()]
+        known = tiers.read(spark, seen, before=batch_id, days=days)
+        fresh = once.join(known.select(*keys), list(keys), "left_anti")
+        tiers.add(bar_states.fold(fresh, seconds, BAR_KEYS, t), states, batch_id)
+        tiers.add(fresh, seen, batch_id)
+    finally:
+        once.unpersist()
+
+
+def start_bar_states(
+    trades: DataFrame,
+    states: tiers.Tiers,
+    seen: tiers.Tiers,
+    checkpoint: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    seconds: int = 60,
+    trigger_seconds: int | None = 60,
+) -> StreamingQuery:
+    """Candles of a stream of trades as stored states: no row is too late for its bar.
+
+    Nothing is held in memory between batches. :func:`fold_bar_states` from time to
+    time keeps the folders few; ``tiers.read`` and ``bar_states.finish`` give candles.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        add_bar_states(batch, batch_id, states, seen, keys, order, seconds)
+
+    return start_batches(trades, write, checkpoint, trigger_seconds)
+
+
+def fold_bar_states(
+    spark: SparkSession, states: tiers.Tiers, seen: tiers.Tiers, through: int
+) -> None:
+    """Settle finished batches. States go first: a batch that is settled there may be
+    repeated without effect, whatever its keys say."""
+    tiers.fold(spark, states, through)
+    tiers.fold(spark, seen, through)
+
+
 def start_sequence(
     messages: DataFrame,
     key: Sequence[str],
