@@ -28,15 +28,26 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+#: Spark's setting that deletes a query's shuffle files when the query ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def store(df: DataFrame, label: str, clean: bool = False) -> DataFrame:
     """Write ``df`` into the folder that all executors share, and read it back.
 
     The work above runs once, the lineage ends in files, and a lost executor
-    costs only the tasks that it was running.
+    costs only the tasks that it was running. With ``clean`` the shuffle files of the
+    write go as soon as it is done, rather than when the driver happens to forget
+    them; the frame itself is not to be used again.
     """
-    path = scratch_dir(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_dir(spark, f"llm-{label}"), spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, str(clean or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def apart(df: DataFrame) -> DataFrame:

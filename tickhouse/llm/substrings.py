@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.llm.fm_index import FMIndex
-from tickhouse.llm.shared import apart, store
+from tickhouse.llm.shared import apart, drop_stored, store
 
 WINDOW, GRAM = 50, 8
 #: Segments a shard, and different segments of one anchor above which it is split.
@@ -153,20 +153,27 @@ def _search(rows: pd.DataFrame) -> pd.DataFrame:
 def repeated_windows(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Measured rows; documents with shared anchors; and the least document of each
     window: (id, k1, k2, spans of (start, least owners from there on))."""
-    rows = store(measured(docs), label)
-    texts = rows.where("doc_id is not null and anchors is not null").groupBy("k1", "k2").agg(
+    full = store(measured(docs), label)
+    rows = store(full.drop("anchors"), f"{label}-rows")
+    texts = full.where("doc_id is not null and anchors is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("id"), F.first("anchors").alias("anchors"))
     at = store(texts.select("id", "k1", "k2", F.explode("anchors").alias("anchor")),
-               f"{label}-anchors")
+               f"{label}-anchors", clean=True)
+    drop_stored(full)
     common = apart(at.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     hits = at.join(common, "anchor").groupBy("id", "k1", "k2").agg(
         F.collect_set("anchor").alias("shared"))
-    cut = store(_cut(docs, hits), f"{label}-cut")
-    parts = cut.select("id", "k1", "k2", F.explode("segments").alias("s")).select(
+    cut = store(_cut(docs, hits), f"{label}-cut", clean=True)
+    drop_stored(at)
+    whole = cut.select("id", "k1", "k2", F.explode("segments").alias("s")).select(
         "id", "k1", "k2", "s.*")
-    distinct = store(parts.groupBy("anchor", "s1", "s2").agg(
+    distinct = store(whole.groupBy("anchor", "s1", "s2").agg(
         F.min("id").alias("owner"), F.count("*").alias("texts"),
-        F.first("words").alias("words")), f"{label}-segments")
+        F.first("words").alias("words")), f"{label}-segments", clean=True)
+    # From here on words are read from the distinct segments alone.
+    parts = store(whole.drop("words"), f"{label}-parts")
+    joined = store(cut.drop("segments"), f"{label}-joined")
+    drop_stored(cut)
     several = apart(distinct.groupBy("anchor").agg(
         F.count("*").alias("n"), F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")))
     shards = max(1, distinct.count() // SHARD)
@@ -189,12 +196,13 @@ def repeated_windows(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame,
         "anchor", "s1", "s2", F.aggregate(
             F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(0))), F.element_at("all", 1),
             lambda a, x: F.zip_with(a, x, lambda p, q: F.least(p, q))).alias("least")),
-        f"{label}-least")
-    seen = parts.drop("words").join(least, ["anchor", "s1", "s2"]).where(
+        f"{label}-least", clean=True)
+    drop_stored(distinct)
+    seen = parts.join(least, ["anchor", "s1", "s2"]).where(
         F.exists("least", lambda x: x < F.col("id")))
     spans = seen.groupBy("id", "k1", "k2").agg(
         F.collect_list(F.struct("start", "least")).alias("spans"))
-    return rows, cut, spans
+    return rows, joined, spans
 
 
 def _covered(id_: int, n: int, spans: list[dict]) -> np.ndarray:
@@ -207,9 +215,9 @@ def _covered(id_: int, n: int, spans: list[dict]) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def _removed(cut: DataFrame, spans: DataFrame) -> DataFrame:
+def _removed(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """id, k1, k2, and what is left of the documents that lose words."""
-    joined = cut.select("id", "k1", "k2", "joined").join(spans, ["id", "k1", "k2"])
+    joined = texts.join(spans, ["id", "k1", "k2"])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "k1", "k2", "n_removed", "kept"]
@@ -237,8 +245,8 @@ def digest(docs: DataFrame, label: str = "substrings") -> DataFrame:
     documents, and its row keeps its words and takes none from others. Rows that
     repeat a doc_id take nothing from each other.
     """
-    rows, cut, spans = repeated_windows(docs, label)
-    removed = _removed(cut, spans).select(
+    rows, texts, spans = repeated_windows(docs, label)
+    removed = _removed(texts, spans).select(
         F.col("id").alias("i"), F.col("k1").alias("a"), F.col("k2").alias("b"), "n_removed",
         F.sha2("kept", 256).alias("left"))
     first = rows.where("doc_id is not null").groupBy("k1", "k2").agg(
