@@ -4,8 +4,10 @@ A page is cut at block-level tags into blocks of text. A block is described by
 its number of words and its share of linked words, the same of the block before
 and after it, and the elements around it; a decision tree trained on the table
 of labelled blocks below says which blocks are the article. Elements made for
-menus, forms and the like, and those made for the article, decide by themselves;
-a word in a class or id is a hint, and inside the article words and links decide.
+menus, forms and the like, and those made for the article, decide by themselves, and
+so does a container with a class or id that names nothing but comments, a sidebar, a
+notice or an advert; any other word in a class or id is a hint, and inside the article
+words and links decide.
 """
 
 from __future__ import annotations
@@ -17,14 +19,17 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# One pass over the markup: comments, declarations and tags. Possessive, so that
-# an unclosed tag costs one pass and no more.
+# Comments, declarations and tags; possessive, so that no try goes over a page twice.
+_OTHER = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+_NAME = r"<(/?)([a-zA-Z][^\s/>]*+)"
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
+    _OTHER + "|" + _NAME + r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
+_OPENS = re.compile("</?[a-zA-Z]")
+# The same where quotes do not keep a tag open.
+_LOOSE = re.compile(_OTHER + "|" + _NAME + r"([^>]*+)>", re.S)
 _NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # HTML elements by what they mean for the flow of text.
 RAW = frozenset("script style noscript template textarea select svg iframe object math "
@@ -72,15 +77,27 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Ids in these are anchors of the text, unless they are made of such words alone.
 ANCHORED = HEADINGS | frozenset(["section"])
 _WORDS = re.compile(r"[a-z]+")
+# Classes and ids that leave no doubt on an element that holds others.
+CONTAINERS = frozenset("div section aside ol ul".split())
+_CLASS_APART = re.compile(
+    r"comments?|commentlist|comments?-(?:area|body|list|section|thread|wrapper)|disqus[\w-]*|respond"
+    r"|replies|sidebar|sidebar-[\w-]+|(?:left|right|page|site)-sidebar|cookies?(?:-[\w-]+)?"
+    r"|consent(?:-[\w-]+)?|notices?|[\w]+-notice|advert[\w-]*|ads?|ad-[\w-]+|sponsored"
+    r"|newsletter(?:-[\w-]+)?")
+_ID_APART = re.compile(r"comments?|comment-?list|disqus_thread|respond|replies|sidebar|newsletter")
 Block = tuple[str, int, int, bool, int, bool]
 
 
 def _marks(name: str, attributes: str, in_main: bool) -> tuple[bool, bool, bool]:
     """What an element says of its text: apart, perhaps apart, main."""
-    words, roles = set(), set()
+    words, roles, certain = set(), set(), False
     if "=" in attributes and name not in ("html", "body"):
         for m in _NAMED.finditer(attributes):
-            kind, found = m[1].lower(), _WORDS.findall((m[2] or m[3] or m[4] or "").lower())
+            kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+            found = _WORDS.findall(value)
+            if name in CONTAINERS and kind != "role":
+                whole = _CLASS_APART if kind == "class" else _ID_APART
+                certain = certain or any(map(whole.fullmatch, value.split()))
             if kind == "id" and name in ANCHORED and (
                     name in HEADINGS or not APART_WORDS.issuperset(found)):
                 continue
@@ -89,11 +106,51 @@ def _marks(name: str, attributes: str, in_main: bool) -> tuple[bool, bool, bool]
     # The header of a main element is its own.
     telling = APART_WORDS - {"header"} if main or name in HEADINGS else APART_WORDS
     free = name not in MAIN
-    apart = name in APART or (free and bool(roles & telling)) or (
+    # What is said to be main as well, such as a sponsored post, is not certain.
+    apart = name in APART or (free and bool(roles & telling)) or (certain and not main) or (
         name == "header" and not in_main)
     return apart, free and bool(words & telling), main
 
 
+class _Markup:
+    """The tags of a page in order. Every part of the page is searched a bounded number
+    of times, however many tags are left open."""
+
+    def __init__(self, page: str):
+        self.page, self.tag = page, _TAG
+        self.last = page.rfind(">")
+        self.unclosed: set[str] = set()
+
+    def after(self, at: int) -> re.Match | None:
+        """The first tag, comment or declaration from ``at`` on."""
+        page = self.page
+        at = page.find("<", at)
+        while at >= 0:
+            if at > self.last and page[at + 1:at + 2] not in ("!", "?"):
+                # No tag ends any more; what opens a comment or declaration reaches the end.
+                at = min((p for p in (page.find("<!", at), page.find("<?", at)) if p >= 0),
+                         default=-1)
+                continue
+            found = self.tag.match(page, at)
+            if found is None and self.tag is _TAG and _OPENS.match(page, at):
+                # From here to the end every ">" is in quotes, so quotes mean nothing here.
+                self.tag = _LOOSE
+                found = _LOOSE.match(page, at)
+            if found is not None:
+                return found
+            at = page.find("<", at + 1)
+        return None
+
+    def end_of(self, name: str, at: int) -> int:
+        """Behind the end tag of a raw element, or -1. One that is missing stays so."""
+        if name in self.unclosed or at > self.last:
+            return -1
+        close = re.compile(rf"</{name}[^>]*>", re.I).search(self.page, at, self.last + 1)
+        if close is None:
+            self.unclosed.add(name)
+        return close.end() if close else -1
+
+
 def blocks(page: str) -> list[Block]:
     """(text, words, linked words, inside an apart element, number of the outermost
     element around it that a word of a class or id sets apart or 0, inside a main one)."""
@@ -106,7 +163,7 @@ def blocks(page: str) -> list[Block]:
     places: dict[str, list[int]] = defaultdict(list)
     fences: list[int] = []
     open_apart = open_hinted = open_main = hints = in_link = 0
-    at, size = 0, len(page)
+    at, size, markup = 0, len(page), _Markup(page)
 
     def last(names: frozenset[str]) -> int:
         return max((places[n][-1] for n in names if places[n]), default=-1)
@@ -146,7 +203,7 @@ def blocks(page: str) -> list[Block]:
             linked.clear()
 
     while at < size:
-        found = _TAG.search(page, at)
+        found = markup.after(at)
         stop = found.start() if found else size
         if stop > at:
             piece = page[at:stop]
@@ -174,9 +231,9 @@ def blocks(page: str) -> list[Block]:
                     close_from(places[name][-1])
             continue
         if name in RAW and not found[3].endswith("/"):
-            close = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
-            if close:
-                at = close.end()
+            behind = markup.end_of(name, at)
+            if behind >= 0:
+                at = behind
             elif name in TO_THE_END:
                 at = size
             continue
@@ -348,11 +405,14 @@ def extract(pages: DataFrame, labelled: tuple = LABELLED) -> DataFrame:
     """
     tree = trained(labelled)
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h, tree) for h in batch["html"]]
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"],
-                                "text": texts, "n_chars": [len(t) for t in texts]})
-
-    return pages.select("page_id", "url", "html").mapInPandas(
-        each, "page_id bigint, url string, text string, n_chars bigint")
+            texts = [main_text(h.as_py(), tree) for h in batch.column("html")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
+                 pa.array([len(t) for t in texts], pa.int64())],
+                ["page_id", "url", "text", "n_chars"])
+
+    kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
+    return pages.select("page_id", "url", "html").mapInArrow(
+        each, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")
