@@ -30,7 +30,10 @@ ASSIGN_CHARS = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 
-TOKEN = r"[A-Za-z0-9+/_.=-]{20,}"
+#: Tokens that the model scores, and the least length of what is left of one beside a
+#: span of the patterns. Shorter ones have too few steps for any score to tell.
+LEAST = 16
+TOKEN = rf"[A-Za-z0-9+/_.=-]{{{LEAST},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 THRESHOLD = 12.0
 SAMPLE_DOCS, SAMPLE_PARTS = 4000, 16
@@ -71,6 +74,11 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _number() -> Column:
+    """A small number from any 64-bit id, none of which may overflow what follows."""
+    return F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.lit(1_000_000_007))
+
+
 def labelled_samples(docs: DataFrame, n_docs: int = SAMPLE_DOCS) -> DataFrame:
     """token, label: random strings (1) and ordinary identifiers (0).
 
@@ -94,12 +102,12 @@ def labelled_samples(docs: DataFrame, n_docs: int = SAMPLE_DOCS) -> DataFrame:
     separators = F.array(*[F.lit(x) for x in ("_", "-", ".", "/", "", "=")])
     joined = F.transform(F.col("w"), lambda x, i: F.concat(
         x, separators[i % 6], F.coalesce(F.get(F.col("w"), i + 1), F.lit("")), separators[i % 6],
-        F.when(i % 5 == 0, F.concat(F.lit("v"), ((i * 7 + F.col("doc_id")) % 1000).cast("string")))
+        F.when(i % 5 == 0, F.concat(F.lit("v"), ((i * 7 + _number()) % 1000).cast("string")))
         .when(i % 2 == 0, F.initcap(F.coalesce(F.get(F.col("w"), i + 2), F.lit(""))))
         .otherwise(F.upper(x))))
     ordinary = listed.select(F.explode(joined).alias("token"), F.lit(0).alias("label"))
     # Rules drawn with one character, dates, versions and plain numbers.
-    number = F.abs(F.coalesce(F.col("doc_id"), F.lit(0)))
+    number = _number()
     two = F.lpad((number % 28 + 1).cast("string"), 2, "0")
     year = (number % 40 + 1990).cast("string")
     plain = chosen.select(F.explode(F.array(
@@ -145,11 +153,33 @@ def ratio(token: Column, model: Column) -> Column:
         F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda s, i: s + step(i))
 
 
+def _without(token: Column, taken: Column) -> Column:
+    """The token, or its pieces of sufficient length beside the spans ``taken``, which are
+    in order of their starts and may overlap."""
+    def piece(start: Column, end: Column) -> Column:
+        return F.struct(
+            start.alias("start"), token["kind"].alias("kind"), end.alias("end"),
+            F.substring(token["value"], start - token["start"] + 1, end - start).alias("value"))
+
+    def beside(upto: Column, end: Column) -> Column:
+        none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+        return F.when(end - upto >= LEAST, F.array(piece(upto, end))).otherwise(none)
+
+    start = F.struct(token["start"].alias("upto"), F.array().cast(
+        "array<struct<start:int,kind:int,end:int,value:string>>").alias("found"))
+    cut = F.aggregate(taken, start, lambda a, b: F.struct(
+        F.greatest(a["upto"], b["end"]).alias("upto"),
+        F.concat(a["found"], beside(a["upto"], b["start"])).alias("found")),
+        lambda a: F.concat(a["found"], beside(a["upto"], token["end"])))
+    return F.when(F.size(taken) == 0, F.array(token)).otherwise(cut)
+
+
 def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text, base and extra spans of every document.
 
-    ``base`` holds what the patterns find, ``extra`` the tokens that only the
-    model reports, which overlap no base span. A null text is an empty one.
+    ``base`` holds what the patterns find, ``extra`` what only the model reports:
+    tokens, or what base spans leave of them, so the two never overlap. A null text
+    is an empty one.
     """
     model = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")
     text = F.col("text")
@@ -158,9 +188,9 @@ def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> D
             spans(text, ASSIGN, 0, group=2, least=ASSIGN_CHARS), spans(text, ACCESS, 1),
             spans(text, HEX, 2))),
         "tokens": spans(text, TOKEN, 3)})
-    apart = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (
-        b["start"] < t["end"]) & (t["start"] < b["end"])))
-    extra = F.filter(apart, lambda t: ratio(t["value"], model) >= threshold)
+    left = F.flatten(F.transform("tokens", lambda t: _without(t, F.filter(
+        "base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))))
+    extra = F.filter(left, lambda t: ratio(t["value"], model) >= threshold)
     return based.select("doc_id", "text", "base", extra.alias("extra"))
 
 
