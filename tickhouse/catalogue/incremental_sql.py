@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from tickhouse.catalogue import delivery_sql  # noqa: F401 - adds its CTEs
 from tickhouse.catalogue.market_sql import CTES
 from tickhouse.catalogue.market_sql import ORACLES as MARKET
+from tickhouse.catalogue.sqltext import dbl
 
 CTES.add("c_present", """
 SELECT DISTINCT 'binance' AS exchange, event_type AS symbol, CAST(ts AS DATE) AS day,
@@ -27,7 +29,56 @@ SELECT exchange, symbol, day,
 FROM (SELECT DISTINCT exchange, symbol, day FROM c_present)
 """)
 
+CTES.add("c_slices", """
+SELECT *, CASE WHEN event_id % 13 = 0 THEN least(own + 2, 4) ELSE own END AS batch_id
+FROM (SELECT *, (epoch_us(ts) - min(epoch_us(ts)) OVER ()) * 5
+                // (max(epoch_us(ts)) OVER () - min(epoch_us(ts)) OVER () + 1) AS own
+      FROM c_ev)
+""")
+CTES.add("c_marks", """
+SELECT batch_id, max(max(ts)) OVER (ORDER BY batch_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+FROM c_slices GROUP BY batch_id
+""")
+CTES.add("c_outcomes", """
+SELECT CASE WHEN route = 'malformed' THEN 'malformed' ELSE 'trade' END AS kind,
+       CASE WHEN route = 'malformed' THEN 'JSONDecodeError'
+            WHEN fault = 'shape' THEN 'NormalizationError'
+            WHEN fault = 'value' THEN 'ValidationError' END AS error_type, ingested_at AS moment
+FROM c_trade_rows WHERE route IN ('malformed', 'trade')
+UNION ALL
+SELECT 'bookTicker', CASE WHEN event_id % 107 = 0 THEN 'NormalizationError'
+            WHEN event_id % 103 = 0 OR CAST(value AS DECIMAL(18,2)) <= 0 THEN 'ValidationError'
+       END, ingested_at
+FROM c_ev
+""")
+
 ORACLES = {
+    "incremental_fact": MARKET["market_fact"],
+    "market_fact_bucketed": MARKET["market_fact"],
+    "kline_reconciliation_bucketed": MARKET["kline_reconciliation"],
+    "lag_percentiles_rolled": CTES.query("""
+        SELECT symbol, strftime(event_time, '%Y-%m-%d') AS day, count(*) AS observations,
+               max(ingestion_lag_ms) AS max_lag_ms,
+               quantile_disc(ingestion_lag_ms, 0.5) AS p50_lag_ms,
+               quantile_disc(ingestion_lag_ms, 0.95) AS p95_lag_ms,
+               quantile_disc(ingestion_lag_ms, 0.99) AS p99_lag_ms
+        FROM c_landed GROUP BY 1, 2"""),
+    "stream_late_rows": CTES.query("""
+        SELECT event_id, ts, event_type, batch_id,
+               coalesce(ts < mark - INTERVAL 1 HOUR, false) AS is_late
+        FROM c_slices JOIN c_marks USING (batch_id)"""),
+    "message_outcomes": CTES.query(f"""
+        SELECT date_trunc('hour', moment) AS window_start, kind, error_type, count(*) AS messages,
+               {dbl("count(*) / 3600.0", "messages_per_second")}
+        FROM c_outcomes GROUP BY 1, 2, 3"""),
+    "quarantine_check": CTES.query("""
+        SELECT TIMESTAMP '2024-01-01' + to_days(CAST(d AS INTEGER)) AS as_of,
+               count(event_id) AS quarantined, count(event_id) = 0 AS passed
+        FROM range(24, 31) r(d) LEFT JOIN c_ev
+          ON event_id % 101 = 0 AND ts < TIMESTAMP '2024-01-01' + to_days(CAST(d AS INTEGER))
+         AND ts >= TIMESTAMP '2024-01-01' + to_days(CAST(d AS INTEGER)) - INTERVAL 24 HOUR
+        GROUP BY 1"""),
     "instrument_scd2_incremental": MARKET["instrument_scd2_deletes"],
     "instrument_scd2_incremental_changes": MARKET["instrument_scd2"],
     "completeness_bitmap": CTES.query("""
