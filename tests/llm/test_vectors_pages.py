@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import plain
 import pytest
 
@@ -51,13 +52,46 @@ def test_reading_stops_early_and_loses_nothing():
     x = rng.normal(size=(3000, 8)) * 300
     x[:4] = x[100] + rng.normal(size=(4, 8))
     x = np.floor(x).astype(np.int64)
-    lists = topk.Lists(np.arange(3000), x)
-    left = lists._survivors(100, x[100].astype(float), 3)
-    assert len(left) < 300
-    for q in (100, 7, 2999):
-        ids, scores = lists.top(q, x[q], 10)
-        every = sorted((-int(x[i] @ x[q]), i) for i in range(3000) if i != q)[:10]
-        assert [(-int(s), int(i)) for i, s in zip(ids, scores, strict=True)] == every
+    lists = topk.Lists(np.arange(3000), x.astype(float))
+    ids = np.array([100, 7, 2999])
+    free = np.full(3, -np.inf)
+    left = lists._survivors(ids, x[ids].astype(float), free, 3)
+    assert left[0].sum() < 300
+    for bars in (free, [x[q] @ x[q] * 0.1 for q in ids]):
+        found = list(lists.top(ids, x[ids].astype(float), np.array(bars, float), 10))
+        for q, bar, (who, scores) in zip(ids, bars, found, strict=True):
+            every = sorted((-int(x[i] @ x[q]), i) for i in range(3000) if i != q)[:10]
+            want = [(s, i) for s, i in every if -s >= bar]
+            got = [(-int(s), int(i)) for i, s in zip(who, scores, strict=True)]
+            assert got[:len(want)] == want
+
+
+def test_a_query_that_a_block_cannot_serve_reads_nothing():
+    rng = np.random.default_rng(1)
+    far = topk.Lists(np.arange(2_000), rng.integers(-9, 9, (2_000, 8)).astype(float))
+    q = rng.integers(-9, 9, (2, 8)).astype(float)
+    alive = far._survivors(np.array([-1, -2]), q, np.array([1e6, -np.inf]), 10)
+    assert not alive[0].any() and alive[1].any()
+
+
+def test_any_finite_component_takes_part(spark):
+    rng = random.Random(3)
+    big = [2.0 ** 40, -(2.0 ** 21), 1e12, -3e5, 1e-9, 0.0, 7.25]
+    rows = [(i, [rng.choice(big) for _ in range(4)]) for i in range(120)]
+    rows += [(200, [float("inf")] * 4), (201, [1.7e308] * 4), (202, [float("nan")] * 4), (300, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score)
+           for r in topk.search(df, every=40, candidates=30, queries=2).collect()}
+    end = 2 ** 63
+    want = {}
+    kept = [(i, [math.floor(1024 * v) for v in x]) for i, x in rows if i < 200]
+    for q, x in kept:
+        if q % 40 == 0:
+            scores = [(-max(-end, min(end - 1, sum(a * b for a, b in zip(x, y)))), i)
+                      for i, y in kept if i != q]
+            for rank, (score, i) in enumerate(sorted(scores)[:10], 1):
+                want[q, rank] = (i, -score)
+    assert got == want
 
 
 def test_vector_links(table, rows):
