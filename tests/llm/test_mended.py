@@ -7,7 +7,7 @@ import time
 
 import pytest
 
-from tickhouse.llm import html_text, secrets, substrings
+from tickhouse.llm import html_text, lines, secrets, substrings
 from tickhouse.llm.shared import store
 
 WORDS = ("the service reads configuration from internal storage and writes reports about usage "
@@ -152,3 +152,20 @@ def test_substring_tables_are_few_at_the_end(spark):
     names = {n.split("leftover")[1].rsplit("-", 1)[0]
              for n in os.listdir(f"{base}/tickhouse") if "leftover" in n}
     assert names == {"-rows", "-parts", "-joined", "-least"}
+
+
+# -- lines -----------------------------------------------------------------------------
+
+
+def test_first_occurrences_come_from_a_sorted_pass(spark):
+    line = "A line of more than forty characters in many documents"
+    rows = [(i, f"{line}\nown {i}\n{line}", i % 3) for i in range(40)] + [(3, f"x\n{line}", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, pos int")
+    found = lines.occurrences(lines.line_hashes(docs))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    steps = [x.strip(" +-*:") for x in plan.splitlines()]
+    assert any(x.startswith("Exchange rangepartitioning(h1") for x in steps)
+    assert any(x.startswith("Sort [h1") and "pos" in x for x in steps)
+    assert sum("Exchange" in x for x in steps) == 1
+    by_doc = {r.doc_id: [p.pos for p in r.places] for r in found.collect()}
+    assert by_doc == {**{i: [0, 2] for i in range(40)}, 3: [0, 1, 2]}

@@ -2,9 +2,9 @@
 
 Hashes of long lines are range-partitioned with a secondary sort by document and
 position, so a line that a third of all documents share spreads over many
-partitions. Each partition streams its sorted rows and passes on the first
-occurrence per document; counts and the last document of each line are summed
-from those. Texts stay where they are: only hashes, positions and bitmaps move.
+partitions. Each partition streams its sorted rows and passes on one row for the
+first occurrence of a line in a document, with the places behind it; counts and the
+last document of each line are summed from those. Texts stay where they are: only hashes, positions and bitmaps move.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickhouse.llm.shared import SPACE_CHARS, lower_ascii, store, texts
+from tickhouse.llm.shared import SPACE_CHARS, drop_stored, lower_ascii, store, texts
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -40,13 +40,23 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         "doc_id", "version", "pos")
 
 
-def repeated(hashes: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """h1, h2, last_doc of the lines that ``min_docs`` documents hold."""
-    firsts = (
+def occurrences(hashes: DataFrame) -> DataFrame:
+    """h1, h2, doc_id, places: where each document holds a line, the first place first.
+
+    Partitions are ranges of (hash, document), sorted by them and the position. One
+    pass over the sorted rows gathers a document's places of a line in that order.
+    """
+    return (
         hashes.repartitionByRange("h1", "h2", "doc_id")
         .sortWithinPartitions("h1", "h2", "doc_id", "pos")
-        .groupBy("h1", "h2", "doc_id").agg(F.first("pos").alias("pos"))
+        .groupBy("h1", "h2", "doc_id")
+        .agg(F.collect_list(F.struct("version", "pos")).alias("places"))
     )
+
+
+def repeated(firsts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """h1, h2, last_doc of the lines that ``min_docs`` documents hold, from one row for
+    each line's first occurrence in a document."""
     return (
         firsts.groupBy("h1", "h2")
         .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
@@ -64,11 +74,14 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     doc_id is null count as no document and keep their lines.
     """
     hashes = store(line_hashes(docs, min_chars).where("doc_id is not null"), label)
+    firsts = store(occurrences(hashes), f"{label}-firsts")
+    drop_stored(hashes)
     part = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
     dropped = (
-        hashes.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
-        .join(repeated(hashes, min_docs).withColumn("part", part), ["h1", "h2", "part"])
+        firsts.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int"))
+        .join(repeated(firsts, min_docs).withColumn("part", part), ["h1", "h2", "part"])
         .where(F.col("doc_id") != F.col("last_doc"))
+        .select("doc_id", F.inline("places"))
         .groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     )
     gone = F.col("gone")
