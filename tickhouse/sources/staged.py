@@ -17,11 +17,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     the planner, and a lost executor re-reads files instead of recomputing.
     """
     path = scratch_dir(df.sparkSession, label)
+    track(path)
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def track(path: str) -> None:
+    """Have ``release`` delete a folder that is written by other means."""
+    _WRITTEN.append(path)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables that this process has staged; how many there were.
 
