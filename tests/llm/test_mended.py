@@ -7,8 +7,9 @@ import time
 
 import pytest
 
-from tickhouse.llm import html_text, lines, secrets, substrings
+from tickhouse.llm import html_text, lines, minhash, mixing, secrets, substrings
 from tickhouse.llm.shared import store
+from tickhouse.sources.staged import release
 
 WORDS = ("the service reads configuration from internal storage and writes reports about usage "
          "every morning before other teams start their work on documents").split()
@@ -169,3 +170,27 @@ def test_first_occurrences_come_from_a_sorted_pass(spark):
     assert sum("Exchange" in x for x in steps) == 1
     by_doc = {r.doc_id: [p.pos for p in r.places] for r in found.collect()}
     assert by_doc == {**{i: [0, 2] for i in range(40)}, 3: [0, 1, 2]}
+
+
+def test_helper_names_as_columns_of_the_documents(spark):
+    """Every step's own names beside the text come back as they were."""
+    extra = ["__doc", "__version", "__own", "__keep", "__id", "__size", "__finish", "__text",
+             "d", "p", "size", "finishes", "keep", "component", "id"]
+    rows = [(i, f"A line of more than forty characters in many documents\nown words {i} of text",
+             "s", *range(len(extra))) for i in range(8)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, source string, " + ", ".join(f"`{c}` int" for c in extra))
+    for step in (lines.dedup, minhash.dedup, mixing.mix):
+        out = step(docs)
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert found and all(tuple(r)[3:] == tuple(range(len(extra))) for r in found)
+
+
+def test_release_leaves_no_table_of_an_operator(spark):
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    rows = [(i, "many words of a text that comes again " * 9) for i in range(5)]
+    substrings.digest(spark.createDataFrame(rows, "doc_id long, text string"), "released").count()
+    assert any("released" in n for n in os.listdir(f"{base}/tickhouse"))
+    release(spark)
+    assert not any("released" in n for n in os.listdir(f"{base}/tickhouse"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickhouse.llm.shared import SPACE_CHARS, drop_stored, lower_ascii, store, texts
+from tickhouse.llm.shared import SPACE_CHARS, drop_stored, lower_ascii, store, texts, unused
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -110,17 +110,18 @@ def apply_bitmap(text: Column, keep: Column) -> Column:
 
 def dedup(docs: DataFrame, label: str = "lines") -> DataFrame:
     """``docs`` with the repeated lines gone from text; n_chars follows if present."""
+    doc, version, own, keep = (
+        unused(docs, c) for c in ("__doc", "__version", "__own", "__keep"))
     bitmaps = keep_bitmaps(docs, label=label).select(
-        F.col("doc_id").alias("__doc"), F.col("version").alias("__version"), "keep")
+        F.col("doc_id").alias(doc), F.col("version").alias(version), F.col("keep").alias(keep))
     text = F.coalesce("text", F.lit(""))
-    out = docs.withColumn("__v", F.xxhash64(text)).join(
-        bitmaps.withColumnRenamed("keep", "__keep"),
-        (F.col("doc_id") == F.col("__doc")) & (F.col("__v") == F.col("__version")), "left")
-    out = out.withColumn("text", F.when(F.col("__keep").isNull(), F.col("text")).otherwise(
-        apply_bitmap(F.col("text"), F.col("__keep"))))
+    out = docs.withColumn(own, F.xxhash64(text)).join(
+        bitmaps, (F.col("doc_id") == F.col(doc)) & (F.col(own) == F.col(version)), "left")
+    out = out.withColumn("text", F.when(F.col(keep).isNull(), F.col("text")).otherwise(
+        apply_bitmap(F.col("text"), F.col(keep))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
-            F.col("__keep").isNull(), F.col("n_chars")).otherwise(F.length("text")))
+            F.col(keep).isNull(), F.col("n_chars")).otherwise(F.length("text")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

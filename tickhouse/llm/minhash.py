@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickhouse.llm.components import components
-from tickhouse.llm.shared import apart, store
+from tickhouse.llm.shared import apart, store, unused
 
 SHINGLE, PERCENT = 5, 85
 BANDS, ROWS = 24, 5
@@ -347,12 +347,13 @@ def dedup(docs: DataFrame, label: str = "minhash", limit: Limit = AT_85) -> Data
     Rows that repeat the doc_id of a kept document: one of them stays.
     """
     rows, classes = _classes(docs, label, limit)
-    gone = classes.where("id <> component").select(F.col("id").alias("__gone"))
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = unused(docs, "__id")
+    gone = classes.where("id <> component").select(F.col("id").alias(name))
+    left = docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
     repeats = rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if repeats.isEmpty():
         return left
-    again = repeats.select(F.col("doc_id").alias("__again"))
-    twice = left.join(again, F.col("doc_id") == F.col("__again"), "left_semi")
-    return left.join(again, F.col("doc_id") == F.col("__again"), "left_anti").union(
+    again = repeats.select(F.col("doc_id").alias(name))
+    twice = left.join(again, F.col("doc_id") == F.col(name), "left_semi")
+    return left.join(again, F.col("doc_id") == F.col(name), "left_anti").union(
         twice.dropDuplicates(["doc_id"]))

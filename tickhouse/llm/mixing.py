@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickhouse.llm.shared import WORD, slice_bits, store
+from tickhouse.llm.shared import WORD, slice_bits, store, unused
 
 WEIGHTS = (5, 2, 1)
 MAX_READINGS = 3
@@ -161,20 +161,21 @@ def mix(docs: DataFrame, **kw) -> DataFrame:
     The rows are range-partitioned by finish time over all partitions, so files
     written in partition order hold the mix. Columns are those of ``docs``.
     """
+    size, finish = unused(docs, "__size"), unused(docs, "__finish")
     joined = docs.withColumn(
-        "__size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).alias("d")
+        size, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).alias("d")
     planned = plan(docs, **kw).where("readings > 0").alias("p")
     on = (
         F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))
         & F.col("d.source").eqNullSafe(F.col("p.source"))
-        & (F.col("d.__size") == F.col("p.size"))
+        & (F.col(f"d.{size}") == F.col("p.size"))
     )
     return (
         joined.join(planned, on)
         .select(*[F.col(f"d.`{c}`") for c in docs.columns],
-                F.explode("p.finishes").alias("__finish"))
-        .repartitionByRange(F.col("__finish"), F.col("doc_id"))
-        .sortWithinPartitions("__finish", "doc_id").drop("__finish")
+                F.explode("p.finishes").alias(finish))
+        .repartitionByRange(F.col(finish), F.col("doc_id"))
+        .sortWithinPartitions(finish, "doc_id").drop(finish)
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickhouse.session import scratch_dir
+from tickhouse.sources.staged import track
 
 #: The white space that separates words, as a Java and a Python character class.
 SPACE = r"\x20\x09-\x0D"
@@ -24,6 +25,14 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
@@ -42,6 +51,7 @@ def store(df: DataFrame, label: str, clean: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path, before = scratch_dir(spark, f"llm-{label}"), spark.conf.get(_CLEAN)
+    track(path)
     spark.conf.set(_CLEAN, str(clean or before == "true").lower())
     try:
         df.write.parquet(path)
