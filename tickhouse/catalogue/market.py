@@ -24,6 +24,8 @@ HOUR = 3_600
 AS_OF = date(2024, 1, 31)
 # A customer's symbol is observed a few times a year, so chunks are long.
 _SPARSE = 1_000 * 86_400
+# A symbol of that tape trades every few days.
+_QUARTER = 90 * 86_400
 
 
 def tables(spark: SparkSession, path: str) -> SampleTables:
@@ -329,6 +331,7 @@ def tick_asof(spark, path) -> DataFrame:
     filters = stage(history.select("symbol", "tick_size", "valid_from", "valid_to"))
     joined = intervals.asof_join(
         t.tape(), filters, "event_time", "valid_from", "valid_to", on=("symbol",),
+        chunk_seconds=_QUARTER,
     )
     # Both have 18 decimals, which a remainder keeps.
     off = F.pmod(F.col("price").cast(MONEY), F.col("tick_size").cast(MONEY))

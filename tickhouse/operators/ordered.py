@@ -129,15 +129,11 @@ def last_before(
     base = df.withColumn(_CHUNK, chunk)
     earlier = _across(keys).rowsBetween(Window.unboundedPreceding, -1)
     by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    # Rows without a value have no place in the order of values; a chunk of such rows
+    # alone has a null tail and still needs what came before it.
     edges = (
-        base.filter(F.col(value).isNotNull())
-        .groupBy(*keys, _CHUNK)
-        .agg(F.max_by(value, by).alias("__tail"))
-    )
-    # A chunk without a value of its own still needs what came before it.
-    edges = (
-        base.select(*keys, _CHUNK).distinct().unionByName(edges, allowMissingColumns=True)
-        .groupBy(*keys, _CHUNK).agg(F.first("__tail", ignorenulls=True).alias("__tail"))
+        base.groupBy(*keys, _CHUNK)
+        .agg(F.max_by(value, F.when(F.col(value).isNotNull(), by)).alias("__tail"))
         .select(*keys, _CHUNK, F.last("__tail", ignorenulls=True).over(earlier).alias("__e"))
     )
     within = _within(keys, order).rowsBetween(Window.unboundedPreceding, -1)
