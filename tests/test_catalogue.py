@@ -53,7 +53,7 @@ def test_no_nested_loop_or_cartesian_plan(spark, name):
 @pytest.mark.parametrize("name", ["fx_range_join", "tick_asof"])
 def test_the_asof_plan_reads_whole_rows_of_the_tape_once(spark, name):
     """Besides, only the columns that keys and times are made of, for the occupied chunks
-    (named twice in the plan; the shuffle of one is reused by the other)."""
+    which the plan names twice."""
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line and "lineitem" in line]
     assert 2 <= len(scans) <= 3
