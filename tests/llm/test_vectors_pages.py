@@ -97,7 +97,8 @@ def test_any_finite_component_takes_part(spark):
 def test_vector_links(table, rows):
     want = plain.vector_links(rows)
     assert sum(n > 0 for n, _ in want.values()) > 60
-    for options in ({}, {"per_cell": 8, "block": 16, "reach": 100.0}):
+    for options in ({}, {"cells": 9, "block": 16, "reach": 100.0},
+                    {"cells": 2, "split": 40, "move": 0.0, "block": 16, "reach": 100.0}):
         got = vectors.links(table, **options).collect()
         assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
         assert all(r.kept == (r.vec_id == r.component_id) for r in got)
@@ -115,8 +116,56 @@ def test_cells_find_most_links(spark):
     y = 0.935 * x + math.sqrt(1 - 0.935**2) * step
     data = [(i, [float(a) for a in v], 0) for i, v in enumerate(np.vstack([x, y]))]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
-    got = vectors.links(df, per_cell=50).where("n_links > 0").count()
-    assert got >= 0.97 * 800
+    got = vectors.links(df, cells=16).where("n_links > 0").count()
+    assert got >= 0.99 * 800
+
+
+def _linked_pairs(rng, n, dim, rank, flat=0.0):
+    """n / 2 unit vectors of a rank, and a partner of each at cosine 0.935."""
+    basis = rng.normal(size=(rank, dim)) if rank < dim else np.eye(dim)
+    basis *= (np.arange(1, len(basis) + 1) ** -flat)[:, None]
+    unit = vectors.unit
+    x = unit(rng.normal(size=(n // 2, len(basis))) @ basis)
+    step = rng.normal(size=(n // 2, len(basis))) @ basis
+    step = unit(step - (step * x).sum(axis=1, keepdims=True) * x)
+    return x, 0.935 * x + math.sqrt(1 - 0.935**2) * step
+
+
+@pytest.mark.parametrize("dim,rank,flat,cells", [
+    (64, 64, 0.0, 60), (384, 8, 0.0, 5), (384, 8, 0.0, 60), (512, 6, 0.0, None),
+    (256, 40, 0.0, 60), (128, 128, 1.0, None), (128, 128, 0.5, 60)])
+def test_recall_at_the_limit_for_any_rank(dim, rank, flat, cells):
+    """Partners at the limit share a cell, with production limits, over 12,000 vectors."""
+    rng = np.random.default_rng(rank)
+    x, y = _linked_pairs(rng, 12_000, dim, rank, flat)
+    both = np.vstack([x, y])
+    centres, limits = vectors.plan_cells(
+        both[rng.permutation(len(both))], np.zeros(len(both)), len(both), vectors.MAX_CELLS,
+        vectors.REACH, cells=cells)
+    shared = vectors.cells_of(x, centres, limits) & vectors.cells_of(y, centres, limits)
+    assert shared.any(axis=1).mean() >= 0.99
+
+
+def test_large_cells_are_cut_and_every_link_is_counted_once(spark):
+    """Low-rank vectors at production limits, against products of all pairs."""
+    rng = np.random.default_rng(5)
+    x = np.vstack(_linked_pairs(rng, 12_000, 48, 6)).astype(np.float32)
+    df = spark.createDataFrame(
+        [(i, [float(a) for a in v], 0) for i, v in enumerate(x)],
+        "vec_id long, embedding array<float>, label int")
+    got = vectors.links(df, cells=4, split=2_000, move=100.0).select("vec_id", "n_links").toPandas()
+    u = vectors.unit(x)
+    want = np.concatenate([(part @ u.T >= vectors.COSINE).sum(axis=1) - 1
+                           for part in np.array_split(u, 12)])
+    found = got.sort_values("vec_id")["n_links"].to_numpy()
+    assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+
+
+def test_a_dense_group_is_not_cut():
+    rng = np.random.default_rng(6)
+    x = vectors.unit(1 + 0.01 * rng.normal(size=(3_000, 32)))
+    centres, _ = vectors.plan_cells(x, np.zeros(3_000), 50_000, vectors.SPLIT_CELLS, vectors.REACH)
+    assert len(centres) == 1
 
 
 def test_empty_vector_tables(spark):
