@@ -1,11 +1,11 @@
 import random
 from datetime import datetime, timedelta
+from functools import partial
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-
 from tickhouse.operators import intervals, scd
 
 D0 = datetime(2024, 1, 1)
@@ -66,7 +66,8 @@ def test_both_joins_equal_brute_force(spark, seed, keyed):
         (i, next((r for q, a, b, r in ivs if (q == p or not keyed) and stamp(a) <= stamp(t) < stamp(b)),
                  None)) for p, t, i in pts)
     on = ("p",) if keyed else ()
-    for join in (intervals.interval_join, intervals.asof_join):
+    for join in (intervals.interval_join, intervals.asof_join,
+                 partial(intervals.asof_join, sparse=True)):
         got = join(left, right, "t", "f", "e", on=on)
         key = lambda x: (x[0], str(x[1]))
         assert sorted(((r["i"], r["r"]) for r in got.collect()), key=key) == sorted(expected, key=key)
@@ -84,8 +85,9 @@ def test_bucketed_join_is_an_equi_join(spark):
 def test_asof_join_takes_an_open_end(spark):
     left = spark.createDataFrame([(day(500),), (day(-1),)], "t timestamp")
     right = spark.createDataFrame([(day(0), None, 1)], "f timestamp, e timestamp, r int")
-    got = rows(intervals.asof_join(left, right, "t", "f", "e"), "t")
-    assert [r["r"] for r in got] == [None, 1]
+    for sparse in (False, True):
+        got = rows(intervals.asof_join(left, right, "t", "f", "e", sparse=sparse), "t")
+        assert [r["r"] for r in got] == [None, 1]
 
 
 def observations(spark, data):
@@ -152,6 +154,7 @@ def test_null_keys_and_times_match_nothing_in_either_join(spark, how):
         "k string, f timestamp, e timestamp, r int")
     want = [(3, 2)] if how == "inner" else [(1, None), (2, None), (3, 2), (4, None), (5, None)]
     for joined in (intervals.asof_join(left, right, "t", "f", "e", on=("k",), how=how),
+                   intervals.asof_join(left, right, "t", "f", "e", on=("k",), how=how, sparse=True),
                    intervals.interval_join(left, right, "t", "f", "e", on=("k",), how=how)):
         assert [(r.i, r.r) for r in joined.orderBy("i").collect()] == want
 
@@ -180,15 +183,37 @@ def test_one_symbol_with_most_rows_is_spread_over_its_chunks(spark):
     right = spark.createDataFrame(
         [("hot", day(x), x) for x in (0, 1, 2, 3, 11)] + [("s3", day(1), 1)],
         "k string, f timestamp, r int")
-    got = {r.i: r.r for r in intervals.asof_join(left, right, "t", "f", None, on=("k",)).filter(
-        "k = 'hot'").collect()}
-    assert got == {i: max(x for x in (0, 1, 2, 3, 11) if x <= i / 50) for i in range(900)}
+    for sparse in (False, True):
+        joined = intervals.asof_join(left, right, "t", "f", None, on=("k",), sparse=sparse)
+        got = {r.i: r.r for r in joined.filter("k = 'hot'").collect()}
+        assert got == {i: max(x for x in (0, 1, 2, 3, 11) if x <= i / 50) for i in range(900)}
     plan = intervals.asof_join(left, right, "t", "f", None, on=("k",))
     plan = plan._jdf.queryExecution().executedPlan().toString()
     last = [line for line in plan.splitlines() if "Window [" in line][0]
     assert "__chunk" in last.split("windowspecdefinition(")[1]
 
 
+def test_the_sparse_form_joins_on_key_and_chunk(spark):
+    """Chunks of many, one and no interval, bounds that meet, chunks without left rows."""
+    left = spark.createDataFrame(
+        [(k, day(x / 4), i) for i, (k, x) in enumerate((k, x) for k in "ab" for x in range(-8, 200))],
+        "k string, t timestamp, i int")
+    data = [("a", 0, 1, 1), ("a", 1, 1.25, 2), ("a", 1.5, 9, 3), ("a", 30, None, 4), ("b", 2, 45, 5),
+            ("c", 0, None, 6)]
+    right = spark.createDataFrame(
+        [(k, day(f), None if e is None else day(e), r) for k, f, e, r in data],
+        "k string, f timestamp, e timestamp, r int")
+    for seconds in (3_600, 86_400, 20 * 86_400):
+        joined = intervals.asof_join(left, right, "t", "f", "e", on=("k",), chunk_seconds=seconds,
+                                     sparse=True)
+        assert joined.columns == ["k", "t", "i", "f", "e", "r"]
+        got = {r.i: r.r for r in joined.collect()}
+        assert len(got) == 416 and got == {
+            r.i: r.r for r in intervals.asof_join(left, right, "t", "f", "e", on=("k",)).collect()}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
 def test_an_unexpected_open_end_is_an_error(spark):
     left = spark.createDataFrame([("a", day(1))], "k string, t timestamp")
     right = spark.createDataFrame([("a", day(0), None)], "k string, f timestamp, e timestamp")

@@ -331,7 +331,7 @@ def tick_asof(spark, path) -> DataFrame:
     filters = stage(history.select("symbol", "tick_size", "valid_from", "valid_to"))
     joined = intervals.asof_join(
         t.tape(), filters, "event_time", "valid_from", "valid_to", on=("symbol",),
-        chunk_seconds=_QUARTER,
+        chunk_seconds=_QUARTER, sparse=True,
     )
     # Both have 18 decimals, which a remainder keeps.
     off = F.pmod(F.col("price").cast(MONEY), F.col("tick_size").cast(MONEY))

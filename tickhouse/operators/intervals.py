@@ -145,6 +145,7 @@ def asof_join(
     on: Sequence[str] = (),
     how: str = "left",
     chunk_seconds: int = DAY,
+    sparse: bool = False,
 ) -> DataFrame:
     """Join each left row to the latest interval that began at or before ``t``.
 
@@ -155,7 +156,14 @@ def asof_join(
     begins with stands in front of it as one more row (:func:`entering`), for which
     the left side's keys and times are read a second time. No row is made for a
     chunk without left rows. A null key or a null ``t`` matches nothing.
+
+    ``sparse`` says that few intervals begin in a chunk. The left rows then meet those
+    and what enters the chunk in an equi-join on (keys, chunk), each by the range up to
+    its successor: no row of the left side passes a window, a small interval side may
+    be broadcast by its measured size, and a busy chunk may be split as a skewed join is.
     """
+    if sparse:
+        return _asof_sparse(left, intervals, t, start, end, on, how, chunk_seconds)
     lcols = left.columns
     rcols = [c for c in intervals.columns if c not in on]
     chunk = clock.bucket_id(F.col("__t"), chunk_seconds)
@@ -185,6 +193,37 @@ def asof_join(
     return carried.select("__l.*", *[F.col(f"__hit.{c}").alias(c) for c in rcols])
 
 
+def _asof_sparse(
+    left: DataFrame, intervals: DataFrame, t: str, start: str, end: str | None,
+    on: Sequence[str], how: str, chunk_seconds: int,
+) -> DataFrame:
+    rcols = [c for c in intervals.columns if c not in on]
+    chunk = clock.bucket_id(F.col("__t"), chunk_seconds)
+    began = neighbours(
+        intervals.dropna(subset=[*on, start]).select(
+            *on, F.col(start).alias("__t"), F.struct(*rcols).alias("__v")),
+        on, ["__t"], chunk, lead={"__until": "__t"},
+    ).select(*on, "__t", F.struct("__v", "__until").alias("__r"))
+    before = entering(left.select(*on, F.col(t).alias("__t")), began, on, chunk)
+    right = began.withColumn("__chunk", chunk).unionByName(
+        before, allowMissingColumns=True).withColumnsRenamed({k: f"__r_{k}" for k in on})
+    # What enters a chunk has no time of its own there; one value of a time is in force.
+    at = F.col("__at")
+    held = (
+        (F.col("__lchunk") == F.col("__chunk"))
+        & (F.col("__t").isNull() | (at >= F.col("__t")))
+        & (F.col("__r.__until").isNull() | (at < F.col("__r.__until")))
+    )
+    for k in on:
+        held = held & (F.col(k) == F.col(f"__r_{k}"))
+    if end is not None:
+        held = held & (F.col(f"__r.__v.{end}").isNull() | (at < F.col(f"__r.__v.{end}")))
+    probe = left.withColumns(
+        {"__at": F.col(t), "__lchunk": clock.bucket_id(F.col(t), chunk_seconds)})
+    return probe.join(right, held, how).select(
+        *left.columns, *[F.col(f"__r.__v.{c}").alias(c) for c in rcols])
+
+
 def overlapping(intervals: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Intervals that extend past the start of their successor."""
     return neighbours(
