@@ -64,6 +64,20 @@ def test_verdicts_apply_in_order(spark, case, verdict):
     assert got["quality_verdict"] == verdict and got["duplicate_ratio"] == Decimal("0.5")
 
 
+def busy_health(spark):
+    """Verdict of a day with more trades than a quantile sketch keeps apart."""
+    daily, recon, _ = health_inputs(spark, "1", 0, 10, 10, 0, 0)
+    trades = spark.range(200_000, numPartitions=4).select(
+        F.lit("x").alias("exchange_id"), F.lit("S").alias("symbol"), F.lit(T0).alias("event_time"),
+        (F.col("id") * 7_919 % 200_000).alias("ingestion_lag_ms"),
+        F.lit(1).cast("bigint").alias("_duplicate_count"))
+    return gold.instrument_day_health(daily, recon, trades)
+
+
+def test_busy_day_has_the_exact_lag(spark):
+    assert rows(busy_health(spark))[0]["p99_ingestion_lag_ms"] == 197_999
+
+
 def test_ranking_windows_and_null_order(spark):
     as_of = date(2024, 1, 31)
     data = [("A", 0, "100", "2"), ("A", 7, "100", "4"), ("B", 0, "300", None), ("C", 0, "50", "1"),

@@ -211,7 +211,10 @@ def instrument_day_health(
     daily: DataFrame, reconciled: DataFrame, trades: DataFrame,
     keys: Sequence[str] = ("exchange_id", "symbol"),
 ) -> DataFrame:
-    """One quality verdict per instrument and day; the first rule that applies wins."""
+    """One quality verdict per instrument and day; the first rule that applies wins.
+
+    The lag that decides a verdict is exact: a sketch would be off on busy days.
+    """
     by = [*keys, "trading_date"]
     joined = (
         daily.select(
@@ -219,7 +222,7 @@ def instrument_day_health(
             "book_updates_skipped", "max_ingestion_lag_ms",
         )
         .join(reconciliation_daily(reconciled, keys), by, "left")
-        .join(delivery_daily(trades, keys), by, "left")
+        .join(delivery_daily(trades, keys, exact=True), by, "left")
     )
     pass_ratio = ratio(F.col("matched_minutes"), F.col("reconciled_minutes"))
     verdict = (
