@@ -78,6 +78,11 @@ def test_busy_day_has_the_exact_lag(spark):
     assert rows(busy_health(spark))[0]["p99_ingestion_lag_ms"] == 197_999
 
 
+def test_served_quality_has_the_exact_lag(spark):
+    served = rows(serving.quality(busy_health(spark), T0.date(), symbol="S"))
+    assert [(r["trading_date"], r["p99_ingestion_lag_ms"]) for r in served] == [(T0.date(), 197_999)]
+
+
 def test_ranking_windows_and_null_order(spark):
     as_of = date(2024, 1, 31)
     data = [("A", 0, "100", "2"), ("A", 7, "100", "4"), ("B", 0, "300", None), ("C", 0, "50", "1"),
