@@ -1,4 +1,5 @@
 import json
+import os
 import random
 from datetime import datetime
 
@@ -6,8 +7,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tickhouse import schemas
+from tickhouse.catalogue import jobs
 from tickhouse.session import scratch_dir
 from tickhouse.sources import readers
+from tickhouse.sources.staged import stage
 from tickhouse.streaming import landing, stateful
 
 NOW = datetime(2024, 1, 1, 1)
@@ -132,3 +135,50 @@ def test_a_sequence_over_batches_equals_the_loop(spark):
     got = {r["arrival"]: (r["first_seen"], r["regressed"], r["span"])
            for r in rows(readers.table(spark, out))}
     assert got == expected
+
+
+def test_a_body_is_parsed_once(spark):
+    decoded = landing.decode(spark.createDataFrame([], schemas.MESSAGE), schemas.TRADE, schemas.VENUE)
+    for rows_out in (landing.landed(decoded), landing.quarantined(decoded)):
+        plan = rows_out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
+def _part_files(folder):
+    return [n for n in os.listdir(folder) if n.startswith("part-")]
+
+
+def _one_group(spark, tmp_path, rows=1_000):
+    """An events table whose rows are one row group of one file."""
+    spark.range(rows).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,id * 60) as ts",
+        "id as user_id", "'a' as event_type", "1.0D as value", "'{\"k\": 1}' as props",
+    ).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def test_slices_of_one_row_group_are_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "_ROWS_PER_FILE", 100)
+    folder, files = jobs._event_files(spark, _one_group(spark, tmp_path))
+    assert files == 3 and len(_part_files(folder)) >= 5 * files
+    assert spark.read.parquet(folder).count() == 1_000
+
+
+def test_a_draining_feed_takes_several_files_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "_ROWS_PER_FILE", 100)
+    taken, read = [], readers.file_messages
+
+    def noted(spark, folder, max_files_per_trigger):
+        taken.append((len(_part_files(folder)), max_files_per_trigger))
+        return read(spark, folder, max_files_per_trigger=max_files_per_trigger)
+
+    monkeypatch.setattr(readers, "file_messages", noted)
+    assert jobs.land_quotes(spark, _one_group(spark, tmp_path)).count() == 1_050
+    assert taken == [(12, 3)]
+
+
+def test_decoding_uses_all_cores_for_one_row_group(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(jobs, "stage", lambda df: staged.append(stage(df)) or staged[-1])
+    jobs.compact_landed(spark, _one_group(spark, tmp_path))
+    assert len(staged[0].inputFiles()) >= spark.sparkContext.defaultParallelism

@@ -63,9 +63,10 @@ def decode(
         .cast(f.dataType).alias(f.name)
         for f in ENVELOPE
     ]
-    return messages.select(*envelope, record.alias("record")).withColumn(
-        "_decoded", F.coalesce(good, F.lit(False))
-    )
+    # A filter on the verdict stays above a generator; below a plain projection it would
+    # parse the body again for every condition, and once more for every output field.
+    parsed = messages.select(*envelope, F.inline(F.array(F.struct(record.alias("record")))))
+    return parsed.withColumn("_decoded", F.coalesce(good, F.lit(False)))
 
 
 def landed(decoded: DataFrame) -> DataFrame:
