@@ -72,7 +72,7 @@ def _event_files(spark, path, slices: int = _SLICES) -> tuple[str, int]:
     stored = spark.read.schema(
         T.StructType([*events.schema, T.StructField("__slice", T.IntegerType())])).parquet(cut)
     for n in range(slices + 1):
-        stored.filter(F.col("__slice") == n).drop("__slice").coalesce(files).write.mode(
+        stored.filter(F.col("__slice") == n).drop("__slice").repartition(files).write.mode(
             "append").parquet(folder)
     return folder, files
 
