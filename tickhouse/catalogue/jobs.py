@@ -34,6 +34,7 @@ _SPLIT = datetime(2024, 1, 15)
 _DAILY = writers.Layout("event_time", buckets=2, sort=("symbol", "event_time", "trade_id"))
 _BAR_LAYOUT = writers.Layout("bar_start", sort=("symbol", "bar_start"))
 _FLUSH = "__flush__"
+_BATCHES = 4
 _BRONZE = (
     "exchange", "symbol", "trade_id", "price", "quantity", "quote_quantity", "buyer_is_maker",
     "trade_time", "ingested_at", "_kafka_topic", "_kafka_partition", "_kafka_offset",
@@ -130,8 +131,8 @@ def _record_messages(kind: str, rows: DataFrame, offset: Column, cut: Column) ->
 def _drained_feed(spark, kind, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A feed's messages landed by its job, in several batches, and half of them settled."""
     feed, root, folder = FEEDS[kind], scratch_dir(spark, "lake"), scratch_dir(spark, "messages")
-    messages.repartition(4).write.parquet(folder)
-    stream = readers.file_messages(spark, folder, max_files_per_trigger=1)
+    messages.repartition(_BATCHES * files).write.parquet(folder)
+    stream = readers.file_messages(spark, folder, max_files_per_trigger=files)
     landing.finish(feeds.start(stream, feed, root, scratch_dir(spark, "offsets"), drain=True))
     tiers.fold(spark, feed.tiers(root), 1)
     return tiers.read(spark, feed.tiers(root)), readers.table(spark, feed.quarantine(root))
@@ -139,9 +140,12 @@ def _drained_feed(spark, kind, messages: DataFrame) -> tuple[DataFrame, DataFram
 
 def land_quotes(spark, path) -> DataFrame:
     """Top-of-book messages through their landing job; some bodies are cut short."""
-    quotes = tables(spark, path).landed_quotes()
-    good, bad = _drained_feed(spark, "quote", _record_messages(
-        "quote", quotes, F.col("_kafka_offset"), F.col("_kafka_offset") % 101 == 0))
+    t = tables(spark, path)
+    quotes = _spread(spark, t.landed_quotes(), "_kafka_offset")
+    messages = _record_messages(
+        "quote", quotes, F.col("_kafka_offset"), F.col("_kafka_offset") % 101 == 0)
+    files = 1 + t.read("events").count() // (_BATCHES * _ROWS_PER_FILE)
+    good, bad = _drained_feed(spark, "quote", messages, files)
     rows = good.select("exchange", "symbol", "update_id", "bid_price", "bid_quantity", "ask_price",
                        "ask_quantity", "event_time", "ingested_at", "_kafka_topic", "_kafka_offset",
                        "_kafka_key", "_source", F.lit(None).cast("string").alias("_reason"))
