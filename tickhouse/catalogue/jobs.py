@@ -176,7 +176,7 @@ def land_fx(spark, path) -> DataFrame:
 def compact_landed(spark, path) -> DataFrame:
     """Five landed batches, folded in between; a batch comes again before its fold and
     after it, and a fold runs twice."""
-    e = tables(spark, path).read("events")
+    e = _spread(spark, tables(spark, path).read("events"))
     feed, root = FEEDS["trade"], scratch_dir(spark, "lake")
     decoded = stage(landing.decode(_messages(e), TRADE, VENUE).withColumn(
         "__slice", F.pmod(F.col("_kafka_offset"), F.lit(_SLICES))))
