@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tickhouse.operators import ingest
+from tickhouse.sources.staged import stage
 
 NOW = datetime(2024, 1, 2, 3, 4, 5)
 TRADE = {"e": "trade", "E": 1704067200500, "s": "btcusdt", "t": 7, "p": "64250.10000000",
@@ -157,3 +158,16 @@ def test_oversized_payload_is_kept_unless_a_width_is_given(spark):
     padded = {**TRADE, "pad": "x" * 70_000}
     kept = rows(ingest.normalise_trades(frames(spark, padded)).valid)[0]
     assert len(kept["raw_payload"]) > 70_000
+
+
+def test_stored_verdicts_are_parsed_once_and_alike(spark):
+    raw = spark.createDataFrame([
+        ('{"e":"trade","s":"a","t":1,"p":"2","q":"3","m":true,"T":5}', datetime(2024, 1, 1)),
+        ('{"e":"trade","s":"a","t":2,"p":"-2","q":"3","m":true,"T":5}', datetime(2024, 1, 1)),
+    ], "payload string, received_at timestamp")
+    lazy = ingest.normalise_trades(ingest.route_frames(raw))
+    stored = lazy.stored(stage)
+    for name in ("valid", "dead_letters"):
+        a, b = getattr(lazy, name), getattr(stored, name)
+        assert a.schema.names == b.schema.names and a.collect() == b.collect() and b.count() == 1
+        assert "from_json" not in b._jdf.queryExecution().optimizedPlan().toString()

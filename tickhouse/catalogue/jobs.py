@@ -128,8 +128,11 @@ def _record_messages(kind: str, rows: DataFrame, offset: Column, cut: Column) ->
     )
 
 
-def _drained_feed(spark, kind, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A feed's messages landed by its job, in several batches, and half of them settled."""
+def _drained_feed(
+    spark, kind, messages: DataFrame, files: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """A feed's messages landed by its job, in several batches of that many files, and half
+    of them settled."""
     feed, root, folder = FEEDS[kind], scratch_dir(spark, "lake"), scratch_dir(spark, "messages")
     messages.repartition(_BATCHES * files).write.parquet(folder)
     stream = readers.file_messages(spark, folder, max_files_per_trigger=files)
@@ -468,8 +471,8 @@ def parse_extremes(spark, path) -> DataFrame:
         F.lit(',"p":"'), price, F.lit('","q":"'), size, F.lit('","m":true,"T":'), moment,
         F.lit("}"),
     )
-    raw = e.select(payload.alias("payload"), F.col("ts").alias("received_at"))
-    out = ingest.normalise_trades(ingest.route_frames(raw))
+    raw = _spread(spark, e).select(payload.alias("payload"), F.col("ts").alias("received_at"))
+    out = ingest.normalise_trades(ingest.route_frames(raw)).stored(stage)
     good = out.valid.select(
         "trade_id", F.col("quote_quantity").cast("string").alias("notional"),
         F.lit(None).cast("string").alias("error_type"), "raw_payload",

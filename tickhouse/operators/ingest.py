@@ -12,7 +12,7 @@ JSON objects are read as ``map<string,string>``: venue keys differ only in case
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tickhouse.functions import clock, money
 from tickhouse.functions.money import MONEY
+from tickhouse.operators import Stage
 from tickhouse.schemas import (
     DEAD_LETTER,
     FX_RATE,
@@ -43,6 +44,8 @@ BAD_SHAPE = "NormalizationError"
 BAD_VALUE = "ValidationError"
 BAD_EPOCH = "ValueError"
 
+# What a dead letter is made of.
+_LETTER = ("stream", "error_type", "error_message", "payload", "received_at", "producer_id")
 _OBJECT = "map<string,string>"
 _NO_TIME = "epoch milliseconds lie outside the years 1970 to 9999"
 
@@ -63,6 +66,12 @@ class Normalised:
     def dead_letters(self) -> DataFrame:
         return dead_letters(self.checked.filter(F.col("error_type").isNotNull()), self.topic)
 
+    def stored(self, stage: Stage) -> Normalised:
+        """The same with its verdicts written once, for a caller that reads both outputs."""
+        have = set(self.checked.columns)
+        kept = [c for c in dict.fromkeys((*self.schema.names, *_LETTER)) if c in have]
+        return replace(self, checked=stage(self.checked.select(*kept)))
+
 
 def dead_letters(
     rejected: DataFrame, topic: str, message_width: int | None = None,
