@@ -10,7 +10,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tickhouse.catalogue import registry
+from tickhouse.catalogue import market, registry
+from tickhouse.catalogue.present import present
 from tickhouse.operators import bars as bar_ops
 from tickhouse.operators import quotes as quote_ops
 from tickhouse.operators.dedup import dedup, grain_violations
@@ -210,3 +211,16 @@ def test_dedup_of_nothing_and_without_a_count(spark):
     df = _landed(spark)
     assert dedup(df.limit(0), ("k", "id"), ("t", "n"), stage=stage).count() == 0
     assert dedup(df, ("k", "id"), ("t", "n"), count_col=None, stage=stage).columns == df.columns
+
+
+def test_sparse_bars_are_shuffled_once_and_alike(spark, monkeypatch):
+    def refused(df):
+        raise AssertionError("nothing is to be stored")
+    monkeypatch.setattr(market, "stage", refused)
+    sf = "/root/testdata/sf0.001"
+    got = market.bars_lineitem_daily(spark, sf)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    tape = market.tables(spark, sf).tape()
+    dense = bar_ops.aggregate_bars(tape, 86_400).drop("open_price", "close_price")
+    assert sorted(map(str, present(dense).collect())) == sorted(map(str, got.collect()))

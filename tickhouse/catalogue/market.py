@@ -127,9 +127,10 @@ def bars_1w(spark, path) -> DataFrame:
 
 
 def bars_lineitem_daily(spark, path) -> DataFrame:
-    daily = bar_ops.bars(tables(spark, path).tape(), 86_400, stage=stage)
-    # (order, line) repeats on this tape, so the first and last print of a bar are not unique.
-    return present(daily.drop("open_price", "close_price", "log_return"))
+    daily = bar_ops.aggregate_bars(tables(spark, path).tape(), 86_400, sparse=True)
+    # (order, line) repeats on this tape, so the first and last print of a bar are not unique,
+    # and there are no returns to look for.
+    return present(daily.drop("open_price", "close_price"))
 
 
 # -- quotes ----------------------------------------------------------------------------

@@ -16,15 +16,24 @@ BAR_KEYS = ("exchange_id", "symbol")
 
 
 def aggregate_bars(
-    trades: DataFrame, seconds: int = 60, keys: Sequence[str] = BAR_KEYS, t: str = "event_time"
+    trades: DataFrame, seconds: int = 60, keys: Sequence[str] = BAR_KEYS, t: str = "event_time",
+    sparse: bool = False,
 ) -> DataFrame:
     """One row per (keys, bar). Every measure combines on the map side; wide decimal
     sums are the cost here, so each quantity is summed once.
 
     Open and close order by (time, trade id), so two trades in one millisecond
     resolve the same way on every run.
+
+    ``sparse`` is for bars of a trade or two: partial candles would be as many as the
+    trades and twice as wide, so the trades themselves are brought together.
     """
     start = clock.bar_floor(F.col(t), seconds).alias("bar_start")
+    if sparse:
+        # By the last key alone: a constant among the keys would leave the planner unable to
+        # tell that rows of a bar are together, and it would shuffle again.
+        trades = trades.withColumn("bar_start", start).repartition(keys[-1], "bar_start")
+        start = F.col("bar_start")
     grouped = trades.groupBy(*keys, start).agg(*[column for column, _ in bar_measures(t)])
     ended = grouped.withColumn("bar_end", clock.plus_seconds(F.col("bar_start"), seconds))
     return with_bar_ratios(ended)
