@@ -273,3 +273,20 @@ def test_presence_against_sets_of_minutes(spark):
     want = {(k, D0 + timedelta(minutes=m)) for k, days in (("k", 5), ("edge", 1), ("full", 1), (None, 1))
             for m in range(days * 1_440)} - have
     assert set(asked) == want
+
+
+def test_a_newer_batch_is_stored_no_more_than_its_steps_need(spark, tmp_path):
+    staged = []
+
+    def counted(df):
+        staged.append(df)
+        return stage(df)
+    made = spark.createDataFrame(
+        [("A", "on", datetime(2024, 1, d), d) for d in (1, 2)],
+        "symbol string, status string, observed_at timestamp, n long").selectExpr(
+        "*", "1D as tick_size", "1D as step_size", "1D as min_notional")
+    for n in range(2):
+        history.add(made.filter(f"n = {n + 1}"), n, str(tmp_path), counted, tie_break=("n",),
+                    close_deletes=False)
+    # The latest observations, the starts of versions, the versions.
+    assert len(staged) == 6

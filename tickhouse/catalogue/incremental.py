@@ -31,7 +31,8 @@ _KEYS = ("exchange", "symbol")
 def _versions_in_batches(spark, observations: DataFrame, chunk_seconds: int, deletes: bool):
     """Five batches by year, the third of which is added twice."""
     rows = stage(observations.withColumn(
-        "__batch", F.greatest(F.least(F.year("observed_at") - 1993, F.lit(4)), F.lit(0))))
+        "__batch", F.greatest(F.least(F.year("observed_at") - 1993, F.lit(4)), F.lit(0))),
+        by=("__batch",))
     root = scratch_dir(spark, "history")
     for n in (0, 1, 2, 2, 3, 4):
         history.add(rows.filter(F.col("__batch") == n).drop("__batch"), n, root, stage,

@@ -111,13 +111,15 @@ def scd2_step(
     payload = [c for c in batch.columns if c not in (*key, observed_at, *tie_break)]
     seeds = open_versions.select(
         *key, *payload, F.col(LAST_SEEN).alias(observed_at), F.col("valid_from").alias(_SINCE))
-    rows = stage(batch.withColumn(_SINCE, F.lit(None).cast("timestamp")).unionByName(
-        seeds, allowMissingColumns=True))
+    rows = batch.withColumn(_SINCE, F.lit(None).cast("timestamp")).unionByName(
+        seeds, allowMissingColumns=True)
     versions = scd2(rows, key, check_cols, observed_at, tie_break, close_deletes, chunk_seconds,
                     stage)
     # What is still open was seen at the newest poll; without polls its start will do.
-    newest = batch.agg(F.max(observed_at)).head()[0] or last_poll
-    seen = F.lit(newest).cast("timestamp") if close_deletes else F.col("valid_from")
+    seen = F.col("valid_from")
+    if close_deletes:
+        newest = batch.agg(F.max(observed_at)).head()[0] or last_poll
+        seen = F.lit(newest).cast("timestamp")
     return versions.withColumns({
         LAST_SEEN: F.when(F.col("is_current"), seen),
         "valid_from": F.coalesce(_SINCE, "valid_from"),

@@ -49,8 +49,12 @@ def add(
     opened = spark.read.schema(schema).parquet(before) if batch_id else spark.createDataFrame(
         [], schema)
     last_poll = opened.agg(F.max(LAST_SEEN)).head()[0]
-    if close_deletes:
-        late = batch.filter(F.col(observed_at) <= F.lit(last_poll)) if last_poll else None
+    # Whole batches are newer as a rule; only if their times overlap are keys compared.
+    oldest = batch.agg(F.min(observed_at)).head()[0] if last_poll else None
+    if oldest is None or oldest > last_poll:
+        late = None
+    elif close_deletes:
+        late = batch.filter(F.col(observed_at) <= F.lit(last_poll))
     else:
         began = opened.select(*key, F.col(LAST_SEEN).alias("__began"))
         late = batch.join(began, list(key)).filter(F.col(observed_at) <= F.col("__began"))

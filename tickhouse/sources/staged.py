@@ -9,16 +9,17 @@ from tickhouse.session import scratch_dir
 _WRITTEN: list[str] = []
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and return it as a table.
 
     For a frame that several branches read: the work above it runs once, the
     readers prune columns and push filters into it, its real size is known to
-    the planner, and a lost executor re-reads files instead of recomputing.
+    the planner, and a lost executor re-reads files instead of recomputing. A reader of
+    one value of the columns ``by``, which have few, reads only its rows.
     """
     path = scratch_dir(df.sparkSession, label)
     track(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
