@@ -5,7 +5,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tickhouse.catalogue import market
 from tickhouse.plans import gold, serving
+from tickhouse.sources.staged import stage
 
 T0 = datetime(2024, 1, 1)
 KEYS = "exchange_id string, symbol string, bar_start timestamp"
@@ -179,3 +181,11 @@ def test_other_requests_are_checked(spark):
         serving.liquidity(spark.range(1), window_days=2)
     with pytest.raises(serving.RequestError):
         serving.quality(spark.range(1), date(2024, 1, 1), days=91)
+
+
+def test_the_gold_chain_parses_the_events_once_over_all_cores(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(market, "stage", lambda df: staged.append(stage(df)) or staged[-1])
+    market.instrument_day_health(spark, "/root/testdata/sf0.001")
+    assert "props" in staged[0].columns or "k" in staged[0].columns
+    assert len(staged[0].inputFiles()) >= spark.sparkContext.defaultParallelism

@@ -227,8 +227,8 @@ def _reconciled(spark, path) -> DataFrame:
 
 def _daily_and_health(spark, path) -> tuple[DataFrame, DataFrame]:
     """The gold chain, each table written once and read by what follows it."""
-    t = tables(spark, path)
-    trades = stage(silver.trades(t.landed_trades()))
+    t = tables(spark, path).with_events_stored(stage)
+    trades = stage(silver.trades(t.landed_trades(), stage))
     bars = stage(silver.ohlcv(trades, HOUR, stage=stage))
     metrics = silver.quote_metrics(
         silver.quotes(t.landed_quotes(), stage), HOUR, discrete_median=True

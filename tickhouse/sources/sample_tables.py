@@ -6,13 +6,14 @@ one of them onto a landed-table schema. Every row of the source takes part.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickhouse.functions import clock, money
 from tickhouse.functions.money import MONEY
+from tickhouse.operators import Stage
 from tickhouse.schemas import SCHEMA_VERSION, VENUE
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -26,6 +27,8 @@ def _shift_ms(ts: Column, ms: Column) -> Column:
 class SampleTables:
     spark: SparkSession
     path: str
+    #: What ``events`` gives, if it has been stored.
+    stored: DataFrame | None = None
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
@@ -33,7 +36,13 @@ class SampleTables:
     # -- events as trades, quotes and raw messages ---------------------------------
 
     def events(self) -> DataFrame:
-        return event_columns(self.read("events"))
+        return event_columns(self.read("events")) if self.stored is None else self.stored
+
+    def with_events_stored(self, stage: Stage) -> SampleTables:
+        """The same with the events parsed once, in files that all cores read, for a chain
+        that derives several inputs from them; a stored table may be one row group."""
+        spread = self.events().repartition(4 * self.spark.sparkContext.defaultParallelism, "event_id")
+        return replace(self, stored=stage(spread))
 
     def arrivals(self) -> DataFrame:
         """Events with the lake clock; every twentieth id is replayed an hour later."""
