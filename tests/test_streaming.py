@@ -164,6 +164,18 @@ def test_slices_of_one_row_group_are_several_files(spark, tmp_path, monkeypatch)
     assert spark.read.parquet(folder).count() == 1_000
 
 
+def test_each_slice_cut_from_one_row_group_is_read_over_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "_ROWS_PER_FILE", 50)
+    made = {}
+    monkeypatch.setattr(jobs, "scratch_dir",
+                        lambda s, label: made.setdefault(label, scratch_dir(s, label)))
+    folder, files = jobs._event_files(spark, _one_group(spark, tmp_path))
+    cores = spark.sparkContext.defaultParallelism
+    for n in range(5):
+        assert len(_part_files(f"{made['event-slices']}/__slice={n}")) >= cores
+    assert files == 5 and spark.read.parquet(folder).distinct().count() == 1_000
+
+
 def test_a_draining_feed_takes_several_files_at_a_time(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "_ROWS_PER_FILE", 100)
     taken, read = [], readers.file_messages

@@ -58,8 +58,9 @@ def _spread(spark, rows: DataFrame, key: str = "event_id") -> DataFrame:
 def _event_files(spark, path, slices: int = _SLICES) -> tuple[str, int]:
     """The events in files by slice of time, oldest first, and the files of a slice.
 
-    One pass cuts all slices; each is then written behind the one before it, so that a
-    stream that takes a slice's number of files at a time reads them in order. Events
+    One pass cuts all slices, each into files for all cores however few row groups hold
+    the events or a slice of them; each is then written behind the one before it, so that
+    a stream that takes a slice's number of files at a time reads them in order. Events
     without a time are a slice of their own.
     """
     events = tables(spark, path).read("events")
@@ -67,8 +68,9 @@ def _event_files(spark, path, slices: int = _SLICES) -> tuple[str, int]:
     low, high, rows = events.agg(F.min(micros), F.max(micros), F.count(F.lit(1))).first()
     number = F.floor((micros - F.lit(low)) * slices / F.lit(max((high or 0) - (low or 0), 1) + 1))
     cut, folder = scratch_dir(spark, "event-slices"), scratch_dir(spark, "event-files")
-    events.withColumn("__slice", F.coalesce(number.cast("int"), F.lit(slices))).write.partitionBy(
-        "__slice").parquet(cut)
+    pieces = min(4 * spark.sparkContext.defaultParallelism, 1 + rows // _ROWS_PER_FILE)
+    events.withColumn("__slice", F.coalesce(number.cast("int"), F.lit(slices))).repartition(
+        pieces, "event_id").write.partitionBy("__slice").parquet(cut)
     files = 1 + rows // (slices * _ROWS_PER_FILE)
     stored = spark.read.schema(
         T.StructType([*events.schema, T.StructField("__slice", T.IntegerType())])).parquet(cut)
